@@ -54,18 +54,25 @@ def add_dense_id(df: DataFrame, order_by: Sequence[str], id_col: str = "id",
                  num_partitions: int | None = None) -> DataFrame:
     """Dense ids 1..n following ``order_by`` (which should be unique).
 
-    Two passes over one range-partitioned, locally sorted frame: per-partition
-    row counts (one row per partition, so the offsets table is bounded by the
-    partition count and broadcast), then offset + position within partition.
-    The range exchange is shared by both passes (exchange reuse), so both see
-    the same partition layout. No global single-task window is used.
+    Two passes: the frame is range-partitioned and sorted within partitions,
+    stamped with (partition, position) and written once with a reliable
+    ``checkpoint()`` to the shared checkpoint folder, so both passes read the
+    same layout (range sampling could otherwise differ between two
+    evaluations) and a lost executor does not change it. Pass one counts rows
+    per partition (one row per partition, broadcast); pass two adds the
+    partition's offset to the position. No single-task global window.
     """
-    n = num_partitions or df.sparkSession.sparkContext.defaultParallelism
+    from riskloom.session import checkpoint_dir
+
+    spark = df.sparkSession
+    checkpoint_dir(spark)
+    n = num_partitions or spark.sparkContext.defaultParallelism
     part = (df.repartitionByRange(n, *order_by)
             .sortWithinPartitions(*order_by)
             .withColumn("_pid", F.spark_partition_id())
             .withColumn("_pos", F.monotonically_increasing_id()
-                        - F.shiftleft(F.col("_pid").cast("long"), 33)))
+                        - F.shiftleft(F.col("_pid").cast("long"), 33))
+            .checkpoint(eager=True))
     counts = part.groupBy("_pid").agg(F.count(F.lit(1)).alias("_n"))
     # Offsets over at most ``n`` rows (one per partition).
     offsets = counts.select(
