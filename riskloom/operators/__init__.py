@@ -1,0 +1 @@
+"""DataFrame -> DataFrame operators for every layer of the pipeline."""

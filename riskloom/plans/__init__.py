@@ -1,0 +1 @@
+"""Model graph, query registry and the layered batch job."""

@@ -52,12 +52,24 @@ def checkpoint_dir(spark: SparkSession, fallback: str | None = None) -> str:
     return d
 
 
-def broadcast_if_small(df: DataFrame, max_rows: int) -> DataFrame:
-    """Broadcast hint only behind a bounded row check; otherwise a plain frame.
+def estimated_bytes(df: DataFrame) -> int | None:
+    """Catalyst's size estimate of a plan (file sizes x projection), no job run."""
+    try:
+        return int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes().toString())
+    except Exception:  # noqa: BLE001 - estimate unavailable
+        return None
 
-    The check reads at most ``max_rows + 1`` rows. Beyond the bound the
-    join falls back to Spark's own choice (sort-merge with AQE).
+
+def broadcast_if_small(df: DataFrame, max_bytes: int = 64 << 20, max_rows: int = 1_000_000) -> DataFrame:
+    """Broadcast hint only behind a size check; otherwise Spark picks the join.
+
+    The check is Catalyst's size estimate; when no estimate exists, a bounded
+    row count (at most ``max_rows + 1`` rows read). Beyond the bound the join
+    stays a shuffle join (sort-merge, with AQE skew splitting).
     """
+    size = estimated_bytes(df)
+    if size is not None:
+        return F.broadcast(df) if size <= max_bytes else df
     n = df.limit(max_rows + 1).count()
     return F.broadcast(df) if n <= max_rows else df
 

@@ -1,0 +1 @@
+"""Raw inputs: explicit schemas, landed-file readers, test-table derivations."""

@@ -16,8 +16,8 @@ from riskloom.session import broadcast_if_small, table_path
 from riskloom.sources.schemas import (CREDIT_POSITIONAL_NAMES, INDICATOR_COLUMNS,
                                       RAW_CREDIT_COLUMNS, RAW_MARKETING_COLUMNS)
 
-# Dimension tables joined by broadcast stay under this many rows.
-DIMENSION_MAX_ROWS = 100_000
+# Dimension tables are broadcast only while their estimated size stays under this.
+DIMENSION_MAX_BYTES = 64 << 20
 
 # --- Fixed values of the derivation rules (test-data mapping).
 QUANTITY_STATUS_BOUNDS = ((20, -2), (34, -1), (44, 0), (46, 1), (48, 2), (49, 3))
@@ -98,7 +98,7 @@ def macro_panel_from_tables(orders: DataFrame, customer: DataFrame, nation: Data
     o = orders.select("o_custkey", "o_totalprice", "o_orderstatus", "o_orderpriority",
                       F.year("o_orderdate").alias("order_year"))
     c = customer.select("c_custkey", "c_nationkey")
-    n = broadcast_if_small(nation.select("n_nationkey", "n_name"), DIMENSION_MAX_ROWS)
+    n = broadcast_if_small(nation.select("n_nationkey", "n_name"), DIMENSION_MAX_BYTES)
     j = o.join(c, o.o_custkey == c.c_custkey).join(n, F.col("c_nationkey") == F.col("n_nationkey"))
 
     def share(pred):
@@ -115,7 +115,7 @@ def macro_panel_from_tables(orders: DataFrame, customer: DataFrame, nation: Data
     )
     key = F.col("n_nationkey") + F.col("order_year") + YEAR_SHIFT
     n_rows = F.col("n")
-    return g.select(
+    panel = g.select(
         F.col("n_name").alias("country_code"),
         (F.col("order_year") + YEAR_SHIFT).cast("int").alias("year"),
         F.when(key % 7 == 0, F.lit(None).cast("double"))
@@ -126,6 +126,10 @@ def macro_panel_from_tables(orders: DataFrame, customer: DataFrame, nation: Data
         (F.lit(2.0) + F.lit(20.0) * F.col("status_score") / n_rows).alias("gdp_growth_annual_pct"),
         (F.lit(25.0) * F.col("low_priority") / n_rows).alias("inflation_cpi_annual_pct"),
     )
+    # The panel is bounded (countries x years). Hash it by country once: every
+    # later step (per-series window, pivot per country-year, per-country LAG)
+    # clusters on a superset of country_code and reuses this partitioning.
+    return panel.repartition("country_code")
 
 
 def macro_long(panel: DataFrame) -> DataFrame:

@@ -1,0 +1,8 @@
+"""Streaming: intentionally empty.
+
+The rebuilt workload is a weekly full batch refresh over landed files; it
+has no event streams, watermarks, windows over event time or stateful
+operators, so nothing here uses Structured Streaming. The batch job in
+``riskloom.plans.pipeline`` is idempotent (overwrite per layer) and is the
+unit a scheduler would re-run.
+"""
