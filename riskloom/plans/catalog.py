@@ -214,12 +214,13 @@ def fn_safe_ratio(spark, sf_dir):
 
 def _dq(kinds):
     def run(spark, sf_dir):
-        return quality.run_checks(models(Layers(spark, sf_dir)), kinds=kinds)
+        # Many check branches read the same models: cut lineage once.
+        return quality.run_checks(models(Layers(spark, sf_dir, materialize=True)), kinds=kinds)
     return run
 
 
 def dq_row_counts(spark, sf_dir):
-    return quality.row_count_results(models(Layers(spark, sf_dir)))
+    return quality.row_count_results(models(Layers(spark, sf_dir, materialize=True)))
 
 
 def dq_countries(spark, sf_dir):

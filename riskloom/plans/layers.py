@@ -17,9 +17,26 @@ from riskloom.sources import testtables as tt
 
 
 class Layers:
-    def __init__(self, spark: SparkSession, sf_dir: str):
+    """Model graph over one scale-factor folder.
+
+    ``materialize=True`` cuts lineage after the two expensive derivations
+    (loans from orders x line items, the macro panel) with a reliable
+    ``checkpoint()`` in the shared checkpoint folder. Use it when one job
+    reads many models (the check suite): every branch then scans the
+    checkpoint instead of re-aggregating the line items.
+    """
+
+    def __init__(self, spark: SparkSession, sf_dir: str, materialize: bool = False):
         self.spark = spark
         self.sf_dir = sf_dir
+        self.materialize = materialize
+
+    def _cut(self, df: DataFrame) -> DataFrame:
+        if not self.materialize:
+            return df
+        from riskloom.session import checkpoint_dir
+        checkpoint_dir(self.spark)
+        return df.checkpoint(eager=True)
 
     def table(self, name: str) -> DataFrame:
         return tt.read_table(self.spark, self.sf_dir, name)
@@ -27,11 +44,12 @@ class Layers:
     # --- raw inputs ------------------------------------------------------
     @cached_property
     def raw_credit(self) -> DataFrame:
-        return tt.loans_from_tables(self.table("orders"), self.table("lineitem"))
+        return self._cut(tt.loans_from_tables(self.table("orders"), self.table("lineitem")))
 
     @cached_property
     def macro_panel(self) -> DataFrame:
-        return tt.macro_panel_from_tables(self.table("orders"), self.table("customer"), self.table("nation"))
+        return self._cut(tt.macro_panel_from_tables(self.table("orders"), self.table("customer"),
+                                                    self.table("nation")))
 
     @cached_property
     def macro_long(self) -> DataFrame:

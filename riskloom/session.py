@@ -25,6 +25,8 @@ def build_session(master: str | None = None, app: str = "riskloom",
         "spark.sql.adaptive.coalescePartitions.enabled": "true",
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.sql.session.timeZone": "UTC",
+        # checkpoint files are removed once their DataFrame is unreachable
+        "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
     }
     if shuffle_partitions:
         conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
