@@ -32,9 +32,10 @@ class Layers:
         self.materialize = materialize
 
     def _cut(self, df: DataFrame) -> DataFrame:
-        if not self.materialize:
+        from riskloom.session import checkpoint_dir, has_checkpoint_dir
+        # Without a shared checkpoint folder the plan stays lazy (same result, more work).
+        if not self.materialize or not has_checkpoint_dir(self.spark):
             return df
-        from riskloom.session import checkpoint_dir
         checkpoint_dir(self.spark)
         return df.checkpoint(eager=True)
 

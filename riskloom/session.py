@@ -54,6 +54,12 @@ def checkpoint_dir(spark: SparkSession, fallback: str | None = None) -> str:
     return d
 
 
+def has_checkpoint_dir(spark: SparkSession) -> bool:
+    return bool(spark.conf.get("spark.checkpoint.dir", None)
+                or spark.sparkContext.getConf().get("spark.checkpoint.dir")
+                or not spark.sparkContext._jsc.sc().getCheckpointDir().isEmpty())
+
+
 def estimated_bytes(df: DataFrame) -> int | None:
     """Catalyst's size estimate of a plan (file sizes x projection), no job run."""
     try:
