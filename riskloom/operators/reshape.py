@@ -128,6 +128,23 @@ def recent_values(long: DataFrame, n: int = RECENT_VALUES,
     return long.withColumn("_rn", F.row_number().over(w)).filter(F.col("_rn") <= n).drop("_rn")
 
 
+def recent_values_wide(panel: DataFrame, n: int = RECENT_VALUES,
+                       indicators: Sequence[str] = INDICATOR_COLUMNS) -> DataFrame:
+    """Wide-panel form of ``recent_values`` + ``pivot_indicators``.
+
+    For each indicator, a running count of non-NULL values per country,
+    newest year first, gives the value's recency rank; values beyond ``n``
+    become NULL and rows left with no value are dropped. One window over the
+    country partitioning, no unpivot/pivot round trip.
+    """
+    w = (Window.partitionBy("country_code").orderBy(F.col("year").desc())
+         .rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    kept = [F.when(F.col(c).isNotNull() & (F.count(F.col(c)).over(w) <= n), F.col(c)).alias(c)
+            for c in indicators]
+    out = panel.select("year", "country_code", *kept)
+    return out.filter(reduce(lambda a, b: a | b, [F.col(c).isNotNull() for c in indicators]))
+
+
 def pivot_indicators(long: DataFrame, indicators: Sequence[str] = INDICATOR_COLUMNS) -> DataFrame:
     """Long series -> wide panel, one column per expected indicator.
 

@@ -45,6 +45,14 @@ def test_full_outer_equals_pivot(spark):
     assert same(reshape.full_outer_series(lay.raw_indicator_recent), lay.raw_macro)
 
 
+def test_recent_values_wide_equals_long_pivot(spark):
+    lay = Layers(spark, SF_MID)
+    assert same(reshape.pivot_indicators(lay.raw_indicator_recent), lay.raw_macro)
+    for n in (1, 3):
+        long_form = reshape.pivot_indicators(reshape.recent_values(lay.macro_long, n))
+        assert same(long_form, reshape.recent_values_wide(lay.macro_panel, n))
+
+
 def test_rollups_match_mart_totals(spark):
     lay = Layers(spark, SF_MID)
     s = lay.mart_portfolio_summary
