@@ -58,15 +58,24 @@ def models(layers: Layers) -> dict[str, DataFrame]:
     return {m: getattr(layers, m) for m in MODEL_NAMES}
 
 
+# Models computed from the expected-loss inputs read the segments twice.
+ECL_CONSUMERS = {"int_ecl_inputs", "mart_npl_analysis", "mart_ecl_estimates"}
+
+
+def _layers_for(spark: SparkSession, sf_dir: str, needs) -> Layers:
+    cut = Layers.FOR_ECL if ECL_CONSUMERS & set(needs) else ()
+    return Layers(spark, sf_dir, cut=cut)
+
+
 def _layer(name: str) -> Query:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        return getattr(Layers(spark, sf_dir), name)
+        return getattr(_layers_for(spark, sf_dir, [name]), name)
     return run
 
 
 def _serving(fn, inputs) -> Query:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        lay = Layers(spark, sf_dir)
+        lay = _layers_for(spark, sf_dir, inputs)
         return fn(*[getattr(lay, i) for i in inputs])
     return run
 
@@ -215,12 +224,12 @@ def fn_safe_ratio(spark, sf_dir):
 def _dq(kinds):
     def run(spark, sf_dir):
         # Many check branches read the same models: cut lineage once.
-        return quality.run_checks(models(Layers(spark, sf_dir, materialize=True)), kinds=kinds)
+        return quality.run_checks(models(Layers(spark, sf_dir, cut=Layers.FOR_CHECKS)), kinds=kinds)
     return run
 
 
 def dq_row_counts(spark, sf_dir):
-    return quality.row_count_results(models(Layers(spark, sf_dir, materialize=True)))
+    return quality.row_count_results(models(Layers(spark, sf_dir, cut=Layers.FOR_CHECKS)))
 
 
 def dq_countries(spark, sf_dir):

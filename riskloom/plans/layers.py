@@ -19,22 +19,26 @@ from riskloom.sources import testtables as tt
 class Layers:
     """Model graph over one scale-factor folder.
 
-    ``materialize=True`` cuts lineage after the two expensive derivations
-    (loans from orders x line items, the macro panel) with a reliable
-    ``checkpoint()`` in the shared checkpoint folder. Use it when one job
-    reads many models (the check suite): every branch then scans the
-    checkpoint instead of re-aggregating the line items.
+    ``cut`` names models after which lineage is cut with a reliable
+    ``checkpoint()`` in the shared checkpoint folder, for jobs that read a
+    model more than once: the check suite reads every layer (cut the loan
+    and macro derivations), expected-loss inputs read the segments twice
+    (PD pass + join; cut the segments). Each cut model is then computed once
+    and scanned from the checkpoint instead of re-aggregating line items.
     """
 
-    def __init__(self, spark: SparkSession, sf_dir: str, materialize: bool = False):
+    FOR_CHECKS = ("raw_credit", "macro_panel")
+    FOR_ECL = ("int_portfolio_segments",)
+
+    def __init__(self, spark: SparkSession, sf_dir: str, cut: tuple[str, ...] = ()):
         self.spark = spark
         self.sf_dir = sf_dir
-        self.materialize = materialize
+        self.cut = frozenset(cut)
 
-    def _cut(self, df: DataFrame) -> DataFrame:
+    def _cut(self, name: str, df: DataFrame) -> DataFrame:
         from riskloom.session import checkpoint_dir, has_checkpoint_dir
         # Without a shared checkpoint folder the plan stays lazy (same result, more work).
-        if not self.materialize or not has_checkpoint_dir(self.spark):
+        if name not in self.cut or not has_checkpoint_dir(self.spark):
             return df
         checkpoint_dir(self.spark)
         return df.checkpoint(eager=True)
@@ -45,12 +49,12 @@ class Layers:
     # --- raw inputs ------------------------------------------------------
     @cached_property
     def raw_credit(self) -> DataFrame:
-        return self._cut(tt.loans_from_tables(self.table("orders"), self.table("lineitem")))
+        return self._cut("raw_credit", tt.loans_from_tables(self.table("orders"), self.table("lineitem")))
 
     @cached_property
     def macro_panel(self) -> DataFrame:
-        return self._cut(tt.macro_panel_from_tables(self.table("orders"), self.table("customer"),
-                                                    self.table("nation")))
+        return self._cut("macro_panel", tt.macro_panel_from_tables(
+            self.table("orders"), self.table("customer"), self.table("nation")))
 
     @cached_property
     def macro_long(self) -> DataFrame:
@@ -89,7 +93,8 @@ class Layers:
 
     @cached_property
     def int_portfolio_segments(self) -> DataFrame:
-        return intermediate.int_portfolio_segments(self.int_loan_delinquency)
+        return self._cut("int_portfolio_segments",
+                         intermediate.int_portfolio_segments(self.int_loan_delinquency))
 
     @cached_property
     def bucket_pd(self) -> DataFrame:
