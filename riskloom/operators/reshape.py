@@ -55,24 +55,22 @@ def add_dense_id(df: DataFrame, order_by: Sequence[str], id_col: str = "id",
     """Dense ids 1..n following ``order_by`` (which should be unique).
 
     Two passes: the frame is range-partitioned and sorted within partitions,
-    stamped with (partition, position) and written once with a reliable
-    ``checkpoint()`` to the shared checkpoint folder, so both passes read the
-    same layout (range sampling could otherwise differ between two
-    evaluations) and a lost executor does not change it. Pass one counts rows
-    per partition (one row per partition, broadcast); pass two adds the
-    partition's offset to the position. No single-task global window.
+    stamped with (partition, position) and written once as a table in the
+    shared checkpoint folder, so both passes read the same stamps (range
+    sampling could otherwise differ between two evaluations) and a lost
+    executor does not change them. Pass one counts rows per partition (one
+    row per partition, broadcast); pass two adds the partition's offset to
+    the position. No single-task global window.
     """
-    from riskloom.session import checkpoint_dir
+    from riskloom.session import materialize
 
     spark = df.sparkSession
-    checkpoint_dir(spark)
     n = num_partitions or spark.sparkContext.defaultParallelism
-    part = (df.repartitionByRange(n, *order_by)
-            .sortWithinPartitions(*order_by)
-            .withColumn("_pid", F.spark_partition_id())
-            .withColumn("_pos", F.monotonically_increasing_id()
-                        - F.shiftleft(F.col("_pid").cast("long"), 33))
-            .checkpoint(eager=True))
+    part = materialize(df.repartitionByRange(n, *order_by)
+                       .sortWithinPartitions(*order_by)
+                       .withColumn("_pid", F.spark_partition_id())
+                       .withColumn("_pos", F.monotonically_increasing_id()
+                                   - F.shiftleft(F.col("_pid").cast("long"), 33)), "dense-id")
     counts = part.groupBy("_pid").agg(F.count(F.lit(1)).alias("_n"))
     # Offsets over at most ``n`` rows (one per partition).
     offsets = counts.select(

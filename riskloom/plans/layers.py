@@ -19,12 +19,12 @@ from riskloom.sources import testtables as tt
 class Layers:
     """Model graph over one scale-factor folder.
 
-    ``cut`` names models after which lineage is cut with a reliable
-    ``checkpoint()`` in the shared checkpoint folder, for jobs that read a
+    ``cut`` names models after which lineage is cut by writing them once as
+    Parquet in the shared checkpoint folder, for jobs that read a
     model more than once: the check suite reads every layer (cut the loan
     and macro derivations), expected-loss inputs read the segments twice
     (PD pass + join; cut the segments). Each cut model is then computed once
-    and scanned from the checkpoint instead of re-aggregating line items.
+    and scanned from the written table instead of re-aggregating line items.
     """
 
     FOR_CHECKS = ("raw_credit", "macro_panel")
@@ -36,12 +36,11 @@ class Layers:
         self.cut = frozenset(cut)
 
     def _cut(self, name: str, df: DataFrame) -> DataFrame:
-        from riskloom.session import checkpoint_dir, has_checkpoint_dir
+        from riskloom.session import has_checkpoint_dir, materialize
         # Without a shared checkpoint folder the plan stays lazy (same result, more work).
         if name not in self.cut or not has_checkpoint_dir(self.spark):
             return df
-        checkpoint_dir(self.spark)
-        return df.checkpoint(eager=True)
+        return materialize(df, name)
 
     def table(self, name: str) -> DataFrame:
         return tt.read_table(self.spark, self.sf_dir, name)

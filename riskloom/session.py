@@ -54,6 +54,23 @@ def checkpoint_dir(spark: SparkSession, fallback: str | None = None) -> str:
     return d
 
 
+def materialize(df: DataFrame, label: str = "cut") -> DataFrame:
+    """Cut lineage: write ``df`` once as Parquet under the shared checkpoint folder, read it back.
+
+    One computation (a reliable ``checkpoint()`` computes its input twice
+    unless persisted), columnar re-reads with pruning, and the table
+    survives lost executors. Tables go to
+    ``<spark.checkpoint.dir>/riskloom-tables/<label>-<uuid>``.
+    """
+    import uuid
+
+    spark = df.sparkSession
+    base = checkpoint_dir(spark)
+    path = os.path.join(base, "riskloom-tables", f"{label}-{uuid.uuid4().hex}")
+    df.write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path)
+
+
 def has_checkpoint_dir(spark: SparkSession) -> bool:
     return bool(spark.conf.get("spark.checkpoint.dir", None)
                 or spark.sparkContext.getConf().get("spark.checkpoint.dir")
