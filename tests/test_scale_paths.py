@@ -90,3 +90,19 @@ def test_hot_keys_give_exact_results(spark):
     assert ok2, msg2
     # the hot order really is a third of the line items and still one loan
     assert loans.filter(F.col("id") == lineitem.agg(F.min("l_orderkey")).first()[0]).count() == 1
+
+
+def test_broadcast_only_behind_size_check(spark):
+    from riskloom.session import broadcast_if_small, estimated_bytes
+    nation = spark.read.parquet(f"{SF_MID}/nation.parquet")
+    orders = spark.read.parquet(f"{SF_MID}/orders.parquet")
+    assert estimated_bytes(nation) is not None
+    small = broadcast_if_small(nation, max_bytes=64 << 20)
+    big = broadcast_if_small(orders, max_bytes=1024)          # over the bound: no hint
+    with conf(spark, **NO_BROADCAST):
+        j_small = orders.join(small, orders.o_custkey == small.n_nationkey)
+        j_big = nation.join(big, big.o_custkey == nation.n_nationkey)
+        p_small = j_small._jdf.queryExecution().executedPlan().toString()
+        p_big = j_big._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in p_small
+    assert "BroadcastHashJoin" not in p_big
