@@ -80,7 +80,7 @@ def has_checkpoint_dir(spark: SparkSession) -> bool:
 def estimated_bytes(df: DataFrame) -> int | None:
     """Catalyst's size estimate of a plan (file sizes x projection), no job run."""
     try:
-        return int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes().toString())
+        return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
     except Exception:  # noqa: BLE001 - estimate unavailable
         return None
 
