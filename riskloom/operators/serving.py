@@ -3,24 +3,26 @@
 Each function takes mart DataFrames (a few hundred rows at most, whatever
 the loan count) and returns the small finished frame a report shows. Where
 the display order matters a rank column is exposed, and the frame is sorted
-by it as the last step. Totals for shares come from a one-row aggregate
-joined by a constant key (a broadcast of exactly one row).
+by it as the last step. Shares of a total use a window over the roll-up,
+which has at most one row per label (<= 5); no joins without keys.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from riskloom.functions import rules as R
 
 
-def _with_total_share(df: DataFrame, value: str, share: str) -> DataFrame:
-    """Add ``share`` = value / total * 100 (2 dp); the total is a one-row broadcast."""
-    total = df.agg(F.sum(value).alias("_total")).withColumn("_k", F.lit(1))
-    j = df.withColumn("_k", F.lit(1)).join(F.broadcast(total), "_k")
-    return (j.withColumn(share, R.round_std(R.nonzero_ratio_pct(F.col(value).cast("double"), "_total"), 2))
-            .drop("_k", "_total"))
+def _with_total_share(rollup: DataFrame, value: str, share: str) -> DataFrame:
+    """Add ``share`` = value / total * 100 (2 dp) to a roll-up of at most a few label rows.
+
+    The unpartitioned window only ever sees the bounded roll-up (one row per
+    label), never loan rows.
+    """
+    total = F.sum(value).over(Window.partitionBy())
+    return rollup.withColumn(share, R.round_std(R.nonzero_ratio_pct(F.col(value).cast("double"), total), 2))
 
 
 # --------------------------------------------------------------------------
@@ -68,9 +70,11 @@ def dash_by_age_band(summary: DataFrame) -> DataFrame:
 
 def dash_risk_kpis(npl: DataFrame, ecl: DataFrame) -> DataFrame:
     """Portfolio NPL rate vs the 15 % threshold, NPL loans, total provision, ECL rate."""
+    # Two one-row aggregates side by side: union them and take each column from its row.
     a = npl.agg(F.sum("loan_count").alias("total_loans"), F.sum("npl_count").alias("npl_loans"))
     b = ecl.agg(F.sum("total_ecl").alias("total_ecl_provision"), F.sum("total_ead").alias("total_ead"))
-    j = a.withColumn("_k", F.lit(1)).join(F.broadcast(b.withColumn("_k", F.lit(1))), "_k")
+    u = a.unionByName(b, allowMissingColumns=True)
+    j = u.agg(*[F.max(c).alias(c) for c in ("total_loans", "npl_loans", "total_ecl_provision", "total_ead")])
     npl_rate = F.when(F.col("total_loans") > 0,
                       R.round_std(F.col("npl_loans") / F.col("total_loans") * 100.0, 2)).otherwise(F.lit(0.0))
     return j.select(

@@ -58,12 +58,17 @@ def models(layers: Layers) -> dict[str, DataFrame]:
     return {m: getattr(layers, m) for m in MODEL_NAMES}
 
 
-# Models computed from the expected-loss inputs read the segments twice.
+# Models whose plan reads one expensive base twice: the expected-loss inputs
+# read the segments twice (PD pass + join); the vintage mart reads the staged
+# loans twice (wide sums + exact distinct ids). That base is written once.
 ECL_CONSUMERS = {"int_ecl_inputs", "mart_npl_analysis", "mart_ecl_estimates"}
+VINTAGE_CONSUMERS = {"mart_vintage_curves"}
 
 
 def _layers_for(spark: SparkSession, sf_dir: str, needs) -> Layers:
-    cut = Layers.FOR_ECL if ECL_CONSUMERS & set(needs) else ()
+    needs = set(needs)
+    cut = (Layers.FOR_ECL if ECL_CONSUMERS & needs else ()) + \
+          (Layers.FOR_VINTAGE if VINTAGE_CONSUMERS & needs else ())
     return Layers(spark, sf_dir, cut=cut)
 
 
@@ -92,7 +97,8 @@ def raw_credit_rename(spark, sf_dir):
 
 def raw_credit_concat(spark, sf_dir):
     """Features and target held apart, put together again by a join on the id."""
-    positional = tt.credit_positional(Layers(spark, sf_dir).raw_credit)
+    # both sides come from one written base, not two evaluations of the derivation
+    positional = tt.credit_positional(Layers(spark, sf_dir, cut=("raw_credit",)).raw_credit)
     features = positional.drop("Y")
     target = positional.select("id", "Y")
     joined = features.join(target, "id")
@@ -113,7 +119,8 @@ def surrogate_id(spark, sf_dir):
 
 
 def macro_full_outer(spark, sf_dir):
-    return reshape.full_outer_series(Layers(spark, sf_dir).raw_indicator_recent)
+    # five series filters over one written panel, not five panel derivations
+    return reshape.full_outer_series(Layers(spark, sf_dir, cut=("macro_panel",)).raw_indicator_recent)
 
 
 def raw_indicator_unpivot(spark, sf_dir):

@@ -29,6 +29,7 @@ class Layers:
 
     FOR_CHECKS = ("raw_credit", "macro_panel")
     FOR_ECL = ("int_portfolio_segments",)
+    FOR_VINTAGE = ("stg_credit_default",)
 
     def __init__(self, spark: SparkSession, sf_dir: str, cut: tuple[str, ...] = ()):
         self.spark = spark
@@ -75,7 +76,7 @@ class Layers:
     # --- staging -----------------------------------------------------------
     @cached_property
     def stg_credit_default(self) -> DataFrame:
-        return staging.stg_credit_default(self.raw_credit)
+        return self._cut("stg_credit_default", staging.stg_credit_default(self.raw_credit))
 
     @cached_property
     def stg_bank_marketing(self) -> DataFrame:
