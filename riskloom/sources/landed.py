@@ -33,13 +33,24 @@ def _positional_credit_schema() -> StructType:
 
 
 def read_raw_credit(spark: SparkSession, path: str, fmt: str = "parquet",
-                    positional: bool = False) -> DataFrame:
-    """Credit records; ``positional`` files carry X1..X23, Y and are renamed (all must exist)."""
+                    positional: bool = False, order_by: Sequence[str] | None = None) -> DataFrame:
+    """Credit records; ``positional`` files carry X1..X23, Y and are renamed (all must exist).
+
+    A file without an ``id`` column gets dense ids 1..n in ``order_by`` order
+    (a stable key of the landed rows; file row position is not one).
+    """
+    schema = _positional_credit_schema() if positional else RAW_CREDIT_SCHEMA
+    if order_by:
+        schema = StructType([f for f in schema.fields if f.name != "id"])
+        extra = [c for c in order_by if c not in schema.fieldNames()]
+        if extra:
+            raise ValueError(f"order_by columns not in the credit schema: {extra}")
+    df = _reader(spark, fmt, schema).load(path)
     if positional:
-        df = _reader(spark, fmt, _positional_credit_schema()).load(path)
         df = reshape.rename_credit_positional(df)
-    else:
-        df = _reader(spark, fmt, RAW_CREDIT_SCHEMA).load(path)
+    if order_by:
+        key = [reshape.CREDIT_POSITIONAL_NAMES.get(c, c) for c in order_by] if positional else list(order_by)
+        df = reshape.add_dense_id(df, key)
     return df.select(*RAW_CREDIT_COLUMNS)
 
 
@@ -53,12 +64,13 @@ def read_raw_credit_split(spark: SparkSession, features_path: str, target_path:
 
 
 def read_raw_marketing(spark: SparkSession, path: str, fmt: str = "csv",
-                       order_by: Sequence[str] | None = None) -> DataFrame:
+                       order_by: Sequence[str] | None = None, sep: str = ",") -> DataFrame:
     """Marketing records under source names; normalised, renamed, and given an id.
 
     When the file has no id, dense ids 1..n are assigned in ``order_by`` order.
+    CSV columns are read as text and cast to the raw schema after renaming.
     """
-    raw = spark.read.format(fmt).option("header", "true").load(path) if fmt == "csv" \
+    raw = spark.read.format(fmt).option("header", "true").option("sep", sep).load(path) if fmt == "csv" \
         else spark.read.format(fmt).load(path)
     df = reshape.rename_marketing(raw)
     if "id" not in df.columns:

@@ -40,6 +40,18 @@ def test_landed_positional_credit_round_trip(spark, scratch):
     assert same(landed.read_raw_credit(spark, p, positional=True), raw)
 
 
+def test_landed_credit_without_id_gets_dense_ids(spark, scratch):
+    raw = Layers(spark, SF_SMALL).raw_credit
+    p = os.path.join(scratch, "credit_no_id")
+    # the source id survives as an ordinary column used only to order the rows
+    tt.credit_positional(raw).withColumnRenamed("id", "X0").write.mode("overwrite").parquet(p)
+    got = landed.read_raw_credit(spark, p, positional=True, order_by=["X1", "X2", "X5", "X12", "X18"])
+    n = raw.count()
+    assert got.count() == n
+    assert sorted(r.id for r in got.select("id").collect()) == list(range(1, n + 1))
+    assert set(got.columns) == set(raw.columns)
+
+
 def test_landed_split_credit_joined_by_id(spark, scratch):
     pos = tt.credit_positional(Layers(spark, SF_SMALL).raw_credit)
     fp, tp = os.path.join(scratch, "feat"), os.path.join(scratch, "target")
