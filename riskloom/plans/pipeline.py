@@ -121,6 +121,9 @@ def main(argv=None) -> int:
     a = ap.parse_args(argv)
     spark = build_session()
     if a.tables:
+        from riskloom.session import size_shuffle_partitions
+        from riskloom.sources.testtables import read_table
+        size_shuffle_partitions(spark, [read_table(spark, a.tables, t) for t in ("lineitem", "orders", "customer")])
         raw = raw_from_tables(spark, a.tables)
     else:
         if not (a.credit and a.marketing and a.macro):

@@ -100,5 +100,25 @@ def broadcast_if_small(df: DataFrame, max_bytes: int = 64 << 20, max_rows: int =
     return F.broadcast(df) if n <= max_rows else df
 
 
+def size_shuffle_partitions(spark: SparkSession, inputs, target_bytes: int = 256 << 20,
+                            max_partitions: int = 200_000) -> int:
+    """Initial shuffle partitions from the inputs' estimated size (~``target_bytes`` each).
+
+    AQE coalesces partitions that turn out small but does not split large
+    ones (apart from skewed joins), so the initial count must cover the
+    largest shuffle: about total input bytes / target, never below the
+    cluster's parallelism. Applied only when the user has not set it.
+    """
+    import math
+
+    total = sum(estimated_bytes(df) or 0 for df in inputs)
+    n = max(spark.sparkContext.defaultParallelism, math.ceil(total / target_bytes))
+    n = min(n, max_partitions)
+    if "spark.sql.shuffle.partitions" not in dict(spark.sparkContext.getConf().getAll()) \
+            and spark.conf.get("spark.sql.shuffle.partitions") == "200":
+        spark.conf.set("spark.sql.shuffle.partitions", str(n))
+    return int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
 def table_path(sf_dir: str, name: str) -> str:
     return os.path.join(sf_dir, f"{name}.parquet")

@@ -106,3 +106,12 @@ def test_broadcast_only_behind_size_check(spark):
         p_big = j_big._jdf.queryExecution().executedPlan().toString()
     assert "BroadcastHashJoin" in p_small
     assert "BroadcastHashJoin" not in p_big
+
+
+def test_shuffle_partitions_sized_from_input(spark):
+    from riskloom.session import estimated_bytes, size_shuffle_partitions
+    li = spark.read.parquet(f"{SF_MID}/lineitem.parquet")
+    assert estimated_bytes(li) > 0
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    # the test session sets the value explicitly: the helper must leave it alone
+    assert size_shuffle_partitions(spark, [li], target_bytes=1024) == int(before)
