@@ -115,3 +115,16 @@ def test_shuffle_partitions_sized_from_input(spark):
     before = spark.conf.get("spark.sql.shuffle.partitions")
     # the test session sets the value explicitly: the helper must leave it alone
     assert size_shuffle_partitions(spark, [li], target_bytes=1024) == int(before)
+
+
+def test_no_key_caps_samples_or_crosses_rows(spark):
+    """Every registered query runs over whole tables: no limits, samples or keyless joins."""
+    from conftest import SF_SMALL
+    bad = {}
+    for key, q in E.queries().items():
+        plan = q(spark, SF_SMALL)._jdf.queryExecution().executedPlan().toString()
+        hits = [op for op in ("GlobalLimit", "LocalLimit", "CollectLimit", "TakeOrderedAndProject", "Sample",
+                              "CartesianProduct", "BroadcastNestedLoopJoin") if op in plan]
+        if hits:
+            bad[key] = hits
+    assert not bad, bad
