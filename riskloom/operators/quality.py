@@ -93,9 +93,8 @@ RESULT_COLUMNS = ("model", "column_name", "check_name", "failing_rows")
 
 
 def _result(df: DataFrame, check: Check, failing) -> DataFrame:
-    return df.agg(failing.alias("failing_rows")).select(
-        F.lit(check.model).alias("model"), F.lit(check.column_name).alias("column_name"),
-        F.lit(check.kind).alias("check_name"), F.col("failing_rows").cast("long").alias("failing_rows"))
+    return df.agg(F.lit(check.model).alias("model"), F.lit(check.column_name).alias("column_name"),
+                  F.lit(check.kind).alias("check_name"), failing.cast("long").alias("failing_rows"))
 
 
 def not_null_results(models: Mapping[str, DataFrame], checks: Sequence[Check]) -> list[DataFrame]:
