@@ -212,3 +212,29 @@ HISTORY_COLUMNS = ("year", "npl_ratio_pct", "bank_capital_assets_ratio_pct",
 def dash_regulatory_history(reg: DataFrame) -> DataFrame:
     """Display columns (plus the country), newest year first."""
     return reg.select("country_code", *HISTORY_COLUMNS).orderBy(F.col("country_code"), F.col("year").desc())
+
+
+# --------------------------------------------------------------------------
+# Marts in their display order (the sort the stored models carried)
+# --------------------------------------------------------------------------
+
+def _stage_rank(c: str = "ifrs9_stage") -> F.Column:
+    return R.label_rank(c, R.IFRS9_STAGES)
+
+
+DISPLAY_ORDER = {
+    "mart_portfolio_summary": lambda: [F.col("credit_size_bucket"), F.col("age_band")],
+    "mart_npl_analysis": lambda: [R.label_rank("dpd_bucket", R.DPD_BUCKETS)],
+    "mart_ecl_estimates": lambda: [_stage_rank(), F.col("credit_size_bucket")],
+    "mart_vintage_curves": lambda: [F.col("cohort"), F.col("month_num")],
+    "mart_regulatory_ratios": lambda: [F.col("country_code"), F.col("year")],
+}
+
+
+def in_display_order(name: str, mart: DataFrame) -> DataFrame:
+    """A mart sorted for display, as the serving edge reads it (marts are stored unsorted).
+
+    Label columns sort lexicographically where the reports did (size buckets:
+    Large, Medium, Micro, Small); bucket and stage use their severity rank.
+    """
+    return mart.orderBy(*DISPLAY_ORDER[name]())

@@ -89,3 +89,16 @@ def test_lag_uses_previous_retained_year(spark):
     got = {r.year: r.npl_yoy_change_pp for r in marts.mart_regulatory_ratios(df).collect()}
     # 2001 dropped (both NULL); 2003 kept via capital; 2004 - 2003 is NULL (2003 npl NULL)
     assert got == {2000: None, 2002: 2.5, 2003: None, 2004: None}
+
+
+def test_marts_in_display_order(spark):
+    from riskloom.functions import rules as R
+    lay = Layers(spark, SF_SMALL)
+    npl = serving.in_display_order("mart_npl_analysis", lay.mart_npl_analysis).collect()
+    ranks = [R.DPD_BUCKETS.index(r.dpd_bucket) for r in npl]
+    assert ranks == sorted(ranks)
+    ecl = serving.in_display_order("mart_ecl_estimates", lay.mart_ecl_estimates).collect()
+    keys = [(R.IFRS9_STAGES.index(r.ifrs9_stage), r.credit_size_bucket) for r in ecl]
+    assert keys == sorted(keys)
+    v = serving.in_display_order("mart_vintage_curves", lay.mart_vintage_curves).collect()
+    assert [(r.cohort, r.month_num) for r in v] == sorted((r.cohort, r.month_num) for r in v)
