@@ -46,3 +46,14 @@ def test_required_columns(spark):
     lay = Layers(spark, SF_SMALL)
     assert quality.missing_columns(lay.raw_credit, quality.REQUIRED_COLUMNS["raw_credit"]) == []
     assert quality.missing_columns(lay.raw_credit.drop("age"), ["id", "age"]) == ["age"]
+
+
+def test_unique_check_with_a_hot_key(spark):
+    """A third of the rows share one id: counted once as a duplicated value, exactly."""
+    seg = Layers(spark, SF_SMALL).int_portfolio_segments
+    hot = seg.agg(F.min("id")).first()[0]
+    skewed = seg.withColumn("id", F.when(F.col("id") % 3 == 0, F.lit(hot)).otherwise(F.col("id")))
+    checks = [c for c in quality.CHECKS if c.model == "int_portfolio_segments" and c.kind == "unique"]
+    res = failing(quality.run_checks({"int_portfolio_segments": skewed}, checks, kinds=("unique",)))
+    expect = skewed.groupBy("id").count().filter("count > 1").count()
+    assert res[("int_portfolio_segments", "id", "unique")] == expect >= 1
