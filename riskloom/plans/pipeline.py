@@ -38,13 +38,35 @@ def _write(df: DataFrame, out_dir: str, layer: str, name: str) -> DataFrame:
     return df.sparkSession.read.parquet(path)
 
 
+def _write_all(jobs: Mapping[str, DataFrame], out_dir: str, layer: str, workers: int) -> dict[str, DataFrame]:
+    """Write independent tables of one layer as concurrent Spark jobs.
+
+    Tables of one layer do not read each other, so their jobs can share the
+    cluster (small jobs fill slots a big one leaves idle). Every job runs to
+    the end before the first error, if any, is raised.
+    """
+    if workers <= 1 or len(jobs) == 1:
+        return {n: _write(df, out_dir, layer, n) for n, df in jobs.items()}
+    from concurrent.futures import ThreadPoolExecutor
+
+    with ThreadPoolExecutor(max_workers=min(workers, len(jobs))) as pool:
+        futures = {n: pool.submit(_write, df, out_dir, layer, n) for n, df in jobs.items()}
+        errors = [f.exception() for f in futures.values() if f.exception() is not None]
+    if errors:
+        raise errors[0]
+    return {n: f.result() for n, f in futures.items()}
+
+
 def run_pipeline(spark: SparkSession, raw: RawInputs, out_dir: str,
-                 with_serving: bool = True) -> dict[str, DataFrame]:
-    """Build every layer under ``out_dir`` (a shared folder); returns the written tables."""
+                 with_serving: bool = True, workers: int = 4) -> dict[str, DataFrame]:
+    """Build every layer under ``out_dir`` (a shared folder); returns the written tables.
+
+    Layers run in order; the independent tables inside a layer are written
+    by up to ``workers`` concurrent jobs.
+    """
     t: dict[str, DataFrame] = {}
-    t["raw_credit"] = _write(raw.credit, out_dir, "raw", "raw_credit")
-    t["raw_marketing"] = _write(raw.marketing, out_dir, "raw", "raw_marketing")
-    t["raw_macro"] = _write(raw.macro, out_dir, "raw", "raw_macro")
+    t.update(_write_all({"raw_credit": raw.credit, "raw_marketing": raw.marketing, "raw_macro": raw.macro},
+                        out_dir, "raw", workers))
 
     # staging: lazy views over the raw tables
     t["stg_credit_default"] = staging.stg_credit_default(t["raw_credit"])
@@ -67,16 +89,15 @@ def run_pipeline(spark: SparkSession, raw: RawInputs, out_dir: str,
         "mart_vintage_curves": lambda: marts.mart_vintage_curves(t["stg_credit_default"]),
         "mart_regulatory_ratios": lambda: marts.mart_regulatory_ratios(t["stg_macro"]),
     }
-    for name, build in builders.items():
-        t[name] = _write(build(), out_dir, "marts", name)
+    t.update(_write_all({name: build() for name, build in builders.items()}, out_dir, "marts", workers))
 
     # checks over the written tables
-    t["dq_checks"] = _write(quality.run_checks(t), out_dir, "checks", "dq_checks")
-    t["dq_row_counts"] = _write(quality.row_count_results(t), out_dir, "checks", "dq_row_counts")
+    t.update(_write_all({"dq_checks": quality.run_checks(t), "dq_row_counts": quality.row_count_results(t)},
+                        out_dir, "checks", workers))
 
     if with_serving:
-        for key, (fn, inputs) in serving_plan().items():
-            t[key] = _write(fn(*[t[i] for i in inputs]), out_dir, "serving", key)
+        t.update(_write_all({key: fn(*[t[i] for i in inputs]) for key, (fn, inputs) in serving_plan().items()},
+                            out_dir, "serving", workers))
     return t
 
 

@@ -88,3 +88,15 @@ def test_landed_indicators_skip_missing_and_fill_null(spark, scratch):
 
 def test_rename_helpers():
     assert reshape.normalise_name("Day Of.Week") == "day_of_week"
+
+
+def test_concurrent_layer_write_reports_failures(spark, scratch):
+    import pytest
+    from riskloom.plans.pipeline import _write_all
+    good = spark.range(10)
+    bad = spark.range(10).select((F.col("id") / F.lit(0)).alias("x")) if spark.conf.get(
+        "spark.sql.ansi.enabled", "true") == "true" else spark.range(10).select(F.raise_error("boom"))
+    out = os.path.join(scratch, "concurrent")
+    with pytest.raises(Exception):
+        _write_all({"good": good, "bad": bad}, out, "layer", workers=2)
+    assert _write_all({"a": good, "b": good}, out, "layer", workers=2)["b"].count() == 10
