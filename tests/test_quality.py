@@ -1,5 +1,6 @@
 """Data-quality checks: clean layers pass where the data allows; broken data is caught."""
 
+import pytest
 from pyspark.sql import functions as F
 
 from conftest import SF_SMALL
@@ -57,3 +58,26 @@ def test_unique_check_with_a_hot_key(spark):
     res = failing(quality.run_checks({"int_portfolio_segments": skewed}, checks, kinds=("unique",)))
     expect = skewed.groupBy("id").count().filter("count > 1").count()
     assert res[("int_portfolio_segments", "id", "unique")] == expect >= 1
+
+
+@pytest.fixture(scope="module")
+def small_models(spark):
+    return models(Layers(spark, SF_SMALL, cut=Layers.FOR_CHECKS))
+
+
+def _break(df, check):
+    if check.kind == "not_null":
+        dtype = df.schema[check.column].dataType
+        return df.withColumn(check.column, F.lit(None).cast(dtype))
+    if check.kind == "unique":
+        return df.unionByName(df.limit(1))
+    dtype = df.schema[check.column].dataType
+    bad = F.lit("__not_listed__") if dtype.typeName() == "string" else F.lit(987654)
+    return df.withColumn(check.column, bad.cast(dtype))
+
+
+@pytest.mark.parametrize("check", quality.CHECKS, ids=lambda c: f"{c.model}.{c.column_name}.{c.kind}")
+def test_every_declared_check_catches_its_breakage(spark, small_models, check):
+    broken = {check.model: _break(small_models[check.model], check)}
+    res = failing(quality.run_checks(broken, [check], kinds=(check.kind,)))
+    assert res[(check.model, check.column_name, check.kind)] >= 1
