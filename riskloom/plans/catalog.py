@@ -125,8 +125,7 @@ def macro_full_outer(spark, sf_dir):
 
 def raw_indicator_unpivot(spark, sf_dir):
     """Series held one column per year, transposed back to (year, value) rows (NULL cells kept)."""
-    lay = Layers(spark, sf_dir)
-    wide = (lay.macro_long.groupBy("country_code", "indicator").pivot("year").agg(F.max("value")))
+    wide = tt.macro_wide_by_year(Layers(spark, sf_dir).macro_long)
     return reshape.unpivot_years(wide, ["country_code", "indicator"])
 
 

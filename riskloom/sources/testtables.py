@@ -138,10 +138,14 @@ def macro_long(panel: DataFrame) -> DataFrame:
             .filter(F.col("value").isNotNull()))
 
 
-def macro_wide_by_year(long: DataFrame, years: list[int]) -> DataFrame:
-    """One row per (country, indicator), one column per year (the raw series shape)."""
-    return (long.groupBy("country_code", "indicator")
-            .pivot("year", years).agg(F.max("value")))
+def macro_wide_by_year(long: DataFrame, years: list[int] | None = None) -> DataFrame:
+    """One row per (country, indicator), one column per year (the raw series shape).
+
+    Without ``years`` Spark finds the distinct years itself (one small job
+    over a bounded column: years are calendar values).
+    """
+    g = long.groupBy("country_code", "indicator")
+    return (g.pivot("year", years) if years is not None else g.pivot("year")).agg(F.max("value"))
 
 
 def marketing_from_tables(customer: DataFrame) -> DataFrame:
