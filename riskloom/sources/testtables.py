@@ -92,7 +92,7 @@ def macro_panel_from_tables(orders: DataFrame, customer: DataFrame, nation: Data
     """Wide macro panel: one row per (nation, year) with five indicator ratios.
 
     orders x customer is a shuffle join on the customer key (AQE splits a
-    hot customer); the nation dimension is broadcast behind a row check.
+    hot customer); the nation dimension is broadcast behind a size check.
     The (nation, year) aggregate collapses map-side to a few hundred rows.
     """
     o = orders.select("o_custkey", "o_totalprice", "o_orderstatus", "o_orderpriority",
