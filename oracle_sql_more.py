@@ -103,6 +103,12 @@ def _functions() -> dict[str, str]:
     }
 
 
+def reven(expr: str, digits: int) -> str:
+    """Half-to-even rounding of a double: scale, round_even to an integer, unscale."""
+    scale = f"{10 ** digits}.0E0"
+    return f"(round_even(({expr}) * {scale}, 0) / {scale} + 0.0)"
+
+
 def _serving() -> dict[str, str]:
     vint = "SELECT cohort, month_num, obs_month, {m}, " + SIZE_RANK.format(c="cohort") + " AS cohort_rank FROM vintage"
     heat_cols = ", ".join(
@@ -117,9 +123,9 @@ def _serving() -> dict[str, str]:
         "dash_portfolio_kpis": with_ctes(f"""
   SELECT CAST(SUM(loan_count) AS BIGINT) AS total_loans,
          CAST(SUM(total_credit_limit) AS BIGINT) AS total_exposure,
-         ROUND({xavg('avg_utilisation_pct', '100')}, 1) + 0.0 AS avg_utilisation_pct,
+         {reven(xavg('avg_utilisation_pct', '100'), 1)} AS avg_utilisation_pct,
          CASE WHEN SUM(loan_count) > 0
-              THEN ROUND(CAST(SUM(npl_count) AS DOUBLE) / SUM(loan_count) * 100, 2) + 0.0
+              THEN {reven('CAST(SUM(npl_count) AS DOUBLE) / SUM(loan_count) * 100', 2)}
               ELSE 0.0E0 END AS portfolio_npl_rate_pct
   FROM summary""", "summary"),
         "dash_by_dpd": with_ctes(
@@ -136,7 +142,7 @@ def _serving() -> dict[str, str]:
         "dash_by_age_band": with_ctes(
             f"SELECT age_band, CAST(SUM(loan_count) AS BIGINT) AS loan_count, {AGE_RANK} AS age_rank "
             "FROM summary GROUP BY age_band", "summary"),
-        "dash_risk_kpis": with_ctes("""
+        "dash_risk_kpis": with_ctes(f"""
   SELECT total_loans, npl_loans, total_ecl_provision, total_ead, portfolio_npl_rate_pct,
          15.0E0 AS npl_threshold_pct,
          CASE WHEN portfolio_npl_rate_pct > 15.0 THEN 'Above' ELSE 'Below' END AS npl_vs_threshold,
@@ -144,10 +150,10 @@ def _serving() -> dict[str, str]:
   FROM (
     SELECT a.total_loans, a.npl_loans, b.total_ecl_provision, b.total_ead,
            CASE WHEN a.total_loans > 0
-                THEN ROUND(CAST(a.npl_loans AS DOUBLE) / a.total_loans * 100, 2) + 0.0
+                THEN {reven('CAST(a.npl_loans AS DOUBLE) / a.total_loans * 100', 2)}
                 ELSE 0.0E0 END AS portfolio_npl_rate_pct,
            CASE WHEN b.total_ead > 0
-                THEN ROUND(b.total_ecl_provision / b.total_ead * 100, 2) + 0.0
+                THEN {reven('b.total_ecl_provision / b.total_ead * 100', 2)}
                 ELSE 0.0E0 END AS portfolio_ecl_rate_pct
     FROM (SELECT CAST(SUM(loan_count) AS BIGINT) AS total_loans,
                  CAST(SUM(npl_count) AS BIGINT) AS npl_loans FROM npl) a
@@ -156,13 +162,13 @@ def _serving() -> dict[str, str]:
                                     "npl", "ecl_mart"),
         "dash_npl_by_dpd": with_ctes(f"""
   SELECT dpd_bucket, loan_count, npl_count,
-         ROUND(CAST(npl_count AS DOUBLE) / loan_count * 100, 2) + 0.0 AS npl_rate,
+         {reven('CAST(npl_count AS DOUBLE) / loan_count * 100', 2)} AS npl_rate,
          15.0E0 AS npl_threshold_pct, {DPD_RANK} AS bucket_rank
   FROM (SELECT dpd_bucket, CAST(SUM(loan_count) AS BIGINT) AS loan_count,
                CAST(SUM(npl_count) AS BIGINT) AS npl_count FROM npl GROUP BY dpd_bucket) g""", "npl"),
-        "dash_ecl_by_stage": with_ctes("""
+        "dash_ecl_by_stage": with_ctes(f"""
   SELECT ifrs9_stage, total_ead, total_ecl, loan_count,
-         ROUND(CASE WHEN total_ead <> 0 THEN total_ecl / total_ead * 100 ELSE 0.0E0 END, 2) + 0.0 AS ecl_rate
+         {reven('CASE WHEN total_ead <> 0 THEN total_ecl / total_ead * 100 ELSE 0.0E0 END', 2)} AS ecl_rate
   FROM (SELECT ifrs9_stage, CAST(SUM(total_ead) AS BIGINT) AS total_ead, SUM(total_ecl) AS total_ecl,
                CAST(SUM(loan_count) AS BIGINT) AS loan_count FROM ecl_mart GROUP BY ifrs9_stage) g""",
                                        "ecl_mart"),

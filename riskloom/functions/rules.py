@@ -63,6 +63,17 @@ def round_std(c: Column | str, digits: int) -> Column:
     return F.round(col_(c).cast("double") * F.lit(scale), 0) / F.lit(scale)
 
 
+def round_half_even(c: Column | str, digits: int) -> Column:
+    """Report-side rounding: scale, round half to even, unscale (as NumPy/pandas ``round``).
+
+    The report layer of the reference rounds its roll-ups in pandas, whose
+    ties go to the even digit; SQL-side ``ROUND`` (``round_std``) sends them
+    away from zero.
+    """
+    scale = float(10 ** digits)
+    return F.bround(col_(c).cast("double") * F.lit(scale), 0) / F.lit(scale)
+
+
 def scaled_long(c: Column | str, digits: int) -> Column:
     """A value with ``digits`` decimals as an exact integer count of units."""
     return F.round(col_(c).cast("double") * F.lit(float(10 ** digits)), 0).cast("long")

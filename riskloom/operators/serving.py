@@ -4,7 +4,9 @@ Each function takes mart DataFrames (a few hundred rows at most, whatever
 the loan count) and returns the small finished frame a report shows. Where
 the display order matters a rank column is exposed, and the frame is sorted
 by it as the last step. Shares of a total use a window over the roll-up,
-which has at most one row per label (<= 5); no joins without keys.
+which has at most one row per label (<= 5); no joins without keys. Rates
+the reports rounded themselves use ``round_half_even`` (their rounding ran in
+pandas, ties to even); values rounded in SQL models use ``round_std``.
 """
 
 from __future__ import annotations
@@ -35,8 +37,8 @@ def dash_portfolio_kpis(summary: DataFrame) -> DataFrame:
     return summary.agg(
         loans.alias("total_loans"),
         F.sum("total_credit_limit").alias("total_exposure"),
-        R.round_std(R.exact_avg("avg_utilisation_pct", 2), 1).alias("avg_utilisation_pct"),
-        F.when(loans > 0, R.round_std(F.sum("npl_count") / loans * 100.0, 2))
+        R.round_half_even(R.exact_avg("avg_utilisation_pct", 2), 1).alias("avg_utilisation_pct"),
+        F.when(loans > 0, R.round_half_even(F.sum("npl_count") / loans * 100.0, 2))
          .otherwise(F.lit(0.0)).alias("portfolio_npl_rate_pct"),
     )
 
@@ -76,14 +78,14 @@ def dash_risk_kpis(npl: DataFrame, ecl: DataFrame) -> DataFrame:
     u = a.unionByName(b, allowMissingColumns=True)
     j = u.agg(*[F.max(c).alias(c) for c in ("total_loans", "npl_loans", "total_ecl_provision", "total_ead")])
     npl_rate = F.when(F.col("total_loans") > 0,
-                      R.round_std(F.col("npl_loans") / F.col("total_loans") * 100.0, 2)).otherwise(F.lit(0.0))
+                      R.round_half_even(F.col("npl_loans") / F.col("total_loans") * 100.0, 2)).otherwise(F.lit(0.0))
     return j.select(
         "total_loans", "npl_loans", "total_ecl_provision", "total_ead",
         npl_rate.alias("portfolio_npl_rate_pct"),
         F.lit(R.NPL_BREACH_PCT).alias("npl_threshold_pct"),
         R.threshold_side(npl_rate).alias("npl_vs_threshold"),
         F.when(F.col("total_ead") > 0,
-               R.round_std(F.col("total_ecl_provision") / F.col("total_ead") * 100.0, 2))
+               R.round_half_even(F.col("total_ecl_provision") / F.col("total_ead") * 100.0, 2))
          .otherwise(F.lit(0.0)).alias("portfolio_ecl_rate_pct"),
     )
 
@@ -91,7 +93,7 @@ def dash_risk_kpis(npl: DataFrame, ecl: DataFrame) -> DataFrame:
 def dash_npl_by_dpd(npl: DataFrame) -> DataFrame:
     g = npl.groupBy("dpd_bucket").agg(F.sum("loan_count").alias("loan_count"),
                                       F.sum("npl_count").alias("npl_count"))
-    return (g.withColumn("npl_rate", R.round_std(F.col("npl_count") / F.col("loan_count") * 100.0, 2))
+    return (g.withColumn("npl_rate", R.round_half_even(F.col("npl_count") / F.col("loan_count") * 100.0, 2))
             .withColumn("npl_threshold_pct", F.lit(R.NPL_BREACH_PCT))
             .withColumn("bucket_rank", R.label_rank("dpd_bucket", R.DPD_BUCKETS))
             .orderBy("bucket_rank"))
@@ -107,7 +109,7 @@ def ecl_by_stage(ecl: DataFrame) -> DataFrame:
 def dash_ecl_by_stage(ecl: DataFrame) -> DataFrame:
     """ECL rate per stage; a zero exposure gives 0 (negative exposure is not guarded)."""
     g = ecl_by_stage(ecl)
-    return (g.withColumn("ecl_rate", R.round_std(R.nonzero_ratio_pct("total_ecl", "total_ead"), 2))
+    return (g.withColumn("ecl_rate", R.round_half_even(R.nonzero_ratio_pct("total_ecl", "total_ead"), 2))
             .orderBy("ifrs9_stage"))
 
 

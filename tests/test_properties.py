@@ -67,3 +67,18 @@ def test_exact_sum_and_avg_equal_decimal_arithmetic(spark):
         a = (s / len(vals)).quantize(Decimal("0.01"), rounding=ROUND_HALF_UP)
         assert got[g][0] == float(s)
         assert abs(got[g][1] - float(a)) < 1e-9
+
+
+@pytest.mark.parametrize("digits", [0, 1, 2])
+def test_report_rounding_matches_numpy_and_sql_round_even(spark, values, digits):
+    import numpy as np
+    df = spark.createDataFrame([(i, v) for i, v in enumerate(values)], "i long, x double")
+    got = {r.i: r.y for r in df.select("i", R.round_half_even("x", digits).alias("y")).collect()}
+    want = {i: float(np.round(v, digits)) for i, v in enumerate(values)}
+    bad = [(values[i], got[i], want[i]) for i in got if got[i] != want[i]]
+    assert not bad, bad[:5]
+    con = duckdb.connect()
+    con.register("t", __import__("pandas").DataFrame({"i": range(len(values)), "x": values}))
+    scale = f"{10 ** digits}.0E0"
+    sql = dict(con.execute(f"SELECT i, round_even(x * {scale}, 0) / {scale} + 0.0 FROM t").fetchall())
+    assert all(sql[i] == got[i] for i in got)
