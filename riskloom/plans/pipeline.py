@@ -138,6 +138,8 @@ def main(argv=None) -> int:
     ap.add_argument("--positional", action="store_true", help="credit file uses X1..X23, Y names")
     ap.add_argument("--credit-format", default="parquet"), ap.add_argument("--marketing-format", default="csv")
     ap.add_argument("--marketing-sep", default=",")
+    ap.add_argument("--credit-order-by", nargs="*", help="columns ordering credit rows (file has no id)")
+    ap.add_argument("--marketing-order-by", nargs="*", help="columns ordering marketing rows (file has no id)")
     ap.add_argument("--no-serving", action="store_true")
     a = ap.parse_args(argv)
     spark = build_session()
@@ -150,7 +152,8 @@ def main(argv=None) -> int:
         if not (a.credit and a.marketing and a.macro):
             ap.error("give --tables, or --credit, --marketing and --macro")
         raw = raw_from_landed(spark, a.credit, a.marketing, dict(kv.split("=", 1) for kv in a.macro),
-                              a.credit_format, a.positional, a.marketing_format, a.marketing_sep)
+                              a.credit_format, a.positional, a.marketing_format, a.marketing_sep,
+                              a.credit_order_by, a.marketing_order_by)
     t = run_pipeline(spark, raw, a.out, with_serving=not a.no_serving)
     failing = [r for r in t["dq_checks"].collect() if r.failing_rows]
     for r in failing:
