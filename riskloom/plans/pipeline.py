@@ -154,6 +154,8 @@ def main(argv=None) -> int:
         raw = raw_from_landed(spark, a.credit, a.marketing, dict(kv.split("=", 1) for kv in a.macro),
                               a.credit_format, a.positional, a.marketing_format, a.marketing_sep,
                               a.credit_order_by, a.marketing_order_by)
+        from riskloom.session import size_shuffle_partitions
+        size_shuffle_partitions(spark, [raw.credit, raw.marketing])
     t = run_pipeline(spark, raw, a.out, with_serving=not a.no_serving)
     failing = [r for r in t["dq_checks"].collect() if r.failing_rows]
     for r in failing:
