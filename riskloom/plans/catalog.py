@@ -15,7 +15,7 @@ from riskloom.functions import rules as R
 from riskloom.operators import marts, quality, reshape, serving
 from riskloom.plans.layers import Layers
 from riskloom.sources import testtables as tt
-from riskloom.sources.schemas import CREDIT_POSITIONAL_NAMES, RAW_CREDIT_COLUMNS, RAW_MARKETING_COLUMNS
+from riskloom.sources.schemas import RAW_CREDIT_COLUMNS, RAW_MARKETING_COLUMNS
 
 Query = Callable[[SparkSession, str], DataFrame]
 
