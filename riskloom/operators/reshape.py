@@ -52,7 +52,7 @@ def rename_marketing(df: DataFrame) -> DataFrame:
 
 def add_dense_id(df: DataFrame, order_by: Sequence[str], id_col: str = "id",
                  num_partitions: int | None = None) -> DataFrame:
-    """Dense ids 1..n following ``order_by`` (which should be unique).
+    """Dense ids 1..n following ``order_by``; ties are broken by a hash of the row.
 
     Two passes: the frame is range-partitioned and sorted within partitions,
     stamped with (partition, position) and written once as a table in the
@@ -64,13 +64,8 @@ def add_dense_id(df: DataFrame, order_by: Sequence[str], id_col: str = "id",
     """
     from riskloom.session import materialize
 
-    spark = df.sparkSession
-    n = num_partitions or spark.sparkContext.defaultParallelism
-    part = materialize(df.repartitionByRange(n, *order_by)
-                       .sortWithinPartitions(*order_by)
-                       .withColumn("_pid", F.spark_partition_id())
-                       .withColumn("_pos", F.monotonically_increasing_id()
-                                   - F.shiftleft(F.col("_pid").cast("long"), 33)), "dense-id")
+    n = num_partitions or df.sparkSession.sparkContext.defaultParallelism
+    part = materialize(stamp_positions(df, order_by, n), "dense-id")
     counts = part.groupBy("_pid").agg(F.count(F.lit(1)).alias("_n"))
     # Offsets over at most ``n`` rows (one per partition).
     offsets = counts.select(
@@ -79,7 +74,22 @@ def add_dense_id(df: DataFrame, order_by: Sequence[str], id_col: str = "id",
          ).alias("_off"))
     out = part.join(F.broadcast(offsets), "_pid")
     return out.select((F.coalesce(F.col("_off"), F.lit(0)) + F.col("_pos") + 1).alias(id_col),
-                      *[c for c in df.columns if c != id_col])
+                      *[c for c in df.columns if c != id_col])  # drops _pid, _pos, _tb
+
+
+def stamp_positions(df: DataFrame, order_by: Sequence[str], n: int) -> DataFrame:
+    """Range-partition on ``order_by`` (+ row-hash tiebreak), sort, stamp (partition, position).
+
+    Ties in ``order_by`` have no defined order; a hash of the whole row breaks
+    them deterministically and lets range partitioning split a hot value
+    (say a third of all rows on one key) over many partitions.
+    """
+    tiebreak = F.xxhash64(*[F.col(c) for c in df.columns])
+    return (df.withColumn("_tb", tiebreak)
+            .repartitionByRange(n, *order_by, "_tb")
+            .sortWithinPartitions(*order_by, "_tb")
+            .withColumn("_pid", F.spark_partition_id())
+            .withColumn("_pos", F.monotonically_increasing_id() - F.shiftleft(F.col("_pid").cast("long"), 33)))
 
 
 # --------------------------------------------------------------------------

@@ -102,3 +102,19 @@ def test_marts_in_display_order(spark):
     assert keys == sorted(keys)
     v = serving.in_display_order("mart_vintage_curves", lay.mart_vintage_curves).collect()
     assert [(r.cohort, r.month_num) for r in v] == sorted((r.cohort, r.month_num) for r in v)
+
+
+def test_dense_ids_with_a_hot_order_key(spark):
+    """A third of the rows share one ordering value: ids stay dense and the work is spread."""
+    raw = Layers(spark, SF_SMALL).raw_credit.select("id", "credit_limit")
+    hot = raw.withColumn("k", F.when(F.col("id") % 3 == 0, F.lit(0)).otherwise(F.col("id")))
+    out = reshape.add_dense_id(hot.drop("id"), ["k"], num_partitions=6)
+    pdf = out.toPandas()
+    n = len(pdf)
+    assert sorted(pdf["id"]) == list(range(1, n + 1))
+    # order respected: ids follow k
+    assert list(pdf.sort_values("id")["k"]) == sorted(pdf["k"])
+    # the hot value is not in one task: range partitions stay near n / 6 each
+    stamped = reshape.stamp_positions(hot.drop("id"), ["k"], 6)
+    sizes = [r["count"] for r in stamped.groupBy("_pid").count().collect()]
+    assert len(sizes) == 6 and max(sizes) < n / 3
