@@ -42,17 +42,20 @@ def build_session(master: str | None = None, app: str = "riskloom",
 def checkpoint_dir(spark: SparkSession, fallback: str | None = None) -> str:
     """The shared checkpoint folder named by the cluster in ``spark.checkpoint.dir``.
 
-    ``fallback`` is only for tests and local runs where the setting is unset.
+    ``fallback`` is only for tests and local runs where the setting is unset;
+    it is applied to the SparkContext (the config itself is fixed at start).
     """
-    d = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
-    if not d:
-        if fallback is None:
-            raise RuntimeError("spark.checkpoint.dir is not set; pass a shared folder")
-        d = fallback
-        spark.conf.set("spark.checkpoint.dir", d)
-    if spark.sparkContext._jsc.sc().getCheckpointDir().isEmpty():
-        spark.sparkContext.setCheckpointDir(d)
-    return d
+    sc = spark.sparkContext
+    current = sc._jsc.sc().getCheckpointDir()
+    if current.isEmpty():
+        d = sc.getConf().get("spark.checkpoint.dir") or spark.conf.get("spark.checkpoint.dir", None)
+        if not d:
+            if fallback is None:
+                raise RuntimeError("spark.checkpoint.dir is not set; pass a shared folder")
+            d = fallback
+        sc.setCheckpointDir(d)
+        current = sc._jsc.sc().getCheckpointDir()
+    return current.get()
 
 
 def materialize(df: DataFrame, label: str = "cut") -> DataFrame:
