@@ -55,11 +55,21 @@ def read_raw_credit(spark: SparkSession, path: str, fmt: str = "parquet",
 
 
 def read_raw_credit_split(spark: SparkSession, features_path: str, target_path: str,
-                          fmt: str = "parquet") -> DataFrame:
-    """Features and target landed apart: put together by a join on the id, not by row position."""
+                          fmt: str = "parquet", check_unique: bool = True) -> DataFrame:
+    """Features and target landed apart: put together by a join on the id, not by row position.
+
+    The join is 1:1 only if target ids are unique; a repeated id would pair
+    every feature row with every target row of that id. With ``check_unique``
+    the target side is checked first (a partial-aggregated count by id, so a
+    hot id collapses map-side) and duplicates raise instead of multiplying rows.
+    """
     schema = _positional_credit_schema()
     feat = _reader(spark, fmt, StructType([f for f in schema.fields if f.name != "Y"])).load(features_path)
     tgt = _reader(spark, fmt, StructType([schema["id"], schema["Y"]])).load(target_path)
+    if check_unique:
+        dup = tgt.groupBy("id").count().filter(F.col("count") > 1).limit(1).collect()
+        if dup:
+            raise ValueError(f"target file repeats id {dup[0]['id']}: the id join would multiply rows")
     return reshape.rename_credit_positional(feat.join(tgt, "id")).select(*RAW_CREDIT_COLUMNS)
 
 

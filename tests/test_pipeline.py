@@ -133,3 +133,14 @@ def test_cli_over_landed_files(spark, scratch, capsys):
     import pytest
     with pytest.raises(SystemExit):
         main(["--out", out])
+
+
+def test_split_credit_refuses_repeated_target_ids(spark, scratch):
+    import pytest
+    pos = tt.credit_positional(Layers(spark, SF_SMALL).raw_credit)
+    fp, tp = os.path.join(scratch, "feat-dup"), os.path.join(scratch, "target-dup")
+    pos.drop("Y").write.mode("overwrite").parquet(fp)
+    tgt = pos.select("id", "Y")
+    tgt.unionByName(tgt.limit(2)).write.mode("overwrite").parquet(tp)
+    with pytest.raises(ValueError):
+        landed.read_raw_credit_split(spark, fp, tp)
