@@ -23,7 +23,8 @@ class Layers:
     Parquet in the shared checkpoint folder, for jobs that read a
     model more than once: the check suite reads every layer (cut the loan
     and macro derivations), expected-loss inputs read the segments twice
-    (PD pass + join; cut the segments). Each cut model is then computed once
+    (PD pass + join; cut the segments), the vintage mart reads the staged
+    loans twice (wide sums + distinct ids; cut staging). Each cut model is then computed once
     and scanned from the written table instead of re-aggregating line items.
     """
 
