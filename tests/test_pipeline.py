@@ -26,6 +26,12 @@ def test_pipeline_writes_every_layer_and_matches_queries(spark, scratch):
         assert os.path.isdir(os.path.join(out, "marts" if name.startswith("mart") else "intermediate", name))
         assert same(t[name], getattr(lay, name)), name
     assert t["dq_checks"].count() == 54
+    # every report roll-up written by the job equals the registry query of the same key
+    import __spark_entry__ as E
+    from riskloom.plans.catalog import SERVING
+    qs = E.queries()
+    for key in SERVING:
+        assert same(t[key], qs[key](spark, SF_SMALL)), key
     assert missing_required_columns(t) == {"raw_credit": [], "raw_marketing": []}
     # idempotent: a second run over the same folder replaces the outputs
     first = canon(t["mart_ecl_estimates"].toPandas())
