@@ -30,12 +30,12 @@ from riskloom.llm.common import has_letter, held_out, map_text, read_table
 
 SAMPLE_ROWS = 256
 SLICE_CHARS = 1000
-DICT_BYTES = 112 << 10
+DICT_BYTES = 64 << 10
 PIECE = 2048
-LEVEL = 3
-MIN_MARGIN = 0.004
+MIN_MARGIN = 0.002
 #: score = 1 / (1 + exp(-SHARPNESS * margin)) of the best against the second language
 SHARPNESS = 60.0
+_LETTERS = bytes(b if b >= 0x80 or 0x61 <= b <= 0x7A else 0x20 for b in range(256))
 
 
 def dictionaries(train: DataFrame, sample_rows: int = SAMPLE_ROWS, slice_chars: int = SLICE_CHARS,
@@ -57,26 +57,33 @@ def dictionaries(train: DataFrame, sample_rows: int = SAMPLE_ROWS, slice_chars:
               .distinct().collect())
     parts: dict[str, list] = {lang: [] for lang, _ in counts}
     for r in sorted(picked, key=lambda r: (r["lang"], r["h"], r["part"])):
-        parts[r["lang"]].append(r["part"].encode())
+        parts[r["lang"]].append(letters(r["part"]))
     # raw content matches best near its end; short languages simply have shorter dictionaries
-    return [(lang, b"\n".join(parts[lang])[:dict_bytes]) for lang, _ in counts if parts[lang]]
+    return [(lang, b" ".join(parts[lang])[:dict_bytes]) for lang, _ in counts if parts[lang]]
+
+
+def letters(text: str) -> bytes:
+    """Lower-cased text whose runs of ASCII non-letters are one space: marks and digits say nothing of a language."""
+    return b" ".join(text.lower().encode().translate(_LETTERS).split())
 
 
 class Compressors:
     """One zstandard compressor per language, its dictionary digested once."""
 
-    def __init__(self, dicts: list[tuple[str, bytes]], level: int = LEVEL) -> None:
+    def __init__(self, dicts: list[tuple[str, bytes]], piece: int = PIECE) -> None:
         self.langs = [x for x, _ in dicts]
-        self.by = []
+        self.by, self.piece = [], piece
         for _, raw in dicts:
             d = zstandard.ZstdCompressionDict(raw, dict_type=zstandard.DICT_TYPE_RAWCONTENT)
+            # short matches (4 bytes) carry most of what tells languages apart
             params = zstandard.ZstdCompressionParameters.from_level(
-                level, write_content_size=False, write_checksum=False, write_dict_id=False)
+                3, source_size=piece, dict_size=len(raw), strategy=zstandard.STRATEGY_LAZY2, min_match=4, search_log=3,
+                write_content_size=False, write_checksum=False, write_dict_id=False)
             d.precompute_compress(compression_params=params)
             self.by.append(zstandard.ZstdCompressor(dict_data=d, compression_params=params))
 
-    def sizes(self, text: bytes, piece: int = PIECE) -> list[int]:
-        parts = [text[i:i + piece] for i in range(0, len(text), piece)]
+    def sizes(self, text: bytes) -> list[int]:
+        parts = [text[i:i + self.piece] for i in range(0, len(text), self.piece)]
         return [sum(len(c.compress(p)) for p in parts) for c in self.by]
 
     def judge(self, text: bytes) -> tuple[str, float, float]:
@@ -101,8 +108,7 @@ def identify(docs: DataFrame, dicts: list[tuple[str, bytes]], keep: list[str], m
         judge = Compressors(sent.value).judge if sent.value else None
 
         def f(texts):
-            # Python lower-cases every script; the dictionaries are lower-cased alike
-            rows = [("und", 0.0, 0.0) if t is None or judge is None else judge(t.decode().lower().encode())
+            rows = [("und", 0.0, 0.0) if t is None or judge is None else judge(letters(t.decode()))
                     for t in texts]
             return ([r[0] for r in rows], [r[1] for r in rows], [r[2] for r in rows],
                     [r[0] == "und" or r[2] < min_margin for r in rows])
@@ -114,8 +120,7 @@ def identify(docs: DataFrame, dicts: list[tuple[str, bytes]], keep: list[str], m
 
 def fit(docs: DataFrame) -> list[tuple[str, bytes]]:
     """Dictionaries from the documents that are not held out."""
-    train = docs.filter(~held_out(F.col("doc_id"))).select(F.lower("text").alias("text"), "lang")
-    return dictionaries(train)
+    return dictionaries(docs.filter(~held_out(F.col("doc_id"))).select("text", "lang"))
 
 
 def accepted(docs: DataFrame, dicts: list[tuple[str, bytes]], min_margin: float = MIN_MARGIN) -> DataFrame:
