@@ -244,8 +244,8 @@ def greedy_rules(docs: list[tuple[int, list[str]]], counts: dict[str, tuple[int,
             having.setdefault(f, []).append(i)
     rules: dict[str, float] = {}
     while toxic:
-        # ties: fewer characters first, then by name
-        f = max(toxic, key=lambda f: (toxic[f] - CLEAN_COST * clean[f], -len(f), f))
+        # ties: whole words first, then the longer beginning, then by name
+        f = max(toxic, key=lambda f: (toxic[f] - CLEAN_COST * clean[f], f[-1] != "-", len(f), f))
         t, n = counts[f]
         if toxic[f] < MIN_TOXIC or toxic[f] - CLEAN_COST * clean[f] <= 0 or (t + 0.5) / (n + 1) < MIN_PRECISION:
             break
@@ -258,6 +258,17 @@ def greedy_rules(docs: list[tuple[int, list[str]]], counts: dict[str, tuple[int,
     return rules
 
 
+def strong_rules(counts: dict[str, tuple[int, int]], t_all: int) -> dict[str, float]:
+    """Features that mark a fair share of the toxic texts; a beginning only where no word of it does so as well."""
+    strong = {f: (t + 0.5) / (n + 1) for f, (t, n) in counts.items()
+              if t >= max(STRONG_TOXIC, STRONG_SHARE * t_all) and (t + 0.5) / (n + 1) >= STRONG_PRECISION}
+
+    def covered(f):
+        longer = (g for g in strong if g != f and g.startswith(f[:-1]) and (g[-1] != "-" or len(g) > len(f)))
+        return any(counts[g][0] >= 0.8 * counts[f][0] for g in longer)
+    return {f: p for f, p in strong.items() if f[-1] != "-" or not covered(f)}
+
+
 def fit_rules(train: DataFrame, model: CharModel, fit_docs: int = FIT_DOCS) -> tuple[dict[str, float], float]:
     """Rules from labelled texts (text, toxic 0/1)."""
     sent = train.sparkSession.sparkContext.broadcast(model)
@@ -287,8 +298,7 @@ def fit_rules(train: DataFrame, model: CharModel, fit_docs: int = FIT_DOCS) -> t
         mine = F.udf(lambda fs: [f for f in fs if f in wanted.value], "array<string>")("f")
     docs = [(r["toxic"], r["f"]) for r in got.select("toxic", mine.alias("f")).filter((F.size("f") > 0) | (F.col("toxic") == 1)).collect()]
     rules = greedy_rules(docs, counts)
-    rules |= {f: (t + 0.5) / (n + 1) for f, (t, n) in counts.items()
-              if t >= max(STRONG_TOXIC, STRONG_SHARE * t_all) and (t + 0.5) / (n + 1) >= STRONG_PRECISION}
+    rules |= strong_rules(counts, t_all)
     with_rule = [y for y, fs in docs if any(f in rules for f in fs)]
     return rules, (t_all - sum(with_rule) + 0.5) / (n_all - len(with_rule) + 1)
 
