@@ -1,8 +1,11 @@
-"""Readers for landed raw files (parquet / csv / json) with explicit schemas.
+"""Readers for landed raw files (parquet / csv / json): columns by name, types declared here.
 
 The pipeline's inputs are files already landed in shared storage; nothing
-is fetched over the network here. Every reader declares its schema (no
-inference), renames source columns, and returns a lazy DataFrame.
+is fetched over the network here. A file's columns are found by the names in
+the file (CSV header, Parquet footer, JSON keys), so their order does not
+matter, and a name that is absent raises with the list of absent ones. Values
+are then cast to the declared types; a cell that does not fit its type becomes
+NULL and is counted by ``bad_values``. No schema is inferred from values.
 """
 
 from __future__ import annotations
@@ -10,85 +13,163 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.errors import PySparkException
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import DoubleType, IntegerType, StringType, StructField, StructType
+from pyspark.sql.types import (DataType, DoubleType, IntegerType, IntegralType, StringType, StructField,
+                               StructType)
 
 from riskloom.operators import reshape
-from riskloom.sources.schemas import (CREDIT_POSITIONAL_NAMES, INDICATORS, RAW_CREDIT_COLUMNS,
-                                      RAW_CREDIT_SCHEMA, RAW_MARKETING_COLUMNS, RAW_MARKETING_SCHEMA)
+from riskloom.sources.schemas import (CREDIT_POSITIONAL_NAMES, INDICATORS, MARKETING_RENAMES,
+                                      RAW_CREDIT_COLUMNS, RAW_CREDIT_SCHEMA, RAW_MARKETING_COLUMNS,
+                                      RAW_MARKETING_SCHEMA)
 
 
-def _reader(spark: SparkSession, fmt: str, schema: StructType):
-    r = spark.read.schema(schema)
-    if fmt == "csv":
-        r = r.option("header", "true")
-    return r.format(fmt)
+class MissingColumns(ValueError):
+    """Required columns that a landed file does not have."""
+
+    def __init__(self, path: str, missing: Sequence[str]) -> None:
+        super().__init__(f"{path}: columns missing in the file: {', '.join(missing)}")
+        self.missing = list(missing)
 
 
-def _positional_credit_schema() -> StructType:
-    by_name = {f.name: f for f in RAW_CREDIT_SCHEMA.fields}
-    return StructType([by_name["id"]] + [StructField(k, by_name[v].dataType)
-                                          for k, v in CREDIT_POSITIONAL_NAMES.items()])
+def file_columns(spark: SparkSession, path: str, fmt: str, wanted: Sequence[str], sep: str = ",") -> DataFrame:
+    """The file as it names its columns, untyped where the format has no types.
+
+    CSV: every column of the header as text. Parquet: the footer's schema.
+    JSON has no header: the ``wanted`` names are read as text, and those that
+    no record has are left out (one aggregate over the file).
+    """
+    if fmt == "csv":
+        return spark.read.option("header", "true").option("sep", sep).csv(path)
+    if fmt == "json":
+        df = spark.read.schema(StructType([StructField(c, StringType()) for c in wanted])).json(path)
+        seen = df.agg(F.count(F.lit(1)).alias("rows"), *[F.count(F.col(f"`{c}`")).alias(f"c{i}") for i, c in enumerate(wanted)]).first()
+        return df.select(*[F.col(f"`{c}`") for i, c in enumerate(wanted) if seen[f"c{i}"] or not seen["rows"]])
+    return spark.read.format(fmt).load(path)
+
+
+def typed(c: Column, source: DataType, target: DataType) -> Column:
+    """``c`` as ``target``, NULL where it does not fit; whole numbers written as 12.0 are whole numbers."""
+    if source == target:
+        return c
+    if isinstance(target, IntegralType) and not isinstance(source, IntegralType):
+        number = F.trim(c).try_cast("double") if isinstance(source, StringType) else c.try_cast("double")
+        whole = F.when(number == F.floor(number), number.try_cast(target))
+        # long texts of digits keep their exact value
+        return F.coalesce(F.trim(c).try_cast(target), whole) if isinstance(source, StringType) else whole
+    return c.try_cast(target)
+
+
+def _select(df: DataFrame, path: str, schema: StructType, names: Mapping[str, str]) -> list[tuple[str, Column, Column]]:
+    """[(name, source column, typed column)] by name; ``names`` maps table names to file names. Raises on absent ones."""
+    missing = [names[f.name] for f in schema.fields if names[f.name] not in df.columns]
+    if missing:
+        raise MissingColumns(path, missing)
+    out = []
+    for f in schema.fields:
+        c = F.col(f"`{names[f.name]}`")
+        out.append((f.name, c, typed(c, df.schema[names[f.name]].dataType, f.dataType).alias(f.name)))
+    return out
+
+
+def _credit(spark, path, fmt, positional, with_id, sep=",", only=None):
+    fields = [f for f in RAW_CREDIT_SCHEMA.fields if (with_id or f.name != "id") and (only is None or f.name in only)]
+    schema = StructType(fields)
+    back = {v: k for k, v in CREDIT_POSITIONAL_NAMES.items()} if positional else {}
+    names = {f.name: back.get(f.name, f.name) for f in fields}
+    df = file_columns(spark, path, fmt, list(names.values()), sep)
+    return df, _select(df, path, schema, names)
+
+
+def bad_values(df: DataFrame, columns: Sequence[tuple[str, Column, Column]]) -> DataFrame:
+    """(column_name, bad_rows): cells with a value that does not fit the declared type. One pass."""
+    counts = df.agg(*[F.count(F.when(raw.isNotNull() & (raw.cast("string") != "") & cast.isNull(), 1)).alias(f"n{i}")
+                      for i, (_, raw, cast) in enumerate(columns)])
+    pairs = ", ".join(f"'{name}', n{i}" for i, (name, _, _) in enumerate(columns))
+    return counts.selectExpr(f"stack({len(columns)}, {pairs}) AS (column_name, bad_rows)")
+
+
+def credit_bad_values(spark: SparkSession, path: str, fmt: str = "parquet", positional: bool = False,
+                      with_id: bool = True, sep: str = ",") -> DataFrame:
+    return bad_values(*_credit(spark, path, fmt, positional, with_id, sep))
 
 
 def read_raw_credit(spark: SparkSession, path: str, fmt: str = "parquet",
-                    positional: bool = False, order_by: Sequence[str] | None = None) -> DataFrame:
-    """Credit records; ``positional`` files carry X1..X23, Y and are renamed (all must exist).
+                    positional: bool = False, order_by: Sequence[str] | None = None, sep: str = ",") -> DataFrame:
+    """Credit records; ``positional`` files carry X1..X23, Y and are renamed. Every column must be in the file.
 
     A file without an ``id`` column gets dense ids 1..n in ``order_by`` order
     (a stable key of the landed rows; file row position is not one).
     """
-    schema = _positional_credit_schema() if positional else RAW_CREDIT_SCHEMA
+    df, cols = _credit(spark, path, fmt, positional, not order_by, sep)
+    df = df.select(*[c for _, _, c in cols])
     if order_by:
-        schema = StructType([f for f in schema.fields if f.name != "id"])
-        extra = [c for c in order_by if c not in schema.fieldNames()]
+        key = [CREDIT_POSITIONAL_NAMES.get(c, c) for c in order_by] if positional else list(order_by)
+        extra = [c for c in key if c not in df.columns]
         if extra:
             raise ValueError(f"order_by columns not in the credit schema: {extra}")
-    df = _reader(spark, fmt, schema).load(path)
-    if positional:
-        df = reshape.rename_credit_positional(df)
-    if order_by:
-        key = [reshape.CREDIT_POSITIONAL_NAMES.get(c, c) for c in order_by] if positional else list(order_by)
         df = reshape.add_dense_id(df, key)
     return df.select(*RAW_CREDIT_COLUMNS)
 
 
+def repeated_id(df: DataFrame) -> int | None:
+    """One id that occurs twice or more, or None; the count collapses map-side."""
+    dup = df.filter(F.col("id").isNotNull()).groupBy("id").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").take(1)
+    return dup[0]["id"] if dup else None
+
+
+def join_by_id(features: DataFrame, target: DataFrame) -> DataFrame:
+    """Two tables held apart put together on ``id``; rows without a partner stay, with NULLs (full outer)."""
+    return features.join(target, "id", "full_outer")
+
+
+def unmatched(features: DataFrame, target: DataFrame) -> dict[str, int]:
+    """How many ids of each side have no partner."""
+    sides = features.select("id", F.lit(1).alias("f")).join(target.select("id", F.lit(1).alias("t")), "id", "full_outer")
+    row = sides.agg(F.count(F.when(F.col("t").isNull(), 1)).alias("features_only"),
+                    F.count(F.when(F.col("f").isNull(), 1)).alias("target_only")).first()
+    return row.asDict()
+
+
 def read_raw_credit_split(spark: SparkSession, features_path: str, target_path: str,
                           fmt: str = "parquet", check_unique: bool = True) -> DataFrame:
-    """Features and target landed apart: put together by a join on the id, not by row position.
+    """Features and target landed apart (X1..X23 and Y, each with an id), put together on the id.
 
-    The join is 1:1 only if target ids are unique; a repeated id would pair
-    every feature row with every target row of that id. With ``check_unique``
-    the target side is checked first (a partial-aggregated count by id, so a
-    hot id collapses map-side) and duplicates raise instead of multiplying rows.
+    A full outer join keeps the rows of either side without a partner. Ids
+    must be unique on both sides, or rows would multiply; with
+    ``check_unique`` a repeated id raises.
     """
-    schema = _positional_credit_schema()
-    feat = _reader(spark, fmt, StructType([f for f in schema.fields if f.name != "Y"])).load(features_path)
-    tgt = _reader(spark, fmt, StructType([schema["id"], schema["Y"]])).load(target_path)
+    feat_cols = [c for c in RAW_CREDIT_COLUMNS if c != "is_default"]
+    df, cols = _credit(spark, features_path, fmt, True, True, only=feat_cols)
+    feat = df.select(*[c for _, _, c in cols])
+    df, cols = _credit(spark, target_path, fmt, True, True, only=("id", "is_default"))
+    tgt = df.select(*[c for _, _, c in cols])
     if check_unique:
-        dup = tgt.groupBy("id").count().filter(F.col("count") > 1).limit(1).collect()
-        if dup:
-            raise ValueError(f"target file repeats id {dup[0]['id']}: the id join would multiply rows")
-    return reshape.rename_credit_positional(feat.join(tgt, "id")).select(*RAW_CREDIT_COLUMNS)
+        for side, frame in (("target", tgt), ("features", feat)):
+            dup = repeated_id(frame)
+            if dup is not None:
+                raise ValueError(f"{side} file repeats id {dup}: the id join would multiply rows")
+    return join_by_id(feat, tgt).select(*RAW_CREDIT_COLUMNS)
 
 
 def read_raw_marketing(spark: SparkSession, path: str, fmt: str = "csv",
                        order_by: Sequence[str] | None = None, sep: str = ",") -> DataFrame:
-    """Marketing records under source names; normalised, renamed, and given an id.
+    """Marketing records under source or table names; normalised, renamed, and given an id.
 
     When the file has no id, dense ids 1..n are assigned in ``order_by`` order.
-    CSV columns are read as text and cast to the raw schema after renaming.
     """
-    raw = spark.read.format(fmt).option("header", "true").option("sep", sep).load(path) if fmt == "csv" \
-        else spark.read.format(fmt).load(path)
-    df = reshape.rename_marketing(raw)
-    if "id" not in df.columns:
-        if not order_by:
-            raise ValueError("marketing file has no id; pass order_by to number its rows")
+    back = {v: k for k, v in MARKETING_RENAMES.items()}
+    wanted = [*RAW_MARKETING_COLUMNS, *back.values()]
+    df = reshape.rename_marketing(file_columns(spark, path, fmt, wanted, sep))
+    has_id = "id" in df.columns
+    if not has_id and not order_by:
+        raise ValueError("marketing file has no id; pass order_by to number its rows")
+    schema = StructType([f for f in RAW_MARKETING_SCHEMA.fields if has_id or f.name != "id"])
+    df = df.select(*[c for _, _, c in _select(df, path, schema, {f.name: f.name for f in schema.fields})])
+    if not has_id:
         df = reshape.add_dense_id(df, order_by)
-    types = {f.name: f.dataType for f in RAW_MARKETING_SCHEMA.fields}
-    return df.select(*[F.col(c).cast(types[c]).alias(c) for c in RAW_MARKETING_COLUMNS])
+    return df.select(*RAW_MARKETING_COLUMNS)
 
 
 INDICATOR_SERIES_SCHEMA = StructType([
@@ -98,37 +179,50 @@ INDICATOR_SERIES_SCHEMA = StructType([
 ])
 
 
+def _series(spark: SparkSession, path: str, fmt: str) -> DataFrame:
+    """(country_code, year, value) of one series: long rows, or one row per country with a column per year."""
+    wanted = [f.name for f in INDICATOR_SERIES_SCHEMA.fields]
+    df = file_columns(spark, path, fmt, wanted)
+    years = {c: c[2:] if c[:2].upper() == "YR" else c for c in df.columns}
+    years = {c: y for c, y in years.items() if len(y) == 4 and y.isdigit()}
+    if years and "value" not in df.columns:
+        if "country_code" not in df.columns:
+            raise MissingColumns(path, ["country_code"])
+        wide = df.select("country_code", *[typed(F.col(f"`{c}`"), df.schema[c].dataType, DoubleType()).alias(y)
+                                           for c, y in years.items()])
+        return reshape.unpivot_years(wide, ["country_code"]).select(*wanted)
+    return df.select(*[c for _, _, c in _select(df, path, INDICATOR_SERIES_SCHEMA, {c: c for c in wanted})])
+
+
 def read_indicator_series(spark: SparkSession, paths: Mapping[str, str], fmt: str = "parquet",
-                          recent: int | None = None) -> DataFrame:
+                          recent: int | None = None, skipped: dict[str, str] | None = None) -> DataFrame:
     """Long (country_code, year, indicator, value) rows from per-indicator files.
 
-    ``paths`` maps indicator code (or column name) -> path. Series whose path
-    does not exist are skipped; it is an error when none exists. ``recent``
-    keeps the most recent n years per series.
+    ``paths`` maps indicator code (or column name) -> path. A series that
+    cannot be read (no such path, a broken file, missing columns) is skipped
+    and named in ``skipped`` with the reason; it is an error when none can be
+    read. ``recent`` keeps the most recent n years of a series as landed,
+    empty years counted; empty values are dropped after that.
     """
     parts = []
     for code, path in paths.items():
         name = INDICATORS.get(code, code)
-        if not _exists(spark, path):
+        try:
+            s = _series(spark, path, fmt)
+            s.take(1)
+        except (PySparkException, MissingColumns) as e:
+            if skipped is not None:
+                skipped[code] = str(e).splitlines()[0][:300]
             continue
-        s = _reader(spark, fmt, INDICATOR_SERIES_SCHEMA).load(path)
-        parts.append(s.select("country_code", "year", F.lit(name).alias("indicator"), "value")
-                     .filter(F.col("value").isNotNull()))
+        parts.append(s.select("country_code", "year", F.lit(name).alias("indicator"), "value"))
     if not parts:
         raise RuntimeError("no indicator series could be read")
     long = reduce(DataFrame.unionByName, parts)
-    return reshape.recent_values(long, recent) if recent else long
+    long = reshape.recent_values(long, recent) if recent else long
+    return long.filter(F.col("value").isNotNull())
 
 
 def read_raw_macro(spark: SparkSession, paths: Mapping[str, str], fmt: str = "parquet",
-                   recent: int = 25) -> DataFrame:
+                   recent: int = 25, skipped: dict[str, str] | None = None) -> DataFrame:
     """Wide macro panel from per-indicator files; missing indicators come out NULL."""
-    return reshape.pivot_indicators(read_indicator_series(spark, paths, fmt, recent))
-
-
-def _exists(spark: SparkSession, path: str) -> bool:
-    """Path check through the Hadoop filesystem API (works for shared stores too)."""
-    jvm = spark.sparkContext._jvm
-    hpath = jvm.org.apache.hadoop.fs.Path(path)
-    fs = hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    return bool(fs.exists(hpath))
+    return reshape.pivot_indicators(read_indicator_series(spark, paths, fmt, recent, skipped))
