@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 from collections.abc import Callable, Iterator, Sequence
 
 import pyarrow as pa
@@ -69,8 +70,16 @@ def map_text(df: DataFrame, keep: Sequence[str], make: Callable[[], Callable], f
 
 
 def cut(df: DataFrame, label: str) -> DataFrame:
-    """Write once to the shared checkpoint folder and read back (see ``materialize``)."""
-    return materialize(df, label)
+    """Write once to the shared checkpoint folder and read back (see ``materialize``).
+
+    The shuffle files behind the written table are of no further use; the
+    collection hint lets Spark's cleaner remove them now rather than when the
+    driver next runs short of heap.
+    """
+    out = materialize(df, label)
+    gc.collect()
+    df.sparkSession.sparkContext._jvm.System.gc()
+    return out
 
 
 def bounded_broadcast(df: DataFrame, rows: int, most: int = 200_000) -> DataFrame:
