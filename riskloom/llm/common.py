@@ -82,6 +82,17 @@ def cut(df: DataFrame, label: str) -> DataFrame:
     return out
 
 
+def discard(*frames: DataFrame) -> None:
+    """Delete tables written by ``cut`` that nothing reads any more."""
+    for df in frames:
+        folders = {f.rpartition("/")[0] for f in df.inputFiles()}
+        for folder in folders:
+            if "/riskloom-tables/" in folder:
+                sc = df.sparkSession.sparkContext
+                path = sc._jvm.org.apache.hadoop.fs.Path(folder)
+                path.getFileSystem(sc._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def bounded_broadcast(df: DataFrame, rows: int, most: int = 200_000) -> DataFrame:
     """Broadcast hint for a side whose exact row count is known and under ``most``; else a shuffle join."""
     return F.broadcast(df) if rows <= most else df

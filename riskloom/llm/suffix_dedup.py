@@ -40,7 +40,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from riskloom.llm.common import cut, read_table
+from riskloom.llm.common import cut, discard, read_table
 
 LENGTH = 400
 GRAM = 32
@@ -356,9 +356,10 @@ def repeated_spans(docs: DataFrame, length: int = LENGTH) -> DataFrame:
     if length < 2 * WINDOW + GRAM:
         raise ValueError(f"length must be at least {2 * WINDOW + GRAM}")
     level = cut(repeated(phrase_rows(docs, length)), "suffix-level")
-    levels, step = [level.withColumn("t", F.lit(0))], 1
+    written, levels, step = [level], [level.withColumn("t", F.lit(0))], 1
     while True:
         level = cut(repeated(double(level, step, length)), "suffix-level")
+        written.append(level)
         if not level.take(1):
             break
         levels.append(level.withColumn("t", F.lit(len(levels))))
@@ -368,17 +369,20 @@ def repeated_spans(docs: DataFrame, length: int = LENGTH) -> DataFrame:
         rows = rows.unionByName(x)
     marks = rows.groupBy("rid").agg(F.collect_list(F.struct("t", "i", "pos", "end", "name")).alias("m"))
     marks = cut(marks, "suffix-marks")
+    discard(*written)
     sure = repeated(class_rows(marks, length)).groupBy("rid").agg(
         F.collect_set(F.struct("lo", "hi")).alias("s")).withColumnRenamed("rid", "srid")
     none = F.array().cast("array<struct<lo:int,hi:int>>")
     found = marks.select("rid", F.transform("m", lambda x: F.struct(x["t"].alias("t"), x["i"].alias("i"))).alias("m"))
     found = cut(found.join(sure, F.col("rid") == F.col("srid"), "left")
                 .select(F.col("rid").alias("mrid"), "m", F.coalesce("s", none).alias("s")), "suffix-found")
+    discard(marks)
     flat = _flat(docs).filter(F.octet_length("t") >= length)
     if found.count() <= BROADCAST_IDS:
         flat = flat.join(F.broadcast(found.select("mrid")), F.col("rid") == F.col("mrid"), "left_semi")
     # identical rows share a rid, and their marks are those of all of them
     cands = cut(flat.join(found, F.col("rid") == F.col("mrid")).select("rid", "t", "m", "s"), "suffix-texts")
+    discard(found)
     # an open start may equal a start that a repeated class holds elsewhere: one example of each such class testifies
     classes = cut(open_classes(cands, length), "suffix-open")
     keys = classes.filter("open").select(F.col("key").alias("okey")).distinct()

@@ -4,6 +4,7 @@ import hashlib
 import random
 import re
 
+from llm_fixtures import make_docs, sf  # noqa: F401
 from riskloom.llm import decontaminate as D
 
 WORD = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")

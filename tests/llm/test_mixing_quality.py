@@ -4,6 +4,7 @@ import random
 import re
 from collections import Counter, defaultdict
 
+from llm_fixtures import make_docs, sf  # noqa: F401
 from riskloom.llm import mixing as M
 from riskloom.llm import quality_hosts as Q
 

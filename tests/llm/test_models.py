@@ -7,6 +7,7 @@ import numpy as np
 import pytest
 
 from conftest import SF_MID
+from llm_fixtures import make_docs, sf  # noqa: F401
 from riskloom.llm import langid as G
 from riskloom.llm import toxicity as T
 from riskloom.llm.queries import QUERIES

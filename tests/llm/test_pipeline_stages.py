@@ -3,6 +3,7 @@
 from collections import Counter, defaultdict
 
 from conftest import SF_SMALL
+from llm_fixtures import make_docs, sf  # noqa: F401
 from riskloom.llm import langid, packing
 from test_decontaminate import brute as hits
 from test_jaccard_join import brute as groups

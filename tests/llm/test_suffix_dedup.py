@@ -7,6 +7,7 @@ from collections import Counter
 import numpy as np
 import pytest
 
+from llm_fixtures import make_docs, sf  # noqa: F401
 from riskloom.llm import suffix_dedup as S
 
 

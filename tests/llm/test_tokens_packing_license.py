@@ -6,6 +6,7 @@ from collections import defaultdict
 import numpy as np
 import pytest
 
+from llm_fixtures import make_docs, sf  # noqa: F401
 from riskloom.llm import license_scan as L
 from riskloom.llm import packing as P
 from riskloom.llm import token_count as T
