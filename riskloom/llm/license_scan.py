@@ -7,9 +7,9 @@ words are now unique. Coverage is the share of template words aligned; a
 template is found where coverage reaches ``min_coverage``.
 
 A text may hold a license more than once, which leaves no unique word in the
-whole of it. So a template is aligned within stretches of ``2 n + 8`` words
-that begin at a template word, left to right, and the scan goes on behind
-each find. Texts and stretches that cannot reach the coverage, because too
+whole of it. So a template is aligned within stretches of ``n`` and of
+``2 n + 8`` words that begin at a template word, left to right, and the scan
+goes on behind each find. Texts and stretches that cannot reach the coverage, because too
 few template words occur in them at all, are passed over; that bound loses
 nothing.
 
@@ -133,7 +133,10 @@ class LicenseScanner:
                 if here is None or sum(min(c, counts[w]) for w, c in here.items()) < need:
                     k += 1
                     continue
-                pairs = patience(words[start:start + size], template)
+                # a stretch of the template's own length first: a copy right behind would leave no unique word
+                pairs = patience(words[start:start + len(template)], template)
+                if len(pairs) < need:
+                    pairs = patience(words[start:start + size], template)
                 if len(pairs) < need:
                     k += 1
                     continue
