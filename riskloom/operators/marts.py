@@ -72,7 +72,7 @@ def mart_ecl_estimates(ecl: DataFrame) -> DataFrame:
         ead_sum.alias("total_ead"),
         R.round_std(ecl_sum, 0).alias("total_ecl"),
         R.round_std(R.exact_avg("empirical_pd", 4) * 100.0, 2).alias("avg_pd_pct"),
-        R.round_std(R.exact_avg("lgd", 2) * 100.0, 2).alias("lgd_pct"),
+        R.round_std(R.exact_avg("lgd", 6) * 100.0, 2).alias("lgd_pct"),
         R.round_std(R.safe_ratio_pct(ecl_sum, ead_sum), 2).alias("ecl_rate_pct"),
         F.sum("is_npl").alias("npl_count"),
         R.round_std(R.safe_ratio_pct(npl_ecl, npl_ead), 2).alias("npl_provision_coverage_pct"),

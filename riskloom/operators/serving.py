@@ -35,8 +35,8 @@ def dash_portfolio_kpis(summary: DataFrame) -> DataFrame:
     """Loans, exposure, unweighted mean of group utilisation (1 dp), NPL rate."""
     loans = F.sum("loan_count")
     return summary.agg(
-        loans.alias("total_loans"),
-        F.sum("total_credit_limit").alias("total_exposure"),
+        F.coalesce(loans, F.lit(0).cast("long")).alias("total_loans"),
+        F.coalesce(F.sum("total_credit_limit"), F.lit(0).cast("long")).alias("total_exposure"),
         R.round_half_even(R.exact_avg("avg_utilisation_pct", 2), 1).alias("avg_utilisation_pct"),
         F.when(loans > 0, R.round_half_even(F.sum("npl_count") / loans * 100.0, 2))
          .otherwise(F.lit(0.0)).alias("portfolio_npl_rate_pct"),
