@@ -63,10 +63,10 @@ WITH RECURSIVE w AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text,
 s AS (SELECT DISTINCT doc_id, array_to_string(list_slice(w, i, i + 4), ' ') AS g
       FROM w, unnest(range(1, greatest(len(w) - 4, 1) + 1)) AS t(i) WHERE len(w) > 0),
 n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
-shared AS (SELECT a.doc_id AS u, b.doc_id AS v, count(*) AS both
+shared AS (SELECT a.doc_id AS u, b.doc_id AS v, count(*) AS common_n
            FROM s AS a JOIN s AS b ON a.g = b.g AND a.doc_id < b.doc_id GROUP BY a.doc_id, b.doc_id),
 link AS (SELECT u, v FROM shared JOIN n AS x ON x.doc_id = u JOIN n AS y ON y.doc_id = v
-         WHERE 100 * both >= 80 * (x.n + y.n - both)),
+         WHERE 100 * common_n >= 80 * (x.n + y.n - common_n)),
 sym AS (SELECT u, v FROM link UNION SELECT v, u FROM link),
 reach AS (SELECT doc_id AS u, doc_id AS v FROM documents UNION SELECT r.u, sym.v FROM reach AS r JOIN sym ON r.v = sym.u)
 SELECT d.doc_id, CAST(coalesce(n.n, 0) AS BIGINT) AS n_shingles, m.component_id
