@@ -193,33 +193,47 @@ def double(level: DataFrame, step: int, length: int) -> DataFrame:
     return docs.mapInArrow(run, "name bigint, rid bigint, i int, pos int, p2 int, q int, end int")
 
 
-def class_rows(marks: DataFrame, length: int) -> DataFrame:
-    """(name, rid, lo, hi): the classes of starts whose phrases around are all repeated, named by a rank pair."""
+def packed(t, i):
+    """Level and phrase number in one long: what is kept of a rank pair, as its name follows from the text."""
+    return F.shiftleft(F.lit(t).cast("long"), 32).bitwiseOR(F.col(i).cast("long"))
+
+
+def _unpacked(m: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    return (m >> 32).astype(np.int64), (m & 0xFFFFFFFF).astype(np.int64)
+
+
+def class_rows(texts: DataFrame, length: int) -> DataFrame:
+    """(name, rid, lo, hi): the classes of starts whose phrases around are all repeated, named by a rank pair.
+
+    ``texts`` is (rid, t, m); m holds the level and phrase number of every repeated rank pair (see ``packed``).
+    """
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            off, (t, i, pos, end, name) = _per_doc(b.column(1))
-            rids, out = b.column(0).to_numpy(zero_copy_only=False), []
-            for d in range(b.num_rows):
-                part = slice(off[d], off[d + 1])
-                got = _classes(t[part], i[part], pos[part], end[part], name[part].view(np.uint64), length)
+            off, marks = b.column(2).offsets.to_numpy(), b.column(2).values.to_numpy(zero_copy_only=False)
+            out = []
+            for d, (rid, raw) in enumerate(zip(b.column(0).to_pylist(), b.column(1).to_pylist())):
+                t, i = _unpacked(np.unique(marks[off[d]:off[d + 1]]))
+                text = Text(raw)
+                s, e = text.phrases(text.minima())
+                names, name = [text.name(s, e)], np.zeros(len(t), np.uint64)
+                for level in range(int(t[-1]) + 1):
+                    if level:
+                        step = 1 << (level - 1)
+                        names.append(_mix(_mix(names[-1][:-step]) + names[-1][step:]))
+                    name[t == level] = names[level][i[t == level]]
+                got = _classes(t, i, s[i], e[i], name, length)
                 if got is not None:
-                    nm, lo, hi, times = got
-                    rep = np.repeat(np.arange(len(nm)), times)
-                    out.append((nm.view(np.int64)[rep], np.full(len(rep), rids[d], np.int64), lo[rep], hi[rep]))
+                    nm, lo, hi = got
+                    out.append((nm.view(np.int64), np.full(len(nm), rid, np.int64), lo, hi))
             if out:
                 yield _chunks(out, ["name", "rid", "lo", "hi"])
-    return marks.select("rid", "m").mapInArrow(run, "name bigint, rid bigint, lo int, hi int")
+    return texts.select("rid", "t", "m").mapInArrow(run, "name bigint, rid bigint, lo int, hi int")
 
 
 def _classes(t, i, pos, end, name, length):
-    order = np.lexsort((i, t))
-    t, i, pos, end, name = t[order], i[order], pos[order], end[order], name[order]
-    key = t.astype(np.int64) << 32 | i
-    first = np.concatenate([[True], key[1:] != key[:-1]])
-    times = np.diff(np.concatenate([np.flatnonzero(first), [len(key)]]))
-    key, name = key[first], name[first]
-    zero = t[first] == 0
-    x, b, e, copies = i[first][zero].astype(np.int64), pos[first][zero], end[first][zero], times[zero]
+    key = t << 32 | i  # ascending, each once
+    zero = t == 0
+    x, b, e = i[zero], pos[zero], end[zero]
     breaks = np.flatnonzero(np.diff(x) != 1) + 1
     out = []
     for s0, s1 in zip(np.concatenate([[0], breaks]), np.concatenate([breaks, [len(x)]])):
@@ -240,7 +254,7 @@ def _classes(t, i, pos, end, name, length):
         last = np.concatenate([cuts[1:] - 1, [hi]])
         # the pair fixes the bytes; the start within them does not matter for a whole class
         nm = _mix(_mix(name[a1] + _mix(name[a2])) + m.astype(np.uint64))
-        out.append((nm[ok], cuts[ok].astype(np.int32), last[ok].astype(np.int32), copies[left[ok]]))
+        out.append((nm[ok], cuts[ok].astype(np.int32), last[ok].astype(np.int32)))
     if not out:
         return None
     return tuple(np.concatenate(c) for c in zip(*out))
@@ -290,7 +304,8 @@ class Starts:
 
 
 def _each(b: pa.RecordBatch, length: int):
-    moff, (t, i) = _per_doc(b.column(2))
+    moff = b.column(2).offsets.to_numpy()
+    t, i = _unpacked(b.column(2).values.to_numpy(zero_copy_only=False))
     soff, (lo, hi) = _per_doc(b.column(3))
     for d, (rid, raw) in enumerate(zip(b.column(0).to_pylist(), b.column(1).to_pylist())):
         mp, sp = slice(moff[d], moff[d + 1]), slice(soff[d], soff[d + 1])
@@ -356,32 +371,35 @@ def repeated_spans(docs: DataFrame, length: int = LENGTH) -> DataFrame:
     if length < 2 * WINDOW + GRAM:
         raise ValueError(f"length must be at least {2 * WINDOW + GRAM}")
     level = cut(repeated(phrase_rows(docs, length)), "suffix-level")
-    written, levels, step = [level], [level.withColumn("t", F.lit(0))], 1
+    written, marks, step = [level], [level.select("rid", packed(0, "i").alias("x"))], 1
     while True:
         level = cut(repeated(double(level, step, length)), "suffix-level")
         written.append(level)
         if not level.take(1):
             break
-        levels.append(level.withColumn("t", F.lit(len(levels))))
+        marks.append(level.select("rid", packed(len(marks), "i").alias("x")))
         step *= 2
-    rows = levels[0]
-    for x in levels[1:]:
+    rows = marks[0]
+    for x in marks[1:]:
         rows = rows.unionByName(x)
-    marks = rows.groupBy("rid").agg(F.collect_list(F.struct("t", "i", "pos", "end", "name")).alias("m"))
-    marks = cut(marks, "suffix-marks")
+    # identical rows share a rid, and their marks are those of all of them
+    marks = cut(rows.groupBy("rid").agg(F.collect_set("x").alias("m")).withColumnRenamed("rid", "mrid"), "suffix-marks")
     discard(*written)
-    sure = repeated(class_rows(marks, length)).groupBy("rid").agg(
+    flat = _flat(docs).filter(F.octet_length("t") >= length)
+    few = marks.count() <= BROADCAST_IDS
+
+    def with_texts(table: DataFrame) -> DataFrame:
+        some = flat.join(F.broadcast(table.select("mrid")), F.col("rid") == F.col("mrid"), "left_semi") if few else flat
+        return some.join(table, F.col("rid") == F.col("mrid"))
+
+    texts = with_texts(marks).select("rid", "t", "m")
+    sure = repeated(cut(class_rows(texts, length), "suffix-classes")).groupBy("rid").agg(
         F.collect_set(F.struct("lo", "hi")).alias("s")).withColumnRenamed("rid", "srid")
     none = F.array().cast("array<struct<lo:int,hi:int>>")
-    found = marks.select("rid", F.transform("m", lambda x: F.struct(x["t"].alias("t"), x["i"].alias("i"))).alias("m"))
-    found = cut(found.join(sure, F.col("rid") == F.col("srid"), "left")
-                .select(F.col("rid").alias("mrid"), "m", F.coalesce("s", none).alias("s")), "suffix-found")
+    found = cut(marks.join(sure, F.col("mrid") == F.col("srid"), "left")
+                .select("mrid", "m", F.coalesce("s", none).alias("s")), "suffix-found")
     discard(marks)
-    flat = _flat(docs).filter(F.octet_length("t") >= length)
-    if found.count() <= BROADCAST_IDS:
-        flat = flat.join(F.broadcast(found.select("mrid")), F.col("rid") == F.col("mrid"), "left_semi")
-    # identical rows share a rid, and their marks are those of all of them
-    cands = cut(flat.join(found, F.col("rid") == F.col("mrid")).select("rid", "t", "m", "s"), "suffix-texts")
+    cands = cut(with_texts(found).select("rid", "t", "m", "s"), "suffix-texts")
     discard(found)
     # an open start may equal a start that a repeated class holds elsewhere: one example of each such class testifies
     classes = cut(open_classes(cands, length), "suffix-open")
