@@ -8,8 +8,11 @@ template is found where coverage reaches ``min_coverage``.
 
 A text may hold a license more than once, which leaves no unique word in the
 whole of it. So a template is aligned within stretches of ``n`` and of
-``2 n + 8`` words that begin at a template word, left to right, and the scan
-goes on behind each find. Texts and stretches that cannot reach the coverage, because too
+``2 n + 8`` words that begin at a template word, left to right. The first
+stretch that reaches the coverage may begin in the prose before a license and
+end within it, so stretches from later starts that keep most of its alignment
+are tried, too, and the one with most words aligned, then the shortest, is the
+find. The scan goes on behind it. Texts and stretches that cannot reach the coverage, because too
 few template words occur in them at all, are passed over; that bound loses
 nothing.
 
@@ -107,6 +110,15 @@ def patience(text: list, template: list) -> list[tuple[int, int]]:
     return sorted(found)
 
 
+def align(words: list, start: int, template: list, need: int) -> list[tuple[int, int]]:
+    """Aligned (word, template) positions of the stretch from ``start``, the longer one if the first has under ``need``."""
+    # a stretch of the template's own length first: a copy right behind would leave no unique word
+    pairs = patience(words[start:start + len(template)], template)
+    if len(pairs) < need:
+        pairs = patience(words[start:start + 2 * len(template) + 8], template)
+    return [(start + i, j) for i, j in pairs]
+
+
 class LicenseScanner:
     def __init__(self, templates: dict[str, str], min_coverage: float = MIN_COVERAGE) -> None:
         self.items = [(name, words_of(t.encode())) for name, t in templates.items()]
@@ -115,6 +127,34 @@ class LicenseScanner:
         self.vocab = frozenset(w for _, t in self.items for w in t)
         self.needs = [math.ceil(min_coverage * len(w) - 1e-9) for _, w in self.items]
 
+    @staticmethod
+    def widest(words: list, start: int, at: list[int], k: int, template: list, counts: Counter,
+               pairs: list[tuple[int, int]]) -> list[tuple[int, int]]:
+        """The best alignment of the license that ``pairs``, found from ``start`` = ``at[k]``, lie in.
+
+        Alignments that share at most half of ``pairs`` are of another copy and
+        left to the scan; no start behind the middle pair can share more.
+        """
+        n, size, found = len(template), 2 * len(template) + 8, set(pairs)
+
+        def rank(p):
+            return len(p), p[0][0] - p[-1][0]
+
+        best = pairs
+        # where the license begins if no word was added or lost before the middle pair: mostly right at once
+        i, j = pairs[len(pairs) // 2]
+        for s in [max(start, i - j), *at[k:bisect_left(at, i + 1)]]:
+            if len(best) == n and rank(best)[1] == 1 - n:
+                break
+            here = Counter(words[x] for x in at[bisect_left(at, s):bisect_left(at, s + size)])
+            if sum(min(c, counts[w]) for w, c in here.items()) < len(best):
+                continue
+            for length in (n, size):
+                p = [(s + x, y) for x, y in patience(words[s:s + length], template)]
+                if p and rank(p) > rank(best) and 2 * len(found.intersection(p)) > len(found):
+                    best = p
+        return best
+
     def scan(self, text: bytes | None):
         words = words_of(text)
         present = self.vocab.intersection(words)
@@ -133,14 +173,12 @@ class LicenseScanner:
                 if here is None or sum(min(c, counts[w]) for w, c in here.items()) < need:
                     k += 1
                     continue
-                # a stretch of the template's own length first: a copy right behind would leave no unique word
-                pairs = patience(words[start:start + len(template)], template)
-                if len(pairs) < need:
-                    pairs = patience(words[start:start + size], template)
+                pairs = align(words, start, template, need)
                 if len(pairs) < need:
                     k += 1
                     continue
-                first, last = start + pairs[0][0], start + pairs[-1][0]
+                pairs = self.widest(words, start, at, k, template, counts, pairs)
+                first, last = pairs[0][0], pairs[-1][0]
                 finds.append((name, len(pairs) / len(template), first, last + 1))
                 k = bisect_left(at, last + 1)
         best = max(finds, key=lambda f: f[1], default=None)  # templates are ordered: ties go to the first

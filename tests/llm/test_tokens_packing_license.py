@@ -144,3 +144,29 @@ def test_license_query(spark, make_docs, sf):
     assert one[5]["license"] == "MIT-line" and one[5]["finds"][0]["start_word"] == 30000
     assert one[8]["license"] == "Apache-2.0-notice"
     assert sorted(r["n_finds"] for r in out[6]) == [0, 2]
+
+
+@pytest.mark.parametrize("name", sorted(L.TEMPLATES))
+def test_whole_notice_behind_prose(name):
+    """Prose full of template words before a notice takes nothing off the find."""
+    rnd = random.Random(3)
+    pool = ("the of to in a use this software without and any or you may all copy program under house river went green "
+            "seven walked letter morning").split()
+    n = len(L.words_of(L.TEMPLATES[name].encode()))
+    for prose in (100, 200, 400):
+        around = " ".join(rnd.choice(pool) for _ in range(prose))
+        _, best, coverage, _, finds = L.LicenseScanner(L.TEMPLATES).scan(f"{around} {L.TEMPLATES[name]} {around}".encode())
+        assert (best, coverage) == (name, 1.0)
+        assert [(f["start_word"], f["end_word"]) for f in finds if f["license"] == name] == [(prose, prose + n)]
+
+
+def test_changed_copies_behind_prose():
+    """A worn copy is measured from its own words, and does not swallow the exact copy behind it."""
+    words = L.TEMPLATES["MIT"].split()
+    worn = ["zz" if i % 10 == 4 else w for i, w in enumerate(words)]
+    prose = ("the software and this permission of the house to any person " * 20).split()
+    scan = L.LicenseScanner({"MIT": L.TEMPLATES["MIT"]}).scan
+    alone = scan(" ".join(worn).encode())[4][0]
+    finds = scan(" ".join([*prose, *worn, *words]).encode())[4]
+    assert [f["coverage"] for f in finds] == [alone["coverage"], 1.0]
+    assert finds[0]["end_word"] - len(L.words_of(" ".join(prose).encode())) == alone["end_word"]
