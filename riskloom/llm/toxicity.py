@@ -52,7 +52,7 @@ PREFIXES = (4, 5, 6)
 #: fixed values: letters that a character imitates in leetspeak
 LEET = {"0": "o", "1": "il", "3": "e", "4": "a", "5": "s", "7": "t", "8": "b", "9": "g", "@": "a", "$": "s",
         "!": "i", "|": "il", "+": "t"}
-SEPARATORS = " .-_*"
+SEPARATORS = " .-_*/,;:~#^=&%?'\"`\\()[]{}<>"
 #: log costs of the channel
 COST_LEET, COST_DROP, COST_REPEAT, COST_KEEP = -1.0, -0.5, -2.0, -12.0
 #: a word boundary at a single separator between single characters
@@ -61,9 +61,13 @@ COST_SPLIT = -5.0
 _K = 28  # 0 boundary, 1-26 letters, 27 any byte of another letter
 _CODE = np.array([b - 96 if 97 <= b <= 122 else b - 64 if 65 <= b <= 90 else 27 if b >= 128 else 0
                   for b in range(256)], np.int64)
-_INNER = re.compile(rb"[a-z\x80-\xff][0-9@$!|+*._-]+[a-z\x80-\xff]|(?<![^\s])[0-9@$!|+]+[a-z\x80-\xff]"
-                    rb"|[a-z\x80-\xff][013457@$]+(?=[\s.,;:?]|$)")
-_SPACED = re.compile(rb"(?<![a-z0-9\x80-\xff])(?:[a-z0-9@$!|+][ .*_-]{1,3}){2,}[a-z0-9@$!|+](?![a-z0-9\x80-\xff])")
+#: a leading or trailing imitation may stand beside any mark; a "!" behind a word alone is left as the sentence's end
+_INNER = re.compile(rb"[a-z\x80-\xff][0-9@$!|+*._-]+[a-z\x80-\xff]|(?<![a-z0-9@$!|+\x80-\xff])[0-9@$!|+]++[a-z\x80-\xff]"
+                    rb"|[a-z\x80-\xff]!*[01345789@$|+]")
+_SPACED = re.compile(rb"(?<![a-z0-9\x80-\xff])(?:[a-z0-9@$!|+][^a-z0-9@$!|+\x80-\xff]++){2,}[a-z0-9@$!|+](?![a-z0-9\x80-\xff])")
+_GAPS = re.compile(r"[^a-z0-9@$!|+\x80-\U0010ffff]+")
+#: characters without width stand for nothing: zero-width space and joiners, word joiner, byte order mark, soft hyphen
+_NO_WIDTH = re.compile(rb"\xe2\x80[\x8b-\x8d]|\xe2\x81\xa0|\xef\xbb\xbf|\xc2\xad")
 _LETTERS = bytes(b if 97 <= b <= 122 or b >= 128 else b + 32 if 65 <= b <= 90 else 32 for b in range(256))
 
 
@@ -112,6 +116,12 @@ def _code(ch: str) -> int:
     return ord(ch) - 96 if "a" <= ch <= "z" else 27
 
 
+def single_gaps(span: str) -> str:
+    """Characters spaced by two or more marks throughout: the shortest gap between them counts as one separator."""
+    short = min((len(g) for g in _GAPS.findall(span)), default=1)
+    return _GAPS.sub(lambda m: " " if len(m[0]) == short else m[0], span) if short > 1 else span
+
+
 class Restorer:
     """Viterbi over the lattice of a stretch of text; restores whole texts."""
 
@@ -137,10 +147,11 @@ class Restorer:
         if got is not None:
             return got
         log, start = self.m.log, self.m.start
+        written = single_gaps(span) if spaced else span
         # state: last two codes and the last letter; value: score and a linked list of letters
         states = {(0, 0, ""): (0.0, None)}
         before = ""
-        for ch in span:
+        for ch in written:
             arcs = self.arcs(ch, COST_SPLIT if spaced and before.isalnum() else 0.0)
             before = ch
             new: dict = {}
@@ -205,7 +216,7 @@ class Restorer:
         """The lower-cased text with its disguised stretches decoded."""
         if not text:
             return b""
-        low = text.translate(LOWER_TABLE)
+        low = _NO_WIDTH.sub(b"", text.translate(LOWER_TABLE))
         spans = self.spans(low)
         if not spans:
             return low

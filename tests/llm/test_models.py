@@ -72,6 +72,18 @@ def test_restoration(spark, make_docs, hidden, plain):
     assert r.restore(b"and the, Here.") == b"and the, here."
 
 
+@pytest.mark.parametrize("hidden, plain", [
+    ('"$tupid"', "stupid"), ("(1diot)", "idiot"), ("such an a$$!", "ass"), ("an [a$$]", "ass"), ("'m0r0n8'", "moronb"),
+    ("i/d/i/o/t", "idiot"), ("l,o,s,e,r", "loser"), ("you i\td\ti\to\tt here", "idiot"), ("m\no\nr\no\nn", "moron"),
+    ("m\r\no\r\nr\r\no\r\nn", "moron"), ("i.....d.....i.....o.....t", "idiot"), ("i - d - i - o - t", "idiot"),
+    ("i\u200bd\u200bi\u200bo\u200bt", "idiot"), ("you mo\u00adron", "moron")])
+def test_disguises_beside_marks(spark, make_docs, hidden, plain):
+    words = ["idiot stupid moron moronb loser ass disgust and the here you an"] * 40
+    r = T.Restorer(model_of(spark, make_docs, words))
+    assert plain.encode() in r.restore(hidden.encode()).translate(T._LETTERS).split()
+    assert r.restore(b'"and" (the) here!') == b'"and" (the) here!'
+
+
 def test_viterbi_is_the_best_path(spark, make_docs):
     """Against all paths of short lattices."""
     m = model_of(spark, make_docs, ["abba cabal able", "bib bob lab sol", "o l i s"] * 5)
