@@ -8,7 +8,7 @@ The margin is the gap to the second language relative to the smallest size;
 a text with a margin under ``min_margin`` is rejected.
 
 The dictionaries are fitted on a bounded sample of the labelled rows:
-about ``SAMPLE_ROWS`` rows a language, chosen by a hash of the text, with
+about ``SAMPLE_ROWS`` distinct texts a language, chosen by a hash of the text, with
 ``SLICE_CHARS`` characters each from a hashed offset, cut at ``DICT_BYTES``.
 The broadcast is at most DICT_BYTES times the number of languages.
 
@@ -42,11 +42,13 @@ def dictionaries(train: DataFrame, sample_rows: int = SAMPLE_ROWS, slice_chars:
                  dict_bytes: int = DICT_BYTES) -> list[tuple[str, bytes]]:
     """[(language, raw dictionary)], most frequent language first; ``train`` has text and lang."""
     rows = train.filter(F.col("lang").isNotNull() & has_letter(F.col("text"))).select("lang", "text")
-    counts = sorted(((r["lang"], r["n"]) for r in rows.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).collect()),
-                    key=lambda x: (-x[1], x[0]))
+    # copies of a text give one slice, so the share is of distinct texts
+    texts = rows.groupBy("lang", F.xxhash64("text").alias("h")).agg(F.count(F.lit(1)).alias("n"))
+    sizes = texts.groupBy("lang").agg(F.sum("n").alias("n"), F.count(F.lit(1)).alias("texts")).collect()
+    counts = [(r["lang"], r["texts"]) for r in sorted(sizes, key=lambda r: (-r["n"], r["lang"]))]
     if not counts:
         return []
-    # keep a row when its hash lies below a share that gives about sample_rows of its language
+    # keep a row when its hash lies below a share that gives about sample_rows texts of its language
     share = F.create_map(*[x for lang, n in counts for x in (F.lit(lang), F.lit(min(1.0, sample_rows / n)))])
     h = F.xxhash64("text")
     unit = F.pmod(h, F.lit(1 << 30)) / float(1 << 30)

@@ -52,6 +52,15 @@ def test_language_filter(spark, make_docs):
     assert out.columns == df.columns and out.count() == 60
 
 
+def test_sample_of_a_language_of_copies(spark, make_docs):
+    """Few different texts, each many times over: all of them are in the dictionary."""
+    texts = [f"maison {chr(97 + k)}x fleuve" for k in range(20)]
+    rows = [(i, texts[i % 20], "fr") for i in range(8000)] + [(9000 + i, "the house of the river", "en") for i in range(300)]
+    dicts = dict(G.dictionaries(make_docs(rows)))
+    assert set(dicts) == {"en", "fr"}
+    assert all(x.encode() in dicts["fr"] for x in texts)
+
+
 def model_of(spark, make_docs, words):
     return T.CharModel(T.count_trigrams(make_docs([(i, w) for i, w in enumerate(words)])))
 
