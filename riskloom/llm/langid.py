@@ -32,7 +32,10 @@ SAMPLE_ROWS = 256
 SLICE_CHARS = 1000
 DICT_BYTES = 64 << 10
 PIECE = 2048
-MIN_MARGIN = 0.002
+#: from labelled training rows that are in no dictionary (check_s, 300 a language, cut to 640 characters): 1 % of the
+#: rightly predicted texts have a margin under 0.06, half a percent under 0.038, while half of the few wrong ones are
+#: under 0.07; texts of a language left out of the dictionaries are under 0.035 in 90 % and under 0.057 in 95 %
+MIN_MARGIN = 0.04
 #: score = 1 / (1 + exp(-SHARPNESS * margin)) of the best against the second language
 SHARPNESS = 60.0
 _LETTERS = bytes(b if b >= 0x80 or 0x61 <= b <= 0x7A else 0x20 for b in range(256))

@@ -61,6 +61,30 @@ def test_sample_of_a_language_of_copies(spark, make_docs):
     assert all(x.encode() in dicts["fr"] for x in texts)
 
 
+def test_narrow_margins_are_rejected(spark):
+    """A language that was never learned and texts of two halves, against clean texts, whole and short."""
+    rows = [r for r in spark.read.parquet(f"{SF_MID}/documents.parquet").select("doc_id", "text", "lang").collect()
+            if r["text"] and r["lang"]]
+    rows.sort(key=lambda r: r["doc_id"])
+    left_out = min({r["lang"] for r in rows}, key=lambda x: (sum(r["lang"] == x for r in rows), x))
+    known = [r for r in rows if r["lang"] != left_out]
+    train = spark.createDataFrame([r for r in known if r["doc_id"] % 2], "doc_id bigint, text string, lang string")
+    judge = G.Compressors(G.dictionaries(train)).judge
+    fresh = [r for r in known if r["doc_id"] % 2 == 0]
+
+    def rejected(texts):
+        return sum(judge(G.letters(t))[2] < G.MIN_MARGIN for t in texts) / len(texts)
+    halves = []
+    langs = sorted({r["lang"] for r in fresh})
+    for a, b in itertools.combinations(langs, 2):
+        for x, y in zip(*([r["text"] for r in fresh if r["lang"] == k] for k in (a, b))):
+            k = min(len(x), len(y), 1000)
+            halves.append(x[:k] + " " + y[:k])
+    got = [rejected(x) for x in ([r["text"] for r in rows if r["lang"] == left_out], halves,
+                                 [r["text"] for r in fresh], [r["text"][:80] for r in fresh if len(r["text"]) >= 80])]
+    assert got[0] >= 0.8 and got[1] >= 0.4 and got[2] <= 0.02 and got[3] <= 0.05
+
+
 def model_of(spark, make_docs, words):
     return T.CharModel(T.count_trigrams(make_docs([(i, w) for i, w in enumerate(words)])))
 
