@@ -14,7 +14,8 @@ is shared again by weight among the others until none is above.
 
 Defined cases: a null text has size 0; a null source is a source of its own,
 after all others; a source without words has target 0; equal rows share a
-hash and are taken together; an empty table gives an empty mix.
+hash, and where it is the boundary, as many of them are taken as come nearest
+to the target; an empty table gives an empty mix.
 """
 
 from __future__ import annotations
@@ -76,11 +77,12 @@ def with_targets(sources: DataFrame, max_epochs: int = MAX_EPOCHS, share: float
 
 
 def thresholds(rows: DataFrame, budgets: DataFrame, bits: int = BITS) -> DataFrame:
-    """Per source the (shift, bucket, take_bucket) threshold whose sum of ``size`` is nearest to ``budget``.
+    """Per source the (shift, bucket, take_bucket, take_rows) threshold whose sum of ``size`` is nearest to ``budget``.
 
     ``rows``: source, h (ordered hash), size. ``budgets``: source, budget; at
     most one row per source. A row is below when ``h >> shift < bucket``, or
-    ``= bucket`` with ``take_bucket``. Each level reads only the boundary
+    ``= bucket`` with ``take_bucket``; ``take_rows`` is above 0 where only so many
+    of the equal rows of the boundary are taken. Each level reads only the boundary
     bucket of the level before.
     """
     keep = None
@@ -90,18 +92,21 @@ def thresholds(rows: DataFrame, budgets: DataFrame, bits: int = BITS) -> DataFra
     while shift > 0:
         shift = max(0, shift - bits)
         sums = (inside.groupBy("source", F.shiftright("h", shift).alias("bucket"))
-                .agg(F.sum("size").alias("w"), F.min("h").alias("lo"), F.max("h").alias("hi")))
+                .agg(F.sum("size").alias("w"), F.min("h").alias("lo"), F.max("h").alias("hi"),
+                     F.count(F.lit(1)).alias("rows")))
         run = Window.partitionBy("source").orderBy("bucket")  # at most 2^bits rows a source
         sums = (sums.withColumn("upto", F.sum("w").over(run))
                 .join(bounded_broadcast(open_.withColumnRenamed("source", "s"), n), F.col("source").eqNullSafe(F.col("s")))
                 .filter(F.col("upto") >= F.col("left")))
-        edge = sums.groupBy("source").agg(F.min_by(F.struct("bucket", "w", "upto", "lo", "hi", "left"), "bucket").alias("b"))
+        edge = sums.groupBy("source").agg(F.min_by(F.struct("bucket", "w", "upto", "lo", "hi", "rows", "left"), "bucket").alias("b"))
         edge = cut(edge.select("source", "b.*", F.lit(shift).alias("shift")), "mix-edge")
         before = F.col("upto") - F.col("w")
         done = (F.col("lo") == F.col("hi")) | (F.lit(shift) == 0)
+        # of the equal rows of one hash, the number whose words are nearest to what is left (one row: all or none)
+        near = F.floor(F.try_divide(F.col("rows") * (F.col("left") - before), F.col("w")) + 0.5)
         final = edge.filter(done).select(
-            "source", "shift", "bucket",
-            (F.col("upto") - F.col("left") <= F.col("left") - before).alias("take_bucket"))
+            "source", "shift", "bucket", (near >= F.col("rows")).alias("take_bucket"),
+            F.when(near < F.col("rows"), near).otherwise(0).cast("long").alias("take_rows"))
         keep = final if keep is None else keep.unionByName(final)
         more = edge.filter(~done)
         if not more.take(1):
@@ -127,7 +132,7 @@ def _decisions(rows: DataFrame, weights, max_epochs: int, share: float) -> tuple
     thr = thresholds(rows.select("source", "h", "size"), budgets)
     side = (plan.join(thr.withColumnRenamed("source", "s"), F.col("source").eqNullSafe(F.col("s")), "left")
             .select(F.col("source").alias("of_source"), "source_size", "target", "epochs", "shift", "bucket",
-                    "take_bucket"))
+                    "take_bucket", "take_rows"))
     return cut(side, "mix-decisions"), n
 
 
@@ -137,11 +142,36 @@ def _copies() -> Column:
     return F.col("epochs") + below.cast("long")
 
 
+def _with_copies(rows: DataFrame, side: DataFrame) -> DataFrame:
+    """``rows`` joined with their decisions, plus ``copies``.
+
+    Where a source takes some of the equal rows of its boundary, these rows
+    alone are written, numbered by input partition and position, and the first
+    ``take_rows`` get the copy; the window holds the rows of one partition.
+    """
+    out = rows.withColumn("copies", _copies())
+    if not side.filter("take_rows > 0").take(1):
+        return out
+    at_edge = F.coalesce((F.expr("shiftright(h, shift)") == F.col("bucket")) & (F.col("take_rows") > 0), F.lit(False))
+    edge = cut(out.filter(at_edge).withColumn("_u", F.monotonically_increasing_id()), "mix-equal-rows")
+    edge = edge.withColumn("_part", F.shiftright("_u", 33))
+    per = cut(edge.groupBy(F.col("of_source").alias("_source"), F.col("_part").alias("_p")).agg(F.count(F.lit(1)).alias("_n")),
+              "mix-equal-parts")
+    upto = F.sum("_n").over(Window.partitionBy("_source").orderBy("_p"))  # at most as many rows a source as partitions
+    per = per.select("_source", "_p", (upto - F.col("_n")).alias("_before"))
+    nth = F.row_number().over(Window.partitionBy("of_source", "_part").orderBy("_u"))
+    edge = (edge.withColumn("_nth", nth)
+            .join(bounded_broadcast(per, per.count()),
+                  F.col("of_source").eqNullSafe(F.col("_source")) & (F.col("_part") == F.col("_p")))
+            .withColumn("copies", F.col("copies") + (F.col("_before") + F.col("_nth") <= F.col("take_rows")).cast("long")))
+    return out.filter(~at_edge).unionByName(edge.select(*out.columns))
+
+
 def mix_plan(rows: DataFrame, weights=WEIGHTS, max_epochs: int = MAX_EPOCHS, share: float = 1.0) -> DataFrame:
     """``rows`` (source, h, size, ...) plus source_size, target and copies (times the row is taken)."""
     side, n = _decisions(rows, weights, max_epochs, share)
     out = rows.join(bounded_broadcast(side, n), F.col("source").eqNullSafe(F.col("of_source")))
-    return out.select(*rows.columns, "source_size", "target", _copies().alias("copies"))
+    return _with_copies(out, side).select(*rows.columns, "source_size", "target", "copies")
 
 
 def sized(docs: DataFrame) -> DataFrame:
@@ -158,7 +188,7 @@ def mix(docs: DataFrame, weights=WEIGHTS, max_epochs: int = MAX_EPOCHS, share: f
     key = {c: F.col(f"c{cols.index(c)}") for c in ("doc_id", "source", "text")}
     left = inner.withColumn("h", ordered_hash(key["doc_id"], key["text"]))
     joined = left.join(bounded_broadcast(side, n), key["source"].eqNullSafe(F.col("of_source")))
-    taken = joined.withColumn("copies", _copies()).filter("copies > 0")
+    taken = _with_copies(joined, side).filter("copies > 0")
     again = taken.withColumn("again", F.explode(F.sequence(F.lit(1), F.col("copies").cast("int"))))
     return again.select(*inner.columns).toDF(*cols)
 

@@ -84,6 +84,25 @@ def test_mix_keeps_columns_and_empty(spark, make_docs):
     assert M.mix(make_docs([(1, None), (2, " ")])).count() == 0
 
 
+def test_equal_rows_at_the_boundary_are_taken_singly(spark, make_docs, sf):
+    """A third of each source is one row many times over: the taken words still come within half a text of the target."""
+    from riskloom.llm.queries import QUERIES
+    rows = [(i, " ".join(["w"] * (1 + i % 9)), "en", ["a", "b", None][i % 3]) for i in range(600)]
+    for k, s in enumerate(["a", "b", None]):
+        rows += [(None if k else 7000, "w w w w", "en", s)] * 1500
+    docs = make_docs(rows, 5)
+    size = {s: sum(len(words(t)) for _, t, _, x in rows if x == s) for s in ("a", "b", None)}
+    want = targets(size)
+    out = M.mix(docs).collect()
+    plan = QUERIES["op9_mixing"](spark, sf(documents=docs)).collect()
+    assert len(plan) == len(rows)
+    assert sum(r["taken"] for r in plan) == sum(len(words(r["text"])) for r in out)
+    for s in size:
+        assert abs(sum(len(words(r["text"])) for r in out if r["source"] == s) - want[s]) <= 4.5
+    have = Counter((r["doc_id"], r["text"], r["source"]) for r in out)
+    assert all(have[i, t, s] <= 3 * n for (i, t, s), n in Counter((i, t, s) for i, t, _, s in rows).items())
+
+
 def measure(text):
     t = text or ""
     w = words(t)
