@@ -151,8 +151,13 @@ def phrase_rows(docs: DataFrame, length: int) -> DataFrame:
 
 
 def repeated(rows: DataFrame, *, named: DataFrame | None = None) -> DataFrame:
-    """The rows whose ``name`` occurs twice or more. Counting collapses map-side; rows are joined, not grouped."""
-    twice = ((rows if named is None else named).groupBy("name").agg(F.count(F.lit(1)).alias("c")).filter("c > 1")
+    """The rows whose ``name`` occurs twice or more, a row with ``copies`` counted as often.
+
+    Counting collapses map-side; rows are joined, not grouped.
+    """
+    counted = rows if named is None else named
+    times = F.sum("copies") if "copies" in counted.columns else F.count(F.lit(1))
+    twice = (counted.groupBy("name").agg(times.alias("c")).filter("c > 1")
              .select(F.col("name").alias("again")))
     return rows.join(twice, F.col("name") == F.col("again")).drop("again")
 
@@ -165,20 +170,23 @@ def _per_doc(col: pa.Array) -> tuple[np.ndarray, list[np.ndarray]]:
 
 
 def double(level: DataFrame, step: int, length: int) -> DataFrame:
-    """Rank pairs at offset ``step`` phrases: rows of i and i + step, as long as no string of ``length`` is past them."""
+    """Rank pairs at offset ``step`` phrases: rows of i and i + step, as long as no string of ``length`` is past them.
+
+    Identical rows share a rid and every phrase of one is a phrase of all: a
+    set holds each once, collapsed map-side, and ``copies`` is their number.
+    """
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        names = ["name", "rid", "i", "pos", "p2", "q", "end"]
+        names = ["name", "rid", "i", "pos", "p2", "q", "end", "copies"]
         for b in batches:
             off, (i, pos, p2, q, end, name) = _per_doc(b.column(1))
             rid = np.repeat(b.column(0).to_numpy(zero_copy_only=False), np.diff(off))
             doc = np.repeat(np.arange(b.num_rows), np.diff(off))
+            copies = b.column(2).to_numpy(zero_copy_only=False)
             key = doc.astype(np.int64) << 32 | i
             order = np.argsort(key, kind="stable")
-            key, i, pos, p2, q, end, name, rid = (x[order] for x in (key, i, pos, p2, q, end, name, rid))
+            key, i, pos, p2, q, end, name, rid, doc = (x[order] for x in (key, i, pos, p2, q, end, name, rid, doc))
             keep = np.concatenate([[True], key[1:] != key[:-1]]) if len(key) else np.zeros(0, bool)
-            # identical rows share a rid: each of their phrases is named as often as it occurs
-            times = np.diff(np.concatenate([np.flatnonzero(keep), [len(key)]]))
-            key, i, pos, p2, q, end, name, rid = (x[keep] for x in (key, i, pos, p2, q, end, name, rid))
+            key, i, pos, p2, q, end, name, rid, doc = (x[keep] for x in (key, i, pos, p2, q, end, name, rid, doc))
             at = np.searchsorted(key, key + step)
             ok = at < len(key)
             ok[ok] = key[at[ok]] == key[ok] + step
@@ -187,10 +195,12 @@ def double(level: DataFrame, step: int, length: int) -> DataFrame:
             near = q[z].astype(np.int64) - p2[a] < length
             a, z = a[near], z[near]
             pair = _mix(_mix(name[a].view(np.uint64)) + name[z].view(np.uint64)).view(np.int64)
-            cols = [np.repeat(x, times[a]) for x in (pair, rid[a], i[a], pos[a], p2[a], q[z], end[z])]
+            cols = (pair, rid[a], i[a], pos[a], p2[a], q[z], end[z], copies[doc[a]])
             yield pa.RecordBatch.from_arrays([pa.array(x) for x in cols], names)
-    docs = level.groupBy("rid").agg(F.collect_list(F.struct("i", "pos", "p2", "q", "end", "name")).alias("m"))
-    return docs.mapInArrow(run, "name bigint, rid bigint, i int, pos int, p2 int, q int, end int")
+    times = F.sum("copies") if "copies" in level.columns else F.count(F.lit(1))
+    docs = (level.groupBy("rid").agg(F.collect_set(F.struct("i", "pos", "p2", "q", "end", "name")).alias("m"), times.alias("n"))
+            .select("rid", "m", F.expr("n div size(m)").alias("copies")))
+    return docs.mapInArrow(run, "name bigint, rid bigint, i int, pos int, p2 int, q int, end int, copies bigint")
 
 
 def packed(t, i):

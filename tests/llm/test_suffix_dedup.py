@@ -58,6 +58,18 @@ def test_brute_force(spark, make_docs, sf, seed):
     assert digest(out) == brute(rows, 400)
 
 
+def test_equal_rows_are_doubled_once(spark, make_docs):
+    """Rows equal in id and text are one group of phrases with a number of copies, however many there are."""
+    rnd = random.Random(8)
+    long, other = ("".join(rnd.choice("abcdefghij") for _ in range(2000)) for _ in range(2))
+    rows = [(1, long)] * 30 + [(None, other)] * 20 + [(2, other[300:1500]), (3, "".join(rnd.choice("klmn") for _ in range(900)))]
+    level = S.repeated(S.phrase_rows(make_docs(rows), 400)).cache()
+    got = S.repeated(S.double(level, 1, 400)).collect()
+    assert len({(r["rid"], r["i"]) for r in got}) == len(got) > 0
+    assert {r["copies"] for r in got} == {30, 20, 1}
+    assert digest(S.dedup(make_docs(rows))) == brute(rows, 400)
+
+
 def test_other_length(spark, make_docs):
     rows = text_rows(3, 40)
     assert digest(S.dedup(make_docs(rows), 256)) == brute(rows, 256)
