@@ -74,5 +74,19 @@ FROM documents AS d LEFT JOIN n USING (doc_id) JOIN (SELECT u, min(v) AS compone
 """
 
 
+#: op11: line keys, their documents, lines of repeated keys outside the first document
+LINES = r"""
+WITH l AS (SELECT doc_id, i, string_split(coalesce(text, ''), chr(10))[i] AS line
+           FROM documents, unnest(range(1, len(string_split(coalesce(text, ''), chr(10))) + 1)) AS t(i)),
+k AS (SELECT *, translate(regexp_replace(line, '^[\x20\x09-\x0D]+|[\x20\x09-\x0D]+$', '', 'g'),
+                          'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS key FROM l),
+r AS (SELECT key, min(doc_id) AS first_doc FROM k WHERE length(key) >= 10 GROUP BY key HAVING count(DISTINCT doc_id) > 1),
+j AS (SELECT doc_id, i, line, first_doc IS NOT NULL AND first_doc <> doc_id AS lost FROM k LEFT JOIN r USING (key))
+SELECT doc_id, count(*) AS n_lines, count(*) FILTER (WHERE lost) AS n_dropped,
+       sha256(coalesce(string_agg(line, chr(10) ORDER BY i) FILTER (WHERE NOT lost), '')) AS kept_sha256
+FROM j GROUP BY doc_id
+"""
+
+
 def queries() -> dict[str, str]:
-    return {"op3_decontaminate": DECONTAMINATE, "op7_quality_hosts": QUALITY, "op8_jaccard_join": JACCARD}
+    return {"op11_line_dedup": LINES, "op3_decontaminate": DECONTAMINATE, "op7_quality_hosts": QUALITY, "op8_jaccard_join": JACCARD}

@@ -5,6 +5,7 @@ from __future__ import annotations
 from riskloom.llm.decontaminate import op3_decontaminate
 from riskloom.llm.jaccard_join import op8_jaccard_join
 from riskloom.llm.langid import op4_langid
+from riskloom.llm.line_dedup import op11_line_dedup
 from riskloom.llm.license_scan import op6_license_scan
 from riskloom.llm.mixing import op9_mixing
 from riskloom.llm.packing import op10_packing
@@ -15,7 +16,8 @@ from riskloom.llm.toxicity import op1_toxicity
 
 QUERIES = {f.__name__: f for f in (
     op1_toxicity, op2_token_counts, op3_decontaminate, op4_langid, op5_suffix_dedup, op6_license_scan,
-    op7_quality_hosts, op8_jaccard_join, op9_mixing, op10_packing)}
+    op7_quality_hosts, op8_jaccard_join, op9_mixing, op10_packing,
+    op11_line_dedup)}
 
 
 def pipeline(spark, sf_dir):
