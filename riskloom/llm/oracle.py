@@ -88,5 +88,24 @@ FROM j GROUP BY doc_id
 """
 
 
+#: op12: every anchor against every row, ranked
+NEGATIVES = r"""
+WITH e AS (SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+                  list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS v
+           FROM embeddings WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+             AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS (SELECT a.vec_id AS anchor_id, a.label AS own, b.vec_id, b.label,
+             CAST(list_inner_product(a.v, b.v) AS BIGINT) AS score
+      FROM e AS a, e AS b WHERE a.vec_id % 50 = 0 AND a.vec_id <> b.vec_id),
+p AS (SELECT anchor_id, own, vec_id AS positive_id, score AS positive_score FROM s WHERE label = own
+      QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= 5),
+n AS (SELECT p.anchor_id, positive_id, vec_id AS negative_id, positive_score, score AS negative_score,
+             row_number() OVER (PARTITION BY p.anchor_id, positive_id ORDER BY score DESC, vec_id) AS rank
+      FROM p JOIN s ON s.anchor_id = p.anchor_id AND s.label <> p.own
+       AND 50 * positive_score <= 100 * score AND 100 * score <= 95 * positive_score)
+SELECT anchor_id, positive_id, CAST(rank AS INTEGER) AS rank, negative_id, positive_score, negative_score FROM n WHERE rank <= 3
+"""
+
+
 def queries() -> dict[str, str]:
-    return {"op11_line_dedup": LINES, "op3_decontaminate": DECONTAMINATE, "op7_quality_hosts": QUALITY, "op8_jaccard_join": JACCARD}
+    return {"op12_hard_negatives": NEGATIVES, "op11_line_dedup": LINES, "op3_decontaminate": DECONTAMINATE, "op7_quality_hosts": QUALITY, "op8_jaccard_join": JACCARD}

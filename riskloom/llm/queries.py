@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from riskloom.llm.decontaminate import op3_decontaminate
+from riskloom.llm.hard_negatives import op12_hard_negatives
 from riskloom.llm.jaccard_join import op8_jaccard_join
 from riskloom.llm.langid import op4_langid
 from riskloom.llm.line_dedup import op11_line_dedup
@@ -17,7 +18,7 @@ from riskloom.llm.toxicity import op1_toxicity
 QUERIES = {f.__name__: f for f in (
     op1_toxicity, op2_token_counts, op3_decontaminate, op4_langid, op5_suffix_dedup, op6_license_scan,
     op7_quality_hosts, op8_jaccard_join, op9_mixing, op10_packing,
-    op11_line_dedup)}
+    op11_line_dedup, op12_hard_negatives)}
 
 
 def pipeline(spark, sf_dir):
