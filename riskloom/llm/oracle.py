@@ -107,5 +107,31 @@ SELECT anchor_id, positive_id, CAST(rank AS INTEGER) AS rank, negative_id, posit
 """
 
 
+#: op13: all n-grams counted by text, every cut scored in whole numbers, covered phrases dropped, ranked
+COLLOCATIONS = r"""
+WITH pieces AS (SELECT coalesce(lang, 'und') AS lang, unnest(string_split_regex(
+                  translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                  '[.,;:!?\x0A-\x0D]')) AS piece FROM documents),
+w AS (SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS w FROM pieces),
+g AS (SELECT lang, n, array_to_string(list_slice(w, i, i + n - 1), ' ') AS phrase
+      FROM w, unnest(range(1, 5)) AS a(n), unnest(range(1, len(w) - n + 2)) AS b(i)),
+f AS (SELECT lang, n, phrase, count(*) AS f FROM g GROUP BY ALL HAVING count(*) >= 30),
+tot AS (SELECT lang, sum(len(w))::BIGINT AS n FROM w GROUP BY lang),
+c AS (SELECT lang, phrase, f AS a, n AS size, string_split(phrase, ' ') AS w FROM f WHERE n > 1),
+k AS (SELECT lang, phrase, a, k, array_to_string(list_slice(w, 1, k), ' ') AS lp,
+             array_to_string(list_slice(w, k + 1, size), ' ') AS rp FROM c, unnest(range(1, size)) AS t(k)),
+s AS (SELECT k.lang, k.phrase, k.a, k.k, x.f AS l, y.f AS r,
+             CAST((2000000::HUGEINT * k.a) // (x.f::HUGEINT + y.f::HUGEINT) AS BIGINT) AS score
+      FROM k JOIN f AS x ON x.lang = k.lang AND x.phrase = k.lp JOIN f AS y ON y.lang = k.lang AND y.phrase = k.rp),
+best AS (SELECT * FROM s QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1),
+inside AS (SELECT DISTINCT c.lang, array_to_string(list_slice(c.w, i, i + m - 1), ' ') AS phrase, c.a
+           FROM c, unnest(range(2, size)) AS t(m), unnest(range(1, size - m + 2)) AS u(i)),
+kept AS (SELECT * FROM best WHERE NOT EXISTS (SELECT 1 FROM inside AS i WHERE i.lang = best.lang
+           AND i.phrase = best.phrase AND 100::HUGEINT * i.a >= 80::HUGEINT * best.a)),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, encode(phrase)) AS rank FROM kept)
+SELECT lang, rank, phrase, a, l, r, tot.n, score FROM ranked JOIN tot USING (lang) WHERE rank <= 2000
+"""
+
+
 def queries() -> dict[str, str]:
-    return {"op12_hard_negatives": NEGATIVES, "op11_line_dedup": LINES, "op3_decontaminate": DECONTAMINATE, "op7_quality_hosts": QUALITY, "op8_jaccard_join": JACCARD}
+    return {"op13_collocations": COLLOCATIONS, "op12_hard_negatives": NEGATIVES, "op11_line_dedup": LINES, "op3_decontaminate": DECONTAMINATE, "op7_quality_hosts": QUALITY, "op8_jaccard_join": JACCARD}

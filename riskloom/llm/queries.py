@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from riskloom.llm.collocations import op13_collocations
 from riskloom.llm.decontaminate import op3_decontaminate
 from riskloom.llm.hard_negatives import op12_hard_negatives
 from riskloom.llm.jaccard_join import op8_jaccard_join
@@ -18,7 +19,7 @@ from riskloom.llm.toxicity import op1_toxicity
 QUERIES = {f.__name__: f for f in (
     op1_toxicity, op2_token_counts, op3_decontaminate, op4_langid, op5_suffix_dedup, op6_license_scan,
     op7_quality_hosts, op8_jaccard_join, op9_mixing, op10_packing,
-    op11_line_dedup, op12_hard_negatives)}
+    op11_line_dedup, op12_hard_negatives, op13_collocations)}
 
 
 def pipeline(spark, sf_dir):
