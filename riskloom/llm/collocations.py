@@ -48,10 +48,10 @@ LENGTHS = 4
 MIN_COUNT = 30
 TOP = 2000
 COVERED_PERCENT = 80
-BLOCK = 2 << 20
+BLOCK = 1 << 19
 MIN_BUCKETS, MAX_BUCKETS = 1 << 16, 1 << 24
 SEGMENT = 1 << 16
-COMPACT_ROWS = 1 << 20
+COMPACT_ROWS = 1 << 19
 WORD_BYTES = re.compile(rb"[^\x20\x09.,;:!?\x0A-\x0D]+")
 _BREAK = re.compile(rb"[\x20\x09.,;:!?\x0A-\x0D]")
 #: 0 word byte, 1 space between words, 2 end of a piece
@@ -81,7 +81,7 @@ class Polynomial:
 
     def _grow(self, n: int) -> None:
         if len(self.pow) < n + 1:
-            n = max(n + 1, 2 * len(self.pow))
+            n = max(n + 1, len(self.pow) * 9 // 8)
             ones = np.ones(1, np.uint64)
             self.pow = np.concatenate([ones, np.cumprod(np.full(n, self.base, np.uint64))])
             self.back = np.concatenate([ones, np.cumprod(np.full(n, self.inverse, np.uint64))])
