@@ -52,6 +52,8 @@ BLOCK = 1 << 19
 MIN_BUCKETS, MAX_BUCKETS = 1 << 16, 1 << 24
 SEGMENT = 1 << 16
 COMPACT_ROWS = 1 << 19
+#: text of one task: what a task adds up leaves it as one row a phrase, so small input splits are read together
+TASK_BYTES = 128 << 20
 WORD_BYTES = re.compile(rb"[^\x20\x09.,;:!?\x0A-\x0D]+")
 _BREAK = re.compile(rb"[\x20\x09.,;:!?\x0A-\x0D]")
 #: 0 word byte, 1 space between words, 2 end of a piece
@@ -313,11 +315,8 @@ def counted(rows: DataFrame, maps, buckets: int, min_count: int, bits: int) -> D
                                            t[block.text[at]], block.offset[at] * 8 + n]]))
                     size += len(held[-1][0])
             if size > COMPACT_ROWS:
-                held = [_compact(held)]
-                size = len(held[0][0])
-                if size > COMPACT_ROWS // 2:
-                    yield from out(held[0])
-                    held, size = [], 0
+                yield from out(_compact(held))
+                held, size = [], 0
         if held:
             yield from out(_compact(held))
     got = rows.mapInArrow(count, ", ".join(f"{c} bigint" for c in names))
@@ -406,6 +405,7 @@ def frequent_phrases(docs: DataFrame, id_col: str = "doc_id", text: str = "text"
     size = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     # about a bucket for every eight words
     buckets = min(MAX_BUCKETS, max(MIN_BUCKETS, 1 << math.ceil(math.log2(max(1, size / 48)))))
+    rows = rows.coalesce(max(docs.sparkSession.sparkContext.defaultParallelism, math.ceil(size / TASK_BYTES)))
     maps, totals = can_be_frequent(rows, buckets, min_count, bits)
     maps = docs.sparkSession.sparkContext.broadcast(maps)
     found = cut(counted(rows, maps, buckets, min_count, bits), "fingerprints")
