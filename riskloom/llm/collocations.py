@@ -34,11 +34,12 @@ import math
 import re
 from collections import Counter
 from collections.abc import Iterator
+from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
 import zstandard
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from riskloom.llm.common import LOWER_TABLE, cut, discard, read_table
@@ -54,6 +55,7 @@ SEGMENT = 1 << 16
 COMPACT_ROWS = 1 << 19
 #: text of one task: what a task adds up leaves it as one row a phrase, so small input splits are read together
 TASK_BYTES = 128 << 20
+BATCH_BYTES = 8 << 20
 WORD_BYTES = re.compile(rb"[^\x20\x09.,;:!?\x0A-\x0D]+")
 _BREAK = re.compile(rb"[\x20\x09.,;:!?\x0A-\x0D]")
 #: 0 word byte, 1 space between words, 2 end of a piece
@@ -215,6 +217,18 @@ def _texts(docs: DataFrame, id_col: str, text: str, lang: str) -> DataFrame:
                        F.col(f"`{text}`").cast("string").cast("binary").alias("text"))
 
 
+@contextmanager
+def batches_of(spark: SparkSession, size: int) -> Iterator[None]:
+    """While it lasts, Arrow batches end at ``size`` bytes, so that a task's memory does not follow the length of texts."""
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    before = spark.conf.get(key)
+    spark.conf.set(key, str(size))
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
+
+
 def _per_block(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[Block, pa.RecordBatch]]:
     for b in batches:
         langs = b.column("lang").to_pylist()
@@ -401,20 +415,23 @@ def counted_by_text(rows: DataFrame, doubtful: DataFrame, min_count: int, bits:
 def frequent_phrases(docs: DataFrame, id_col: str = "doc_id", text: str = "text", lang: str = "lang",
                      min_count: int = MIN_COUNT, bits: int = 64) -> tuple[DataFrame, DataFrame]:
     """((lang, n, phrase, f) of all phrases of 1 to 4 words, (lang, n) of all word occurrences)."""
+    spark = docs.sparkSession
     rows = _texts(docs, id_col, text, lang)
     size = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     # about a bucket for every eight words
     buckets = min(MAX_BUCKETS, max(MIN_BUCKETS, 1 << math.ceil(math.log2(max(1, size / 48)))))
-    rows = rows.coalesce(max(docs.sparkSession.sparkContext.defaultParallelism, math.ceil(size / TASK_BYTES)))
-    maps, totals = can_be_frequent(rows, buckets, min_count, bits)
-    maps = docs.sparkSession.sparkContext.broadcast(maps)
-    found = cut(counted(rows, maps, buckets, min_count, bits), "fingerprints")
-    read = cut(phrases_at(rows, found.filter("low = high"), bits), "phrases")
-    phrases = found.join(read, "h").select("lang", "n", "phrase", "f")
-    doubtful = found.join(read, "h", "left_anti")
-    if not doubtful.isEmpty():
-        phrases = phrases.unionByName(counted_by_text(rows, doubtful, min_count, bits))
-    out = cut(phrases, "frequent-phrases")
+    rows = rows.coalesce(max(spark.sparkContext.defaultParallelism, math.ceil(size / TASK_BYTES)))
+    with batches_of(spark, BATCH_BYTES):
+        maps, totals = can_be_frequent(rows, buckets, min_count, bits)
+        maps = spark.sparkContext.broadcast(maps)
+        found = cut(counted(rows, maps, buckets, min_count, bits), "fingerprints")
+        read = cut(phrases_at(rows, found.filter("low = high"), bits), "phrases")
+        phrases = found.join(read, "h").select("lang", "n", "phrase", "f")
+        doubtful = found.join(read, "h", "left_anti")
+        if not doubtful.isEmpty():
+            phrases = phrases.unionByName(counted_by_text(rows, doubtful, min_count, bits))
+        out = cut(phrases, "frequent-phrases")
+    maps.destroy()
     discard(found, read)
     return out, totals
 
