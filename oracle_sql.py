@@ -22,17 +22,18 @@ INDICATORS = ("npl_ratio_pct", "credit_private_sector_gdp_pct", "bank_capital_as
 def _month_lines() -> str:
     out = []
     for i, m in enumerate(MONTHS, start=1):
+        on = f"(l_linenumber - 1) % 6 + 1 = {i}"
         out.append(f"""
-         MAX(CASE WHEN l_linenumber = {i} THEN
+         MAX(CASE WHEN {on} THEN
                CASE WHEN l_quantity <= 20 THEN -2 WHEN l_quantity <= 34 THEN -1
                     WHEN l_quantity <= 44 THEN 0  WHEN l_quantity <= 46 THEN 1
                     WHEN l_quantity <= 48 THEN 2  WHEN l_quantity <= 49 THEN 3
-                    ELSE 4 END END) AS pay_status_{m},
-         COALESCE(MAX(CASE WHEN l_linenumber = {i} THEN
+                    ELSE CAST(4 + l_partkey % 6 AS INTEGER) END END) AS pay_status_{m},
+         COALESCE(MAX(CASE WHEN {on} THEN
                CAST(FLOOR(l_extendedprice) AS BIGINT)
                * CASE WHEN l_tax = 0 THEN -1 ELSE 1 END END), 0) AS bill_amt_{m},
-         COALESCE(MAX(CASE WHEN l_linenumber = {i} THEN
-               CAST(FLOOR(l_extendedprice / 10) AS BIGINT) END), 0) AS pay_amt_{m}""")
+         MAX(CASE WHEN {on} THEN
+               CAST(FLOOR(l_extendedprice / 10) AS BIGINT) END) AS pay_amt_{m}""")
     return ",".join(out)
 
 
@@ -87,9 +88,11 @@ cte("raw_credit", ("loan_lines",), f"""
          CAST(substr(o_orderpriority, 1, 1) AS INT) AS education_level,
          CASE o_orderstatus WHEN 'F' THEN 1 WHEN 'O' THEN 2 ELSE 3 END AS marital_status,
          15 + o_custkey % 90 AS age,
-         {PANEL},
+         {_cols('pay_status_')},
+         {", ".join(f"COALESCE(bill_amt_{m}, 0) AS bill_amt_{m}" for m in RAW_ORDER)},
+         {_cols('pay_amt_')},
          CASE WHEN a.r >= 3 THEN 1 ELSE 0 END AS is_default
-  FROM orders JOIN loan_lines a ON a.l_orderkey = o_orderkey""")
+  FROM orders LEFT JOIN loan_lines a ON a.l_orderkey = o_orderkey""")
 
 cte("macro_panel", (), """
   SELECT n_name AS country_code, CAST(year(o_orderdate) + 4 AS INT) AS year,

@@ -36,7 +36,14 @@ def _sources() -> dict[str, str]:
                   + ", ".join(f"s{i}.{ind}" for i, ind in enumerate(INDICATORS)) + f"\n  FROM {chain}")
     return {
         "raw_credit_rename": with_ctes("SELECT * FROM raw_credit", "raw_credit"),
-        "raw_credit_concat": with_ctes("SELECT * FROM raw_credit", "raw_credit"),
+        "raw_credit_concat": with_ctes(
+            f"SELECT {CREDIT_COLS.replace(', is_default', '')}, t.is_default "
+            "FROM (SELECT * EXCLUDE (is_default) FROM raw_credit) f FULL OUTER JOIN "
+            "(SELECT l_orderkey AS id, CASE WHEN SUM(CASE WHEN l_returnflag = 'R' THEN 1 ELSE 0 END) >= 3 "
+            "THEN 1 ELSE 0 END AS is_default FROM lineitem GROUP BY l_orderkey) t USING (id)", "raw_credit"),
+        "raw_credit_glued": with_ctes(
+            "SELECT ROW_NUMBER() OVER (ORDER BY id) AS id, " + CREDIT_COLS.replace("id, ", "", 1) + " FROM raw_credit",
+            "raw_credit"),
         "raw_marketing_rename": with_ctes("SELECT * FROM raw_marketing", "raw_marketing"),
         "surrogate_id": with_ctes(
             "SELECT ROW_NUMBER() OVER (ORDER BY id) AS id, id AS source_id, "
@@ -267,8 +274,35 @@ def _quality() -> dict[str, str]:
     }
 
 
+#: columns that the derivations of the loan, macro and marketing inputs read
+SOURCE_COLUMNS = {
+    "orders": ("o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate", "o_orderpriority"),
+    "lineitem": ("l_orderkey", "l_partkey", "l_linenumber", "l_quantity", "l_extendedprice", "l_tax", "l_returnflag"),
+    "customer": ("c_custkey", "c_nationkey", "c_acctbal", "c_mktsegment"),
+    "nation": ("n_nationkey", "n_name"),
+}
+#: the footers are read by path: the folder that the correctness run reads
+FOOTER_DIR = "/root/testdata/sf0.01"
+
+
+def schema_sql(folder: str = FOOTER_DIR) -> str:
+    paths = ", ".join(f"'{folder}/{t}.parquet'" for t in SOURCE_COLUMNS)
+    needed = " UNION ALL ".join(f"SELECT '{t}' AS table_name, '{c}' AS column_name" for t, cols in SOURCE_COLUMNS.items() for c in cols)
+    return f"""
+  WITH found AS (SELECT regexp_extract(file_name, '([a-z]+)[.]parquet$', 1) AS table_name,
+                        regexp_extract(file_name, '[^/]+$') AS file_name, name AS column_name, type AS physical_type
+                 FROM parquet_schema([{paths}]) WHERE type IS NOT NULL),
+  needed AS ({needed}),
+  files AS (SELECT DISTINCT table_name, file_name FROM found)
+  SELECT COALESCE(f.table_name, n.table_name) AS table_name, COALESCE(f.file_name, n.file_name) AS file_name,
+         COALESCE(f.column_name, n.column_name) AS column_name, physical_type,
+         n.column_name IS NOT NULL AS required, f.column_name IS NOT NULL AS present
+  FROM found f FULL OUTER JOIN (SELECT * FROM needed JOIN files USING (table_name)) n
+    ON f.table_name = n.table_name AND f.file_name = n.file_name AND f.column_name = n.column_name"""
+
+
 def more_queries() -> dict[str, str]:
-    q = {}
+    q = {"dq_schema": schema_sql()}
     q.update(_sources())
     q.update(_functions())
     q.update(_serving())

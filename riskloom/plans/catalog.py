@@ -6,6 +6,8 @@ the lazy model graph in ``Layers``; nothing is precomputed or sampled.
 
 from __future__ import annotations
 
+import os
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -14,6 +16,8 @@ from pyspark.sql import functions as F
 from riskloom.functions import rules as R
 from riskloom.operators import marts, quality, reshape, serving
 from riskloom.plans.layers import Layers
+from riskloom.session import checkpoint_dir
+from riskloom.sources import footers, landed
 from riskloom.sources import testtables as tt
 from riskloom.sources.schemas import RAW_CREDIT_COLUMNS, RAW_MARKETING_COLUMNS
 
@@ -96,15 +100,23 @@ def raw_credit_rename(spark, sf_dir):
 
 
 def raw_credit_concat(spark, sf_dir):
-    """Features and target held apart, put together again by a join on the id."""
-    # both sides come from one written base, not two evaluations of the derivation
-    positional = tt.credit_positional(Layers(spark, sf_dir, cut=("raw_credit",)).raw_credit)
-    features = positional.drop("Y")
-    target = positional.select("id", "Y")
-    joined = features.join(target, "id")
+    """Features (from orders) and target (from line items) held apart, put together by the id.
+
+    Orders without line items have no target and stay, with NULL.
+    """
+    lay = Layers(spark, sf_dir)
+    features = tt.credit_positional(lay.raw_credit).drop("Y")
+    joined = landed.join_by_id(features, tt.credit_targets(lay.table("lineitem")))
     return reshape.rename_credit_positional(joined).select(*RAW_CREDIT_COLUMNS)
 
 
+def raw_credit_glued(spark, sf_dir):
+    """Features and target landed as two folders without ids, glued row by row; ids 1..n in row order."""
+    raw = Layers(spark, sf_dir, cut=("raw_credit",)).raw_credit
+    folder = os.path.join(checkpoint_dir(spark), "riskloom-tables", f"landed-{uuid.uuid4().hex}")
+    return landed.read_raw_credit_glued(spark, *tt.land_apart(raw, folder, spark.sparkContext.defaultParallelism))
+
+
 def raw_marketing_rename(spark, sf_dir):
     """Source-style names normalised and renamed; the row key becomes the id."""
     source = tt.marketing_source_named(Layers(spark, sf_dir).raw_marketing)
@@ -248,16 +260,31 @@ def dq_not_all_null(spark, sf_dir):
     return quality.macro_presence(Layers(spark, sf_dir).raw_macro)
 
 
+#: columns that the loan, macro and marketing derivations read
+SOURCE_COLUMNS = {
+    "orders": ("o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate", "o_orderpriority"),
+    "lineitem": ("l_orderkey", "l_partkey", "l_linenumber", "l_quantity", "l_extendedprice", "l_tax", "l_returnflag"),
+    "customer": ("c_custkey", "c_nationkey", "c_acctbal", "c_mktsegment"),
+    "nation": ("n_nationkey", "n_name"),
+}
+
+
+def dq_schema(spark, sf_dir):
+    """Columns of every file of the source tables by their footers, and whether the derivations need them."""
+    lay = Layers(spark, sf_dir)
+    return footers.schema_results(spark, {t: lay.table(t) for t in SOURCE_COLUMNS}, SOURCE_COLUMNS)
+
+
 def queries() -> dict[str, Query]:
     q: dict[str, Query] = {k: _layer(k) for k in LAYER_KEYS}
     q["vintage_unpivot"] = lambda spark, d: marts.vintage_unpivot(Layers(spark, d).stg_credit_default)
     for name, (fn, inputs) in SERVING.items():
         q[name] = _serving(fn, inputs)
-    for fn in (raw_credit_rename, raw_credit_concat, raw_marketing_rename, surrogate_id,
+    for fn in (raw_credit_rename, raw_credit_concat, raw_credit_glued, raw_marketing_rename, surrogate_id,
                macro_full_outer, raw_indicator_unpivot,
                fn_worst_delay, fn_dpd_bucket, fn_risk_grade, fn_ifrs9_stage, fn_age_band, fn_size_bucket,
                fn_status_flags, fn_decode, fn_yes_no, fn_round, fn_safe_ratio,
-               dq_row_counts, dq_countries, dq_not_all_null):
+               dq_row_counts, dq_countries, dq_not_all_null, dq_schema):
         q[fn.__name__] = fn
     q["dq_not_null"] = _dq(("not_null",))
     q["dq_unique"] = _dq(("unique",))

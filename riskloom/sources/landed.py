@@ -20,6 +20,7 @@ from pyspark.sql.types import (DataType, DoubleType, IntegerType, IntegralType,
                                StructType)
 
 from riskloom.operators import reshape
+from riskloom.sources import positions
 from riskloom.sources.schemas import (CREDIT_POSITIONAL_NAMES, INDICATORS, MARKETING_RENAMES,
                                       RAW_CREDIT_COLUMNS, RAW_CREDIT_SCHEMA, RAW_MARKETING_COLUMNS,
                                       RAW_MARKETING_SCHEMA)
@@ -99,9 +100,12 @@ def read_raw_credit(spark: SparkSession, path: str, fmt: str = "parquet",
                     positional: bool = False, order_by: Sequence[str] | None = None, sep: str = ",") -> DataFrame:
     """Credit records; ``positional`` files carry X1..X23, Y and are renamed. Every column must be in the file.
 
-    A file without an ``id`` column gets dense ids 1..n in ``order_by`` order
-    (a stable key of the landed rows; file row position is not one).
+    A file without an ``id`` column gets dense ids 1..n, in ``order_by`` order
+    where it is given, else in the order of the rows in the files.
     """
+    if not order_by and "id" not in file_columns(spark, path, fmt, ["id"], sep).columns:
+        df, cols = _credit(spark, path, fmt, positional, False, sep)
+        return _numbered(df, [c for _, _, c in cols], fmt).select(*RAW_CREDIT_COLUMNS)
     df, cols = _credit(spark, path, fmt, positional, not order_by, sep)
     df = df.select(*[c for _, _, c in cols])
     if order_by:
@@ -113,6 +117,29 @@ def read_raw_credit(spark: SparkSession, path: str, fmt: str = "parquet",
     return df.select(*RAW_CREDIT_COLUMNS)
 
 
+def _numbered(df: DataFrame, columns: Sequence[Column], fmt: str) -> DataFrame:
+    """The typed ``columns`` with ids 1..n in the order of the rows in the files (see ``positions``)."""
+    placed, _ = positions.positions(df, fmt, "_position")
+    return placed.select((F.col("_position") + 1).alias("id"), *columns)
+
+
+def read_raw_credit_glued(spark: SparkSession, features_path: str, target_path: str,
+                          features_fmt: str = "parquet", target_fmt: str = "parquet", sep: str = ",") -> DataFrame:
+    """Features X1..X23 and target Y landed apart without ids, glued row by row; ids 1..n in row order.
+
+    The sides may be split into other files and row groups; unlike row
+    counts raise ``positions.UnequalRows``.
+    """
+    feats, f_cols = _credit(spark, features_path, features_fmt, True, False, sep,
+                            only=[c for c in RAW_CREDIT_COLUMNS if c not in ("id", "is_default")])
+    target, t_cols = _credit(spark, target_path, target_fmt, True, False, sep, only=("is_default",))
+    back = {v: k for k, v in CREDIT_POSITIONAL_NAMES.items()}
+    both = positions.glue(feats.select(*[back[n] for n, _, _ in f_cols]),
+                          target.select(*[back[n] for n, _, _ in t_cols]), features_fmt, target_fmt, "_position")
+    return both.select((F.col("_position") + 1).alias("id"), *[c for _, _, c in f_cols], *[c for _, _, c in t_cols]) \
+        .select(*RAW_CREDIT_COLUMNS)
+
+
 def repeated_id(df: DataFrame) -> int | None:
     """One id that occurs twice or more, or None; the count collapses map-side."""
     dup = df.filter(F.col("id").isNotNull()).groupBy("id").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").take(1)
@@ -157,15 +184,17 @@ def read_raw_marketing(spark: SparkSession, path: str, fmt: str = "csv",
                        order_by: Sequence[str] | None = None, sep: str = ",") -> DataFrame:
     """Marketing records under source or table names; normalised, renamed, and given an id.
 
-    When the file has no id, dense ids 1..n are assigned in ``order_by`` order.
+    When the file has no id, dense ids 1..n are assigned: in ``order_by`` order where it is given,
+    else in the order of the rows in the files.
     """
     back = {v: k for k, v in MARKETING_RENAMES.items()}
     wanted = [*RAW_MARKETING_COLUMNS, *back.values()]
     df = reshape.rename_marketing(file_columns(spark, path, fmt, wanted, sep))
     has_id = "id" in df.columns
-    if not has_id and not order_by:
-        raise ValueError("marketing file has no id; pass order_by to number its rows")
     schema = StructType([f for f in RAW_MARKETING_SCHEMA.fields if has_id or f.name != "id"])
+    if not has_id and not order_by:
+        columns = [c for _, _, c in _select(df, path, schema, {f.name: f.name for f in schema.fields})]
+        return _numbered(df, columns, fmt).select(*RAW_MARKETING_COLUMNS)
     df = df.select(*[c for _, _, c in _select(df, path, schema, {f.name: f.name for f in schema.fields})])
     if not has_id:
         df = reshape.add_dense_id(df, order_by)

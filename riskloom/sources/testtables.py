@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from riskloom.functions.rules import PANEL_MONTHS
 from riskloom.session import broadcast_if_small, table_path
-from riskloom.sources.schemas import (CREDIT_POSITIONAL_NAMES, INDICATOR_COLUMNS,
+from riskloom.sources.schemas import (BILL_AMT_COLS, CREDIT_POSITIONAL_NAMES, INDICATOR_COLUMNS,
                                       RAW_CREDIT_COLUMNS, RAW_MARKETING_COLUMNS)
 
 # Dimension tables are broadcast only while their estimated size stays under this.
@@ -21,7 +21,8 @@ DIMENSION_MAX_BYTES = 64 << 20
 
 # --- Fixed values of the derivation rules (test-data mapping).
 QUANTITY_STATUS_BOUNDS = ((20, -2), (34, -1), (44, 0), (46, 1), (48, 2), (49, 3))
-QUANTITY_STATUS_ELSE = 4
+QUANTITY_STATUS_ELSE = 4            # plus l_partkey modulo 6: codes 4..9
+QUANTITY_STATUS_SPREAD = 6
 DEFAULT_MIN_RETURNS = 3
 CREDIT_LIMIT_OFFSET = 5000
 LOW_PRICE_BOUND = 75000
@@ -38,15 +39,17 @@ def _quantity_status(q):
     expr = None
     for bound, status in QUANTITY_STATUS_BOUNDS:
         expr = F.when(q <= bound, F.lit(status)) if expr is None else expr.when(q <= bound, F.lit(status))
-    return expr.otherwise(F.lit(QUANTITY_STATUS_ELSE))
+    return expr.otherwise((F.lit(QUANTITY_STATUS_ELSE) + F.col("l_partkey") % QUANTITY_STATUS_SPREAD).cast("int"))
 
 
 def loan_lines(lineitem: DataFrame) -> DataFrame:
     """One row per order: returns count and the six monthly status/bill/payment values.
 
-    Line number i is observation month i (apr..sep). (order, line) is not
-    unique in the test data, hence MAX per month. The aggregate is algebraic,
-    so map-side partial aggregation collapses hot orders before the shuffle.
+    Line number i is observation month 1 + (i - 1) modulo 6 (apr..sep), so
+    every line counts. (order, line) is not unique in the test data, hence
+    MAX per month; a month without a line has no status and no payment
+    (NULL) and a bill of 0. The aggregate is algebraic, so map-side partial
+    aggregation collapses hot orders before the shuffle.
     """
     q = F.col("l_quantity")
     status = _quantity_status(q)
@@ -54,20 +57,20 @@ def loan_lines(lineitem: DataFrame) -> DataFrame:
     pay = F.floor(F.col("l_extendedprice") / 10)
     aggs = [F.sum(F.when(F.col("l_returnflag") == "R", F.lit(1)).otherwise(F.lit(0))).alias("returns")]
     for i, m in enumerate(PANEL_MONTHS, start=1):
-        on = F.col("l_linenumber") == i
+        on = (F.col("l_linenumber") - 1) % len(PANEL_MONTHS) + 1 == i
         aggs += [
             F.max(F.when(on, status)).alias(f"pay_status_{m}"),
             F.coalesce(F.max(F.when(on, bill)), F.lit(0).cast("long")).alias(f"bill_amt_{m}"),
-            F.coalesce(F.max(F.when(on, pay)), F.lit(0).cast("long")).alias(f"pay_amt_{m}"),
+            F.max(F.when(on, pay)).alias(f"pay_amt_{m}"),
         ]
     return lineitem.groupBy("l_orderkey").agg(*aggs)
 
 
 def loans_from_tables(orders: DataFrame, lineitem: DataFrame) -> DataFrame:
-    """Raw credit-default frame: one client per order that has line items."""
+    """Raw credit-default frame: one client per order; an order without line items has no statuses and bills of 0."""
     lines = loan_lines(lineitem)
     o = orders.select("o_orderkey", "o_custkey", "o_totalprice", "o_orderstatus", "o_orderpriority")
-    j = o.join(lines, o.o_orderkey == lines.l_orderkey, "inner")
+    j = o.join(lines, o.o_orderkey == lines.l_orderkey, "left")
     cust = F.col("o_custkey")
     return j.select(
         F.col("o_orderkey").alias("id"),
@@ -77,7 +80,7 @@ def loans_from_tables(orders: DataFrame, lineitem: DataFrame) -> DataFrame:
         F.when(F.col("o_orderstatus") == "F", F.lit(1))
          .when(F.col("o_orderstatus") == "O", F.lit(2)).otherwise(F.lit(3)).alias("marital_status"),
         (F.lit(15) + cust % 90).alias("age"),
-        *[c for c in RAW_CREDIT_COLUMNS[6:-1]],
+        *[F.coalesce(c, F.lit(0)).alias(c) if c in BILL_AMT_COLS else c for c in RAW_CREDIT_COLUMNS[6:-1]],
         F.when(F.col("returns") >= DEFAULT_MIN_RETURNS, F.lit(1)).otherwise(F.lit(0)).alias("is_default"),
     )
 
@@ -88,6 +91,22 @@ def credit_positional(loans: DataFrame) -> DataFrame:
     return loans.select("id", *[F.col(c).alias(back[c]) for c in RAW_CREDIT_COLUMNS[1:]])
 
 
+def credit_targets(lineitem: DataFrame) -> DataFrame:
+    """(id, Y) of the orders that have line items: the target side of the split credit files."""
+    returns = F.sum(F.when(F.col("l_returnflag") == "R", F.lit(1)).otherwise(F.lit(0)))
+    return lineitem.groupBy(F.col("l_orderkey").alias("id")).agg(
+        F.when(returns >= DEFAULT_MIN_RETURNS, F.lit(1)).otherwise(F.lit(0)).alias("Y"))
+
+
+def land_apart(loans: DataFrame, folder: str, files: int) -> tuple[str, str]:
+    """Features and target as two landed folders without ids, rows in id order, split into unlike files."""
+    ordered = credit_positional(loans)
+    features, target = f"{folder}/features", f"{folder}/target"
+    for path, side, n in ((features, ordered.drop("Y"), files), (target, ordered.select("id", "Y"), files + 2)):
+        side.repartitionByRange(n, "id").sortWithinPartitions("id").drop("id").write.parquet(path)
+    return features, target
+
+
 def macro_panel_from_tables(orders: DataFrame, customer: DataFrame, nation: DataFrame) -> DataFrame:
     """Wide macro panel: one row per (nation, year) with five indicator ratios.
 
