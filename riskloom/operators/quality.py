@@ -4,9 +4,15 @@ Semantics follow the usual declarative test conventions: a check reports
 its failing rows; ``not_null`` counts NULL rows, ``unique`` counts key
 values that occur more than once, ``accepted_values`` counts distinct
 values outside the list; NULL is ignored by ``unique`` and
-``accepted_values``. All not-null checks of one table run as one
-aggregate pass; unique checks are a partial-aggregated group-by on the key
-(a hot key collapses map-side before the shuffle).
+``accepted_values``. All not-null and accepted-values checks of a table are
+answered by one scan: a row yields one small record per check it fails
+(nothing, as a rule), and the records of all tables are added up by check and
+value. Unique checks are a partial-aggregated group-by on the key, one scan
+each (a hot key collapses map-side before the shuffle).
+
+``WriteChecks`` answers the same questions without any scan: it observes the
+rows of a table while they are written. Only a table that shows values
+outside a list is read again, to count how many different ones.
 
 The macro tables hold many countries here, so their year key is checked
 at the (country_code, year) grain.
@@ -18,7 +24,7 @@ from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from riskloom.functions import rules as R
@@ -89,59 +95,95 @@ CHECKS: tuple[Check, ...] = tuple(
     + _nn("mart_ecl_estimates", "total_ecl")
 )
 
-RESULT_COLUMNS = ("model", "column_name", "check_name", "failing_rows")
-
+RESULT_SCHEMA = "model string, column_name string, check_name string, failing_rows bigint"
 
-def _result(df: DataFrame, check: Check, failing) -> DataFrame:
-    return df.agg(F.lit(check.model).alias("model"), F.lit(check.column_name).alias("column_name"),
-                  F.lit(check.kind).alias("check_name"), failing.cast("long").alias("failing_rows"))
 
-
-def not_null_results(models: Mapping[str, DataFrame], checks: Sequence[Check]) -> list[DataFrame]:
-    """One aggregate pass per table for all of its not-null checks, unpivoted to rows."""
-    out = []
-    by_model: dict[str, list[Check]] = {}
-    for c in checks:
-        if c.kind == "not_null":
-            by_model.setdefault(c.model, []).append(c)
-    for model, cs in by_model.items():
-        df = models[model]
-        counts = df.agg(*[F.count(F.when(F.col(c.column).isNull(), F.lit(1))).alias(f"_n{i}")
-                          for i, c in enumerate(cs)])
-        pairs = ", ".join(f"'{c.column}', `_n{i}`" for i, c in enumerate(cs))
-        out.append(counts.selectExpr(
-            f"'{model}' AS model", f"stack({len(cs)}, {pairs}) AS (column_name, failing_rows)")
-            .select("model", "column_name", F.lit("not_null").alias("check_name"),
-                    F.col("failing_rows").cast("long").alias("failing_rows")))
-    return out
+def fails(check: Check) -> Column:
+    """True where a row fails a not_null or accepted_values check."""
+    c = F.col(check.column)
+    return c.isNull() if check.kind == "not_null" else c.isNotNull() & ~c.isin(*check.values)
 
 
-def unique_result(df: DataFrame, check: Check) -> DataFrame:
-    keys = [F.col(k) for k in check.columns]
-    present = reduce(lambda a, b: a & b, [k.isNotNull() for k in keys])
-    dup = (df.filter(present).groupBy(*check.columns).agg(F.count(F.lit(1)).alias("_n"))
-           .filter(F.col("_n") > 1))
-    return _result(dup, check, F.count(F.lit(1)))
+def _cell_records(df: DataFrame, checks: Sequence[tuple[int, Check]]) -> DataFrame:
+    """(check, value, n): a record per row and failed cell check, from one scan of the table."""
+    each = [F.struct(F.lit(i).alias("check"),
+                     (F.lit(None).cast("string") if c.kind == "not_null" else F.col(c.column).cast("string")).alias("value"),
+                     fails(c).alias("failed")) for i, c in checks]
+    records = df.select(F.explode(F.filter(F.array(*each), lambda x: x["failed"])).alias("r"))
+    return records.select("r.check", "r.value", F.lit(1).cast("long").alias("n"))
 
 
-def accepted_values_result(df: DataFrame, check: Check) -> DataFrame:
-    c = F.col(check.column)
-    bad = df.filter(c.isNotNull() & ~c.isin(*check.values))
-    return _result(bad, check, F.count_distinct(c))
+def _unique_records(df: DataFrame, i: int, check: Check) -> DataFrame:
+    """(check, value, n): a record per key that occurs more than once."""
+    present = reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in check.columns])
+    dup = df.filter(present).groupBy(*check.columns).agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") > 1)
+    return dup.select(F.lit(i).alias("check"), F.lit(None).cast("string").alias("value"), F.lit(1).cast("long").alias("n"))
 
 
 def run_checks(models: Mapping[str, DataFrame], checks: Sequence[Check] = CHECKS,
                kinds: Sequence[str] = ("not_null", "unique", "accepted_values")) -> DataFrame:
     """All requested checks as one frame (model, column_name, check_name, failing_rows)."""
+    wanted = [c for c in checks if c.kind in kinds]
+    spark = next(iter(models.values())).sparkSession
     parts: list[DataFrame] = []
-    if "not_null" in kinds:
-        parts += not_null_results(models, checks)
-    for c in checks:
-        if c.kind == "unique" and "unique" in kinds:
-            parts.append(unique_result(models[c.model], c))
-        elif c.kind == "accepted_values" and "accepted_values" in kinds:
-            parts.append(accepted_values_result(models[c.model], c))
-    return reduce(DataFrame.unionByName, parts)
+    by_model: dict[str, list[tuple[int, Check]]] = {}
+    for i, c in enumerate(wanted):
+        if c.kind == "unique":
+            parts.append(_unique_records(models[c.model], i, c))
+        else:
+            by_model.setdefault(c.model, []).append((i, c))
+    parts += [_cell_records(models[m], cs) for m, cs in by_model.items()]
+    # a record of no rows for every check, so that clean ones are reported, too
+    parts.append(spark.range(len(wanted)).select(F.col("id").cast("int").alias("check"), F.lit(None).cast("string").alias("value"),
+                                                 F.lit(0).cast("long").alias("n")))
+    by_value = reduce(DataFrame.unionAll, parts).groupBy("check", "value").agg(F.sum("n").alias("n"))
+    sums = by_value.groupBy("check").agg(F.sum("n").alias("n"), F.count("value").alias("values"))
+    name = lambda f: F.element_at(F.array(*[F.lit(f(c)) for c in wanted]), F.col("check") + 1)
+    return sums.select(name(lambda c: c.model).alias("model"), name(lambda c: c.column_name).alias("column_name"),
+                       name(lambda c: c.kind).alias("check_name"),
+                       F.when(name(lambda c: c.kind) == "accepted_values", F.col("values")).otherwise(F.col("n")).alias("failing_rows"))
+
+
+class WriteChecks:
+    """Cell checks and row counts observed while tables are written: no scan of what was written.
+
+    ``watch(name, df)`` returns ``df`` with a metric on its rows; write that
+    frame, then ask ``results``. Staging views are not written: their checks
+    are watched on the raw table they filter (``views``: view -> (table, condition)).
+    """
+
+    def __init__(self, checks: Sequence[Check] = CHECKS, views: Mapping[str, tuple] | None = None):
+        from riskloom.operators.staging import VIEWS
+        self.views = VIEWS if views is None else views
+        self.checks = [c for c in checks if c.kind != "unique"]
+        self.watched: dict[str, Observation] = {}
+
+    def table_of(self, model: str) -> str:
+        return self.views[model][0] if model in self.views else model
+
+    def watch(self, name: str, df: DataFrame) -> DataFrame:
+        metrics = [F.count(F.lit(1)).alias("rows")]
+        for i, c in enumerate(self.checks):
+            if self.table_of(c.model) == name:
+                inside = self.views[c.model][1]() & fails(c) if c.model in self.views else fails(c)
+                metrics.append(F.count(F.when(inside, F.lit(1))).alias(f"c{i}"))
+        self.watched[name] = Observation()
+        return df.observe(self.watched[name], *metrics)
+
+    def rows(self, name: str) -> int:
+        return self.watched[name].get["rows"]
+
+    def results(self, models: Mapping[str, DataFrame]) -> list[tuple[str, str, str, int]]:
+        """(model, column_name, check_name, failing_rows) of the watched cell checks; ``models`` only for bad values."""
+        out = []
+        for i, c in enumerate(self.checks):
+            table = self.table_of(c.model)
+            if table in self.watched:
+                n = self.watched[table].get[f"c{i}"]
+                if n and c.kind == "accepted_values":
+                    n = models[c.model].filter(fails(c)).agg(F.count_distinct(c.column)).first()[0]
+                out.append((c.model, c.column_name, c.kind, n))
+        return out
 
 
 # --------------------------------------------------------------------------
@@ -163,6 +205,12 @@ def row_count_results(models: Mapping[str, DataFrame], rules=ROW_COUNT_RULES) ->
     return reduce(DataFrame.unionByName, parts)
 
 
+def row_count_rows(counts: Mapping[str, int], rules=ROW_COUNT_RULES) -> list[tuple[str, int, str, bool]]:
+    """The row-count rules over counts that are known already (from ``WriteChecks``)."""
+    ok = {">": int.__gt__, "=": int.__eq__, ">=": int.__ge__}
+    return [(t, counts[t], f"{op} {bound}", ok[op](counts[t], bound)) for t, op, bound in rules]
+
+
 def missing_columns(df: DataFrame, required: Sequence[str]) -> list[str]:
     """Required columns absent from a table's schema (metadata only, no job)."""
     have = set(df.columns)

@@ -260,19 +260,10 @@ def dq_not_all_null(spark, sf_dir):
     return quality.macro_presence(Layers(spark, sf_dir).raw_macro)
 
 
-#: columns that the loan, macro and marketing derivations read
-SOURCE_COLUMNS = {
-    "orders": ("o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate", "o_orderpriority"),
-    "lineitem": ("l_orderkey", "l_partkey", "l_linenumber", "l_quantity", "l_extendedprice", "l_tax", "l_returnflag"),
-    "customer": ("c_custkey", "c_nationkey", "c_acctbal", "c_mktsegment"),
-    "nation": ("n_nationkey", "n_name"),
-}
-
-
 def dq_schema(spark, sf_dir):
     """Columns of every file of the source tables by their footers, and whether the derivations need them."""
     lay = Layers(spark, sf_dir)
-    return footers.schema_results(spark, {t: lay.table(t) for t in SOURCE_COLUMNS}, SOURCE_COLUMNS)
+    return footers.schema_results(spark, {t: lay.table(t) for t in tt.SOURCE_COLUMNS}, tt.SOURCE_COLUMNS)
 
 
 def queries() -> dict[str, Query]:

@@ -1,23 +1,35 @@
-"""The weekly batch job: raw -> staging -> intermediate -> marts -> checks.
+"""The weekly batch job: raw -> staging -> intermediate -> marts -> checks -> roll-ups.
 
 Staging stays lazy (a view: filters and column pruning reach the raw scan).
-Intermediate tables and marts are written as Parquet with overwrite, and
-every downstream model reads the *written* table back, so each layer cuts
-the lineage: a lost executor recomputes at most one layer, and the model
-that feeds several consumers (segments -> ECL inputs -> two marts) is
-computed once. Re-running the job replaces every output (idempotent).
+Every other table is written as a new version and published by a pointer
+(see ``store``), and every downstream model reads the *written* table back,
+so each layer cuts the lineage: a lost executor recomputes at most one layer,
+and the model that feeds several consumers (segments -> ECL inputs -> two
+marts) is computed once. A re-run replaces every output; a run that dies
+leaves the tables published before.
+
+Not-null, accepted-values and row-count checks are observed while the tables
+are written. Only the unique checks read them; with ``buckets`` the tables
+with ids are bucketed by id and that needs no exchange. The required
+columns of the raw tables are read from the footers of all their files.
+``failures`` lists what did not hold, and the shell entry point then ends with
+exit code 1.
 """
 
 from __future__ import annotations
 
-import os
-from collections.abc import Mapping
-from dataclasses import dataclass
+from collections.abc import Mapping, Sequence
+from concurrent.futures import ThreadPoolExecutor
+from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
 
 from riskloom.operators import intermediate, marts, quality, staging
 from riskloom.plans.layers import Layers
+from riskloom.plans.store import Store, Version
+from riskloom.sources import footers
+from riskloom.sources.schemas import CREDIT_POSITIONAL_NAMES, RAW_CREDIT_COLUMNS
+from riskloom.sources.testtables import SOURCE_COLUMNS
 
 
 @dataclass
@@ -25,48 +37,62 @@ class RawInputs:
     credit: DataFrame
     marketing: DataFrame
     macro: DataFrame
+    #: Parquet inputs whose footers the job checks: name -> (frame, columns that every file must have)
+    files: Mapping[str, tuple[DataFrame, Sequence[str]]] = field(default_factory=dict)
 
 
 def raw_from_tables(spark: SparkSession, sf_dir: str) -> RawInputs:
     lay = Layers(spark, sf_dir)
-    return RawInputs(credit=lay.raw_credit, marketing=lay.raw_marketing, macro=lay.raw_macro)
+    return RawInputs(credit=lay.raw_credit, marketing=lay.raw_marketing, macro=lay.raw_macro,
+                     files={t: (lay.table(t), cols) for t, cols in SOURCE_COLUMNS.items()})
 
 
-def _write(df: DataFrame, out_dir: str, layer: str, name: str) -> DataFrame:
-    path = os.path.join(out_dir, layer, name)
-    df.write.mode("overwrite").parquet(path)
-    return df.sparkSession.read.parquet(path)
+#: tables with an id, in the order in which they are built from one another
+ID_TABLES = ("raw_credit", "raw_marketing", "int_loan_delinquency", "int_portfolio_segments", "int_ecl_inputs")
 
 
-def _write_all(jobs: Mapping[str, DataFrame], out_dir: str, layer: str, workers: int) -> dict[str, DataFrame]:
-    """Write independent tables of one layer as concurrent Spark jobs.
+def _write_all(jobs: Mapping[str, DataFrame], store: Store, layer: str, workers: int,
+               checks: quality.WriteChecks | None = None, buckets: int = 0) -> dict[str, DataFrame]:
+    """Write independent tables of one layer as concurrent Spark jobs, then publish them.
 
     Tables of one layer do not read each other, so their jobs can share the
     cluster (small jobs fill slots a big one leaves idle). Every job runs to
-    the end before the first error, if any, is raised.
+    the end before the first error, if any, is raised; nothing of the layer is
+    published then.
     """
-    if workers <= 1 or len(jobs) == 1:
-        return {n: _write(df, out_dir, layer, n) for n, df in jobs.items()}
-    from concurrent.futures import ThreadPoolExecutor
-
-    with ThreadPoolExecutor(max_workers=min(workers, len(jobs))) as pool:
-        futures = {n: pool.submit(_write, df, out_dir, layer, n) for n, df in jobs.items()}
-        errors = [f.exception() for f in futures.values() if f.exception() is not None]
-    if errors:
-        raise errors[0]
-    return {n: f.result() for n, f in futures.items()}
-
+    def one(name: str) -> Version:
+        df = checks.watch(name, jobs[name]) if checks else jobs[name]
+        return store.write(df, layer, name, buckets if name in ID_TABLES else 0)
 
-def run_pipeline(spark: SparkSession, raw: RawInputs, out_dir: str,
-                 with_serving: bool = True, workers: int = 4) -> dict[str, DataFrame]:
+    if workers <= 1 or len(jobs) == 1:
+        versions = {n: one(n) for n in jobs}
+    else:
+        with ThreadPoolExecutor(max_workers=min(workers, len(jobs))) as pool:
+            futures = {n: pool.submit(one, n) for n in jobs}
+            errors = [f.exception() for f in futures.values() if f.exception() is not None]
+        if errors:
+            raise errors[0]
+        versions = {n: f.result() for n, f in futures.items()}
+    for n, v in versions.items():
+        store.publish(layer, n, v)
+    return {n: store.read(layer, n, v) for n, v in versions.items()}
+
+
+def run_pipeline(spark: SparkSession, raw: RawInputs, out_dir: str, with_serving: bool = True,
+                 workers: int = 4, buckets: int = 0) -> dict[str, DataFrame]:
     """Build every layer under ``out_dir`` (a shared folder); returns the written tables.
 
     Layers run in order; the independent tables inside a layer are written
-    by up to ``workers`` concurrent jobs.
+    by up to ``workers`` concurrent jobs. ``buckets`` > 0 buckets the tables
+    with ids by id.
     """
+    store, watch = Store(spark, out_dir), quality.WriteChecks()
     t: dict[str, DataFrame] = {}
-    t.update(_write_all({"raw_credit": raw.credit, "raw_marketing": raw.marketing, "raw_macro": raw.macro},
-                        out_dir, "raw", workers))
+
+    def build(layer: str, jobs: Mapping[str, DataFrame], checked: bool = True) -> None:
+        t.update(_write_all(jobs, store, layer, workers, watch if checked else None, buckets))
+
+    build("raw", {"raw_credit": raw.credit, "raw_marketing": raw.marketing, "raw_macro": raw.macro})
 
     # staging: lazy views over the raw tables
     t["stg_credit_default"] = staging.stg_credit_default(t["raw_credit"])
@@ -74,33 +100,45 @@ def run_pipeline(spark: SparkSession, raw: RawInputs, out_dir: str,
     t["stg_macro"] = staging.stg_macro(t["raw_macro"])
 
     # intermediate: stored tables
-    t["int_loan_delinquency"] = _write(intermediate.int_loan_delinquency(t["stg_credit_default"]),
-                                       out_dir, "intermediate", "int_loan_delinquency")
-    t["int_portfolio_segments"] = _write(intermediate.int_portfolio_segments(t["int_loan_delinquency"]),
-                                         out_dir, "intermediate", "int_portfolio_segments")
-    t["int_ecl_inputs"] = _write(intermediate.int_ecl_inputs(t["int_portfolio_segments"]),
-                                 out_dir, "intermediate", "int_ecl_inputs")
+    build("intermediate", {"int_loan_delinquency": intermediate.int_loan_delinquency(t["stg_credit_default"])})
+    build("intermediate", {"int_portfolio_segments": intermediate.int_portfolio_segments(t["int_loan_delinquency"])})
+    build("intermediate", {"int_ecl_inputs": intermediate.int_ecl_inputs(t["int_portfolio_segments"])})
 
     # marts: stored tables
-    builders = {
-        "mart_portfolio_summary": lambda: marts.mart_portfolio_summary(t["int_portfolio_segments"]),
-        "mart_npl_analysis": lambda: marts.mart_npl_analysis(t["int_ecl_inputs"]),
-        "mart_ecl_estimates": lambda: marts.mart_ecl_estimates(t["int_ecl_inputs"]),
-        "mart_vintage_curves": lambda: marts.mart_vintage_curves(t["stg_credit_default"]),
-        "mart_regulatory_ratios": lambda: marts.mart_regulatory_ratios(t["stg_macro"]),
-    }
-    t.update(_write_all({name: build() for name, build in builders.items()}, out_dir, "marts", workers))
-
-    # checks over the written tables
-    t.update(_write_all({"dq_checks": quality.run_checks(t), "dq_row_counts": quality.row_count_results(t)},
-                        out_dir, "checks", workers))
+    build("marts", {
+        "mart_portfolio_summary": marts.mart_portfolio_summary(t["int_portfolio_segments"]),
+        "mart_npl_analysis": marts.mart_npl_analysis(t["int_ecl_inputs"]),
+        "mart_ecl_estimates": marts.mart_ecl_estimates(t["int_ecl_inputs"]),
+        "mart_vintage_curves": marts.mart_vintage_curves(t["stg_credit_default"]),
+        "mart_regulatory_ratios": marts.mart_regulatory_ratios(t["stg_macro"]),
+    })
+
+    # checks: what was observed on the way, unique keys by a scan, schemas by the footers
+    observed = spark.createDataFrame(watch.results(t), quality.RESULT_SCHEMA)
+    files = {**raw.files, **{n: (t[n], cols) for n, cols in quality.REQUIRED_COLUMNS.items()}}
+    counts = quality.row_count_rows({n: watch.rows(n) for n, _, _ in quality.ROW_COUNT_RULES})
+    build("checks", {
+        "dq_checks": observed.unionByName(quality.run_checks(t, kinds=("unique",))),
+        "dq_row_counts": spark.createDataFrame(counts, "table_name string, row_count bigint, rule string, passed boolean"),
+        "dq_schema": footers.schema_results(spark, {n: df for n, (df, _) in files.items()}, {n: c for n, (_, c) in files.items()}),
+    }, checked=False)
 
     if with_serving:
-        t.update(_write_all({key: fn(*[t[i] for i in inputs]) for key, (fn, inputs) in serving_plan().items()},
-                            out_dir, "serving", workers))
+        build("serving", {key: fn(*[t[i] for i in inputs]) for key, (fn, inputs) in serving_plan().items()}, checked=False)
     return t
 
 
+def failures(t: Mapping[str, DataFrame], row_counts: bool = False) -> list[str]:
+    """What did not hold in a finished run: checks, required columns and, if asked for, the row-count rules."""
+    out = [f"check failed: {r.model}.{r.column_name} {r.check_name}: {r.failing_rows}"
+           for r in t["dq_checks"].filter("failing_rows > 0").collect()]
+    out += [f"column missing: {r.table_name}.{r.column_name} in {r.file_name}" for r in footers.missing(t["dq_schema"]).collect()]
+    if row_counts:
+        out += [f"row count: {r.table_name} has {r.row_count}, not {r.rule}"
+                for r in t["dq_row_counts"].filter("NOT passed").collect()]
+    return out
+
+
 def serving_plan() -> Mapping[str, tuple]:
     from riskloom.plans.catalog import SERVING
     return SERVING
@@ -118,7 +156,12 @@ def raw_from_landed(spark: SparkSession, credit: str, marketing: str, macro: Map
                     credit_order_by=None, marketing_order_by=None) -> RawInputs:
     """Raw inputs from landed files (see ``riskloom.sources.landed``)."""
     from riskloom.sources import landed
+    files = {}
+    if credit_format == "parquet":
+        names = list(CREDIT_POSITIONAL_NAMES) if positional else [c for c in RAW_CREDIT_COLUMNS if c != "id"]
+        files["landed_credit"] = (landed.file_columns(spark, credit, "parquet", names), names)
     return RawInputs(
+        files=files,
         credit=landed.read_raw_credit(spark, credit, credit_format, positional, credit_order_by),
         marketing=landed.read_raw_marketing(spark, marketing, marketing_format, marketing_order_by, marketing_sep),
         macro=landed.read_raw_macro(spark, macro))
@@ -141,6 +184,8 @@ def main(argv=None) -> int:
     ap.add_argument("--credit-order-by", nargs="*", help="columns ordering credit rows (file has no id)")
     ap.add_argument("--marketing-order-by", nargs="*", help="columns ordering marketing rows (file has no id)")
     ap.add_argument("--no-serving", action="store_true")
+    ap.add_argument("--bucketed", action="store_true", help="bucket the tables with ids by id")
+    ap.add_argument("--check-row-counts", action="store_true", help="fail on the row-count rules of the raw tables, too")
     a = ap.parse_args(argv)
     spark = build_session()
     if a.tables:
@@ -156,12 +201,13 @@ def main(argv=None) -> int:
                               a.credit_order_by, a.marketing_order_by)
         from riskloom.session import size_shuffle_partitions
         size_shuffle_partitions(spark, [raw.credit, raw.marketing])
-    t = run_pipeline(spark, raw, a.out, with_serving=not a.no_serving)
-    failing = [r for r in t["dq_checks"].collect() if r.failing_rows]
-    for r in failing:
-        print(f"check failed: {r.model}.{r.column_name} {r.check_name}: {r.failing_rows}")
-    print(f"wrote {len(t)} tables under {a.out}; {len(failing)} of 54 checks failing")
-    return 0
+    t = run_pipeline(spark, raw, a.out, with_serving=not a.no_serving,
+                     buckets=int(spark.conf.get("spark.sql.shuffle.partitions")) if a.bucketed else 0)
+    failed = failures(t, a.check_row_counts)
+    for line in failed:
+        print(line)
+    print(f"wrote {len(t)} tables under {a.out}; {len(failed)} checks failing")
+    return 1 if failed else 0
 
 
 if __name__ == "__main__":

@@ -37,7 +37,7 @@ class MissingColumns(ValueError):
 def file_columns(spark: SparkSession, path: str, fmt: str, wanted: Sequence[str], sep: str = ",") -> DataFrame:
     """The file as it names its columns, untyped where the format has no types.
 
-    CSV: every column of the header as text. Parquet: the footer's schema.
+    CSV: every column of the header as text. Parquet: the columns of all footers.
     JSON has no header: the ``wanted`` names are read as text, and those that
     no record has are left out (one aggregate over the file).
     """
@@ -47,7 +47,9 @@ def file_columns(spark: SparkSession, path: str, fmt: str, wanted: Sequence[str]
         df = spark.read.schema(StructType([StructField(c, StringType()) for c in wanted])).json(path)
         seen = df.agg(F.count(F.lit(1)).alias("rows"), *[F.count(F.col(f"`{c}`")).alias(f"c{i}") for i, c in enumerate(wanted)]).first()
         return df.select(*[F.col(f"`{c}`") for i, c in enumerate(wanted) if seen[f"c{i}"] or not seen["rows"]])
-    return spark.read.format(fmt).load(path)
+    reader = spark.read.format(fmt)
+    # the columns of all files, not of whichever footer Spark happens to take; a file that lacks one reads as NULL
+    return (reader.option("mergeSchema", "true") if fmt == "parquet" else reader).load(path)
 
 
 def typed(c: Column, source: DataType, target: DataType) -> Column:

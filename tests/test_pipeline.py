@@ -99,13 +99,15 @@ def test_rename_helpers():
 def test_concurrent_layer_write_reports_failures(spark, scratch):
     import pytest
     from riskloom.plans.pipeline import _write_all
+    from riskloom.plans.store import NotPublished, Store
     good = spark.range(10)
-    bad = spark.range(10).select((F.col("id") / F.lit(0)).alias("x")) if spark.conf.get(
-        "spark.sql.ansi.enabled", "true") == "true" else spark.range(10).select(F.raise_error("boom"))
-    out = os.path.join(scratch, "concurrent")
+    bad = spark.range(10).select(F.raise_error(F.lit("boom")))
+    store = Store(spark, os.path.join(scratch, "concurrent"))
     with pytest.raises(Exception):
-        _write_all({"good": good, "bad": bad}, out, "layer", workers=2)
-    assert _write_all({"a": good, "b": good}, out, "layer", workers=2)["b"].count() == 10
+        _write_all({"good": good, "bad": bad}, store, "layer", workers=2)
+    with pytest.raises(NotPublished):
+        store.read("layer", "good")                     # nothing of a failed layer is published
+    assert _write_all({"a": good, "b": good}, store, "layer", workers=2)["b"].count() == 10
 
 
 def test_cli_over_landed_files(spark, scratch, capsys):
