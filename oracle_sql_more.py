@@ -227,43 +227,97 @@ MODEL_CTE = {
 }
 
 
-def _lit(v) -> str:
-    return f"'{v}'" if isinstance(v, str) else str(v)
-
-
-def _check_sql(check) -> str:
-    t = MODEL_CTE[check.model]
-    head = f"SELECT '{check.model}' AS model, '{check.column_name}' AS column_name, '{check.kind}' AS check_name, "
-    if check.kind == "not_null":
-        return head + f"CAST(COUNT(*) AS BIGINT) AS failing_rows FROM {t} WHERE {check.column} IS NULL"
-    if check.kind == "unique":
-        keys = ", ".join(check.columns)
-        nn = " AND ".join(f"{k} IS NOT NULL" for k in check.columns)
+#: the 54 declared checks: table, column(s), check, accepted values
+BUCKETS = "'Current', '1-30 DPD', '31-60 DPD', '61-90 DPD', '90+ DPD'"
+STAGES = "'Stage 1', 'Stage 2', 'Stage 3'"
+CHECKS = (
+    ("raw_macro", "year", "not_null"),
+    ("raw_macro", "country_code,year", "unique"),
+    ("raw_macro", "country_code", "not_null"),
+    ("raw_credit", "id", "not_null"),
+    ("raw_credit", "id", "unique"),
+    ("raw_credit", "credit_limit", "not_null"),
+    ("raw_credit", "is_default", "not_null"),
+    ("raw_credit", "is_default", "accepted_values", "0, 1"),
+    ("raw_marketing", "id", "not_null"),
+    ("raw_marketing", "id", "unique"),
+    ("raw_marketing", "age", "not_null"),
+    ("raw_marketing", "subscribed_term_deposit", "not_null"),
+    ("raw_marketing", "subscribed_term_deposit", "accepted_values", "'yes', 'no'"),
+    ("stg_macro", "year", "not_null"),
+    ("stg_macro", "country_code,year", "unique"),
+    ("stg_macro", "country_code", "not_null"),
+    ("stg_credit_default", "id", "not_null"),
+    ("stg_credit_default", "id", "unique"),
+    ("stg_credit_default", "credit_limit", "not_null"),
+    ("stg_credit_default", "is_default", "not_null"),
+    ("stg_bank_marketing", "id", "not_null"),
+    ("stg_bank_marketing", "id", "unique"),
+    ("stg_bank_marketing", "age", "not_null"),
+    ("int_loan_delinquency", "id", "not_null"),
+    ("int_loan_delinquency", "id", "unique"),
+    ("int_loan_delinquency", "dpd_bucket", "not_null"),
+    ("int_loan_delinquency", "dpd_bucket", "accepted_values", BUCKETS),
+    ("int_loan_delinquency", "risk_grade", "not_null"),
+    ("int_loan_delinquency", "risk_grade", "accepted_values", "1, 2, 3, 4"),
+    ("int_portfolio_segments", "id", "not_null"),
+    ("int_portfolio_segments", "id", "unique"),
+    ("int_portfolio_segments", "is_npl", "not_null"),
+    ("int_portfolio_segments", "is_npl", "accepted_values", "0, 1"),
+    ("int_portfolio_segments", "utilisation_rate_pct", "not_null"),
+    ("int_ecl_inputs", "id", "not_null"),
+    ("int_ecl_inputs", "id", "unique"),
+    ("int_ecl_inputs", "ifrs9_stage", "not_null"),
+    ("int_ecl_inputs", "ifrs9_stage", "accepted_values", STAGES),
+    ("int_ecl_inputs", "ecl_amount", "not_null"),
+    ("mart_portfolio_summary", "loan_count", "not_null"),
+    ("mart_portfolio_summary", "default_rate_pct", "not_null"),
+    ("mart_portfolio_summary", "npl_rate_pct", "not_null"),
+    ("mart_npl_analysis", "npl_rate_pct", "not_null"),
+    ("mart_npl_analysis", "provision_coverage_pct", "not_null"),
+    ("mart_vintage_curves", "cohort", "not_null"),
+    ("mart_vintage_curves", "month_num", "not_null"),
+    ("mart_vintage_curves", "delinquency_rate_pct", "not_null"),
+    ("mart_regulatory_ratios", "year", "not_null"),
+    ("mart_regulatory_ratios", "country_code,year", "unique"),
+    ("mart_regulatory_ratios", "npl_status", "accepted_values", "'OK', 'WATCH', 'BREACH'"),
+    ("mart_regulatory_ratios", "capital_status", "accepted_values", "'OK', 'BREACH'"),
+    ("mart_ecl_estimates", "ifrs9_stage", "not_null"),
+    ("mart_ecl_estimates", "ifrs9_stage", "accepted_values", STAGES),
+    ("mart_ecl_estimates", "total_ecl", "not_null"),
+)
+#: row-count rules of the loaded raw tables
+ROW_COUNTS = (("raw_macro", ">", 10), ("raw_credit", "=", 30000), ("raw_marketing", ">=", 40000))
+
+
+def _check_sql(model: str, columns: str, kind: str, values: str = "") -> str:
+    t = MODEL_CTE[model]
+    head = f"SELECT '{model}' AS model, '{columns}' AS column_name, '{kind}' AS check_name, "
+    if kind == "not_null":
+        return head + f"CAST(COUNT(*) AS BIGINT) AS failing_rows FROM {t} WHERE {columns} IS NULL"
+    if kind == "unique":
+        nn = " AND ".join(f"{k} IS NOT NULL" for k in columns.split(","))
         return (head + "CAST(COUNT(*) AS BIGINT) AS failing_rows FROM "
-                f"(SELECT {keys} FROM {t} WHERE {nn} GROUP BY {keys} HAVING COUNT(*) > 1) d")
-    vals = ", ".join(_lit(v) for v in check.values)
+                f"(SELECT {columns} FROM {t} WHERE {nn} GROUP BY {columns} HAVING COUNT(*) > 1) d")
     return (head + "CAST(COUNT(*) AS BIGINT) AS failing_rows FROM "
-            f"(SELECT {check.column} FROM {t} GROUP BY {check.column}) v WHERE {check.column} NOT IN ({vals})")
+            f"(SELECT {columns} FROM {t} GROUP BY {columns}) v WHERE {columns} NOT IN ({values})")
 
 
 def _quality() -> dict[str, str]:
-    from riskloom.operators.quality import CHECKS, ROW_COUNT_RULES
-
     def union(kinds):
-        cs = [c for c in CHECKS if c.kind in kinds]
-        return with_ctes("\nUNION ALL\n".join(_check_sql(c) for c in cs),
-                         *sorted({MODEL_CTE[c.model] for c in cs}))
+        cs = [c for c in CHECKS if c[2] in kinds]
+        return with_ctes("\nUNION ALL\n".join(_check_sql(*c) for c in cs), *sorted({MODEL_CTE[c[0]] for c in cs}))
 
     op_sql = {">": ">", "=": "=", ">=": ">="}
     counts = "\nUNION ALL\n".join(
         f"SELECT '{t}' AS table_name, COUNT(*) AS row_count, '{op} {b}' AS rule, "
-        f"COUNT(*) {op_sql[op]} {b} AS passed FROM {MODEL_CTE[t]}" for t, op, b in ROW_COUNT_RULES)
+        f"COUNT(*) {op_sql[op]} {b} AS passed FROM {MODEL_CTE[t]}" for t, op, b in ROW_COUNTS)
     return {
         "dq_not_null": union(("not_null",)),
         "dq_unique": union(("unique",)),
         "dq_accepted_values": union(("accepted_values",)),
         "dq_all": union(("not_null", "unique", "accepted_values")),
-        "dq_row_counts": with_ctes(counts, *[MODEL_CTE[t] for t, _, _ in ROW_COUNT_RULES]),
+        "dq_row_counts": with_ctes(counts, *[MODEL_CTE[t] for t, _, _ in ROW_COUNTS]),
         "dq_countries": with_ctes(
             "SELECT country_code, COUNT(*) AS row_count FROM raw_macro GROUP BY country_code", "raw_macro"),
         "dq_not_all_null": with_ctes("""
