@@ -111,11 +111,17 @@ cte("macro_long", ("macro_panel",), "\n  UNION ALL".join(
   SELECT country_code, year, '{ind}' AS indicator, {ind} AS value FROM macro_panel WHERE {ind} IS NOT NULL"""
     for ind in INDICATORS))
 
-cte("macro_recent", ("macro_long",), """
-  SELECT country_code, year, indicator, value FROM (
-    SELECT *, ROW_NUMBER() OVER (PARTITION BY country_code, indicator ORDER BY year DESC) AS rn
-    FROM macro_long) t
-  WHERE rn <= 25""")
+# the most recent years of a series are counted with their empty values, which go afterwards
+cte("macro_series", ("macro_panel",), "\n  UNION ALL".join(
+    f"""
+  SELECT country_code, year, '{ind}' AS indicator, {ind} AS value FROM macro_panel"""
+    for ind in INDICATORS))
+
+cte("macro_ranked", ("macro_series",), """
+  SELECT *, ROW_NUMBER() OVER (PARTITION BY country_code, indicator ORDER BY year DESC) AS rn FROM macro_series""")
+
+cte("macro_recent", ("macro_ranked",), """
+  SELECT country_code, year, indicator, value FROM macro_ranked WHERE rn <= 25 AND value IS NOT NULL""")
 
 cte("raw_macro", ("macro_recent",), "\n  SELECT year, country_code, " + ", ".join(
     f"MAX(CASE WHEN indicator = '{ind}' THEN value END) AS {ind}" for ind in INDICATORS)

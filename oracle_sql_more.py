@@ -44,6 +44,17 @@ def _sources() -> dict[str, str]:
         "raw_credit_glued": with_ctes(
             "SELECT ROW_NUMBER() OVER (ORDER BY id) AS id, " + CREDIT_COLS.replace("id, ", "", 1) + " FROM raw_credit",
             "raw_credit"),
+        "raw_indicator_recent5": with_ctes(
+            "SELECT country_code, year, indicator, value FROM macro_ranked WHERE rn <= 5 AND value IS NOT NULL", "macro_ranked"),
+        "cohort_distinct_loans": with_ctes(
+            f"SELECT {SIZE_CASE.format(c='credit_limit')} AS cohort, COUNT(DISTINCT id) AS loan_count FROM stg_credit GROUP BY 1",
+            "stg_credit"),
+        "raw_marketing_quarantine": with_ctes("""
+  SELECT position, 'avg_yearly_balance' AS column_name, 'n/a' AS raw_value, 'does not fit bigint' AS reason
+  FROM (SELECT id, ROW_NUMBER() OVER (ORDER BY id) - 1 AS position FROM raw_marketing) p WHERE id % 11 = 0
+  UNION ALL
+  SELECT position, 'age', age || ' years', 'does not fit bigint'
+  FROM (SELECT id, age, ROW_NUMBER() OVER (ORDER BY id) - 1 AS position FROM raw_marketing) p WHERE id % 17 = 0""", "raw_marketing"),
         "raw_marketing_rename": with_ctes("SELECT * FROM raw_marketing", "raw_marketing"),
         "surrogate_id": with_ctes(
             "SELECT ROW_NUMBER() OVER (ORDER BY id) AS id, id AS source_id, "
@@ -126,7 +137,27 @@ def _serving() -> dict[str, str]:
         return (f"MAX(year) {f} AS {prefix}_year, max_by({value}, year) {f} AS {value}, "
                 f"max_by({status}, year) {f} AS {status}")
 
+    levels = " UNION ALL ".join(
+        f"SELECT '{k}' AS level, {k} AS label, CAST(SUM(loan_count) AS BIGINT) AS loan_count, "
+        "CAST(SUM(total_credit_limit) AS BIGINT) AS total_credit_limit, CAST(SUM(npl_count) AS BIGINT) AS npl_count, "
+        f"{xavg('avg_utilisation_pct', '100')} AS mean_utilisation_pct FROM summary GROUP BY {k}"
+        for k in ("dpd_bucket", "education_level", "credit_size_bucket", "age_band"))
+
+    def risk(mart, level, table, group):
+        own = {"npl": ("CAST(SUM(npl_count) AS BIGINT)", xavg("provision_coverage_pct", "100"), "NULL", "NULL"),
+               "ecl": ("NULL", "NULL", "CAST(SUM(total_ead) AS BIGINT)", "SUM(total_ecl)")}[mart]
+        label, by = (level, f" GROUP BY {level}") if group else ("NULL", "")
+        return (f"SELECT '{mart}' AS mart, '{level if group else 'total'}' AS level, {label} AS label, "
+                f"CAST(SUM(loan_count) AS BIGINT) AS loan_count, {own[0]} AS npl_count, {own[1]} AS mean_coverage_pct, "
+                f"{own[2]} AS total_ead, {own[3]} AS total_ecl FROM {table}{by}")
+
     return {
+        "page_portfolio": with_ctes(levels + f"""
+  UNION ALL SELECT 'total', NULL, CAST(SUM(loan_count) AS BIGINT), CAST(SUM(total_credit_limit) AS BIGINT),
+         CAST(SUM(npl_count) AS BIGINT), {xavg('avg_utilisation_pct', '100')} FROM summary""", "summary"),
+        "page_risk": with_ctes(" UNION ALL ".join(
+            risk(m, k, t, g) for m, k, t in (("npl", "dpd_bucket", "npl"), ("ecl", "ifrs9_stage", "ecl_mart")) for g in (True, False)),
+            "npl", "ecl_mart"),
         "dash_portfolio_kpis": with_ctes(f"""
   SELECT CAST(SUM(loan_count) AS BIGINT) AS total_loans,
          CAST(SUM(total_credit_limit) AS BIGINT) AS total_exposure,

@@ -167,12 +167,20 @@ class WriteChecks:
             if self.table_of(c.model) == name:
                 inside = self.views[c.model][1]() & fails(c) if c.model in self.views else fails(c)
                 metrics.append(F.count(F.when(inside, F.lit(1))).alias(f"c{i}"))
+        if "id" in df.columns:
+            metrics += [F.min("id").alias("least_id"), F.max("id").alias("largest_id")]
         self.watched[name] = Observation()
         return df.observe(self.watched[name], *metrics)
 
     def rows(self, name: str) -> int:
         return self.watched[name].get["rows"]
 
+    def dense_ids(self, name: str) -> bool:
+        """Whether the table's ids fill at least half of their range (bitmaps of them are small then)."""
+        seen = self.watched[name].get
+        return bool(seen["rows"]) and seen["least_id"] is not None and \
+            seen["largest_id"] - seen["least_id"] < 2 * seen["rows"]
+
     def results(self, models: Mapping[str, DataFrame]) -> list[tuple[str, str, str, int]]:
         """(model, column_name, check_name, failing_rows) of the watched cell checks; ``models`` only for bad values."""
         out = []

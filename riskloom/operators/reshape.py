@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Mapping, Sequence
 from functools import reduce
 
@@ -50,6 +51,9 @@ def rename_marketing(df: DataFrame) -> DataFrame:
 # Dense surrogate ids
 # --------------------------------------------------------------------------
 
+SORT_BYTES = 256 << 20
+
+
 def add_dense_id(df: DataFrame, order_by: Sequence[str], id_col: str = "id",
                  num_partitions: int | None = None) -> DataFrame:
     """Dense ids 1..n following ``order_by``; ties are broken by a hash of the row.
@@ -62,9 +66,11 @@ def add_dense_id(df: DataFrame, order_by: Sequence[str], id_col: str = "id",
     row per partition, broadcast); pass two adds the partition's offset to
     the position. No single-task global window.
     """
-    from riskloom.session import materialize
+    from riskloom.session import estimated_bytes, materialize
 
-    n = num_partitions or df.sparkSession.sparkContext.defaultParallelism
+    spark = df.sparkSession
+    # partitions by size: one sort task of up to ``SORT_BYTES``, at least one a slot
+    n = num_partitions or max(spark.sparkContext.defaultParallelism, math.ceil((estimated_bytes(df) or 0) / SORT_BYTES))
     part = materialize(stamp_positions(df, order_by, n), "dense-id")
     counts = part.groupBy("_pid").agg(F.count(F.lit(1)).alias("_n"))
     # Offsets over at most ``n`` rows (one per partition).
@@ -131,7 +137,12 @@ def unpivot_years(wide: DataFrame, id_cols: Sequence[str], value_name: str = "va
 
 def recent_values(long: DataFrame, n: int = RECENT_VALUES,
                   keys: Sequence[str] = ("country_code", "indicator")) -> DataFrame:
-    """The ``n`` most recent years per series (a per-series window, bounded by years)."""
+    """The rows of the ``n`` most recent years per series; years with an empty value count.
+
+    A row number under a limit: Spark keeps the n newest rows a series in
+    every task before the shuffle (``WindowGroupLimit``), so a series with a
+    third of all rows sends n rows a task.
+    """
     w = Window.partitionBy(*keys).orderBy(F.col("year").desc())
     return long.withColumn("_rn", F.row_number().over(w)).filter(F.col("_rn") <= n).drop("_rn")
 
@@ -140,17 +151,12 @@ def recent_values_wide(panel: DataFrame, n: int = RECENT_VALUES,
                        indicators: Sequence[str] = INDICATOR_COLUMNS) -> DataFrame:
     """Wide-panel form of ``recent_values`` + ``pivot_indicators``.
 
-    For each indicator, a running count of non-NULL values per country,
-    newest year first, gives the value's recency rank; values beyond ``n``
-    become NULL and rows left with no value are dropped. One window over the
-    country partitioning, no unpivot/pivot round trip.
+    A panel row is one year of every series of its country, so the n newest
+    rows of a country are the n newest years of each; rows left without any
+    value are dropped. One window over the country, no unpivot/pivot round trip.
     """
-    w = (Window.partitionBy("country_code").orderBy(F.col("year").desc())
-         .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    kept = [F.when(F.col(c).isNotNull() & (F.count(F.col(c)).over(w) <= n), F.col(c)).alias(c)
-            for c in indicators]
-    out = panel.select("year", "country_code", *kept)
-    return out.filter(reduce(lambda a, b: a | b, [F.col(c).isNotNull() for c in indicators]))
+    newest = recent_values(panel.select("year", "country_code", *indicators), n, ("country_code",))
+    return newest.filter(reduce(lambda a, b: a | b, [F.col(c).isNotNull() for c in indicators]))
 
 
 def pivot_indicators(long: DataFrame, indicators: Sequence[str] = INDICATOR_COLUMNS) -> DataFrame:

@@ -1,7 +1,9 @@
 """Serving layer: the report roll-ups, computed from the marts in Spark.
 
-Each function takes mart DataFrames (a few hundred rows at most, whatever
-the loan count) and returns the small finished frame a report shows. Where
+``page_portfolio`` and ``page_risk`` roll a mart (a few hundred rows at most,
+whatever the loan count) up to all levels that a page shows, in one pass by
+grouping sets; the job writes them once. Each ``dash_*`` function takes a page
+or a mart and returns the small finished frame a report shows. Where
 the display order matters a rank column is exposed, and the frame is sorted
 by it as the last step. Shares of a total use a window over the roll-up,
 which has at most one row per label (<= 5); no joins without keys. Rates
@@ -28,55 +30,97 @@ def _with_total_share(rollup: DataFrame, value: str, share: str) -> DataFrame:
 
 
 # --------------------------------------------------------------------------
-# Portfolio overview (from the portfolio summary mart)
+# Pages: every roll-up of a mart in one pass (grouping sets), written once
 # --------------------------------------------------------------------------
 
-def dash_portfolio_kpis(summary: DataFrame) -> DataFrame:
-    """Loans, exposure, unweighted mean of group utilisation (1 dp), NPL rate."""
-    loans = F.sum("loan_count")
-    return summary.agg(
-        F.coalesce(loans, F.lit(0).cast("long")).alias("total_loans"),
-        F.coalesce(F.sum("total_credit_limit"), F.lit(0).cast("long")).alias("total_exposure"),
-        R.round_half_even(R.exact_avg("avg_utilisation_pct", 2), 1).alias("avg_utilisation_pct"),
-        F.when(loans > 0, R.round_half_even(F.sum("npl_count") / loans * 100.0, 2))
+def _levels(mart: DataFrame, keys: tuple[str, ...], *aggs) -> DataFrame:
+    """(level, label, aggs...): ``mart`` rolled up by each key alone and as a whole (level 'total'), in one pass."""
+    n = len(keys)
+    rolled = mart.groupingSets([[k] for k in keys] + [[]], *keys).agg(F.grouping_id().alias("_g"), *aggs)
+    # the bit of a key is 0 in the grouping set that holds it
+    level, label = F.lit("total"), F.lit(None).cast("string")
+    for i, k in enumerate(keys):
+        here = F.col("_g") == (1 << n) - 1 - (1 << (n - 1 - i))
+        level, label = F.when(here, F.lit(k)).otherwise(level), F.when(here, F.col(k)).otherwise(label)
+    return rolled.select(level.alias("level"), label.alias("label"), *[c for c in rolled.columns if c not in (*keys, "_g")])
+
+
+PORTFOLIO_LEVELS = ("dpd_bucket", "education_level", "credit_size_bucket", "age_band")
+
+
+def page_portfolio(summary: DataFrame) -> DataFrame:
+    """The portfolio summary by bucket, education, size, age band and as a whole: what page 1 shows."""
+    return _levels(
+        summary, PORTFOLIO_LEVELS,
+        F.sum("loan_count").alias("loan_count"), F.sum("total_credit_limit").alias("total_credit_limit"),
+        F.sum("npl_count").alias("npl_count"),
+        R.exact_avg("avg_utilisation_pct", 2).alias("mean_utilisation_pct"))
+
+
+def page_risk(npl: DataFrame, ecl: DataFrame) -> DataFrame:
+    """The NPL mart by bucket and the ECL mart by stage, each also as a whole: what page 2 shows."""
+    a = _levels(npl, ("dpd_bucket",), F.sum("loan_count").alias("loan_count"), F.sum("npl_count").alias("npl_count"),
+                R.exact_avg("provision_coverage_pct", 2).alias("mean_coverage_pct"))
+    b = _levels(ecl, ("ifrs9_stage",), F.sum("loan_count").alias("loan_count"),
+                F.sum("total_ead").alias("total_ead"), F.sum("total_ecl").alias("total_ecl"))
+    return a.withColumn("mart", F.lit("npl")).unionByName(b.withColumn("mart", F.lit("ecl")), allowMissingColumns=True)
+
+
+def _level(page: DataFrame, level: str, mart: str | None = None) -> DataFrame:
+    """The rows of one roll-up, its label under the key's name."""
+    rows = page.filter(F.col("level") == level)
+    return (rows.filter(F.col("mart") == mart) if mart else rows).withColumnRenamed("label", level)
+
+
+# --------------------------------------------------------------------------
+# Portfolio overview (from page_portfolio)
+# --------------------------------------------------------------------------
+
+def dash_portfolio_kpis(page: DataFrame) -> DataFrame:
+    """Loans, exposure, unweighted mean of group utilisation (1 dp), NPL rate; zeros for an empty portfolio."""
+    # an aggregate over the one 'total' row: an empty page has none and still gives a row
+    zero = F.lit(0).cast("long")
+    total = _level(page, "total").agg(*[F.coalesce(F.max(c), zero).alias(c) for c in ("loan_count", "total_credit_limit", "npl_count")],
+                                      F.max("mean_utilisation_pct").alias("mean_utilisation_pct"))
+    return total.select(
+        F.col("loan_count").alias("total_loans"),
+        F.col("total_credit_limit").alias("total_exposure"),
+        R.round_half_even("mean_utilisation_pct", 1).alias("avg_utilisation_pct"),
+        F.when(F.col("loan_count") > 0, R.round_half_even(F.col("npl_count") / F.col("loan_count") * 100.0, 2))
          .otherwise(F.lit(0.0)).alias("portfolio_npl_rate_pct"),
     )
 
 
-def dash_by_dpd(summary: DataFrame) -> DataFrame:
-    g = summary.groupBy("dpd_bucket").agg(F.sum("loan_count").alias("loan_count"))
-    g = g.withColumn("bucket_rank", R.label_rank("dpd_bucket", R.DPD_BUCKETS))
-    return g.orderBy("bucket_rank")
+def dash_by_dpd(page: DataFrame) -> DataFrame:
+    g = _level(page, "dpd_bucket").select("dpd_bucket", "loan_count")
+    return g.withColumn("bucket_rank", R.label_rank("dpd_bucket", R.DPD_BUCKETS)).orderBy("bucket_rank")
 
 
-def dash_by_education(summary: DataFrame) -> DataFrame:
-    g = summary.groupBy("education_level").agg(F.sum("loan_count").alias("loan_count"))
+def dash_by_education(page: DataFrame) -> DataFrame:
+    g = _level(page, "education_level").select("education_level", "loan_count")
     return _with_total_share(g, "loan_count", "share_pct").orderBy("education_level")
 
 
-def dash_exposure_by_size(summary: DataFrame) -> DataFrame:
-    g = summary.groupBy("credit_size_bucket").agg(F.sum("total_credit_limit").alias("total_credit_limit"))
-    g = g.withColumn("size_rank", R.label_rank("credit_size_bucket", R.SIZE_BUCKETS))
-    return g.orderBy("size_rank")
+def dash_exposure_by_size(page: DataFrame) -> DataFrame:
+    g = _level(page, "credit_size_bucket").select("credit_size_bucket", "total_credit_limit")
+    return g.withColumn("size_rank", R.label_rank("credit_size_bucket", R.SIZE_BUCKETS)).orderBy("size_rank")
 
 
-def dash_by_age_band(summary: DataFrame) -> DataFrame:
-    g = summary.groupBy("age_band").agg(F.sum("loan_count").alias("loan_count"))
-    g = g.withColumn("age_rank", R.label_rank("age_band", R.AGE_BANDS))
-    return g.orderBy("age_rank")
+def dash_by_age_band(page: DataFrame) -> DataFrame:
+    g = _level(page, "age_band").select("age_band", "loan_count")
+    return g.withColumn("age_rank", R.label_rank("age_band", R.AGE_BANDS)).orderBy("age_rank")
 
 
 # --------------------------------------------------------------------------
-# Risk metrics (from the NPL and ECL marts)
+# Risk metrics (from page_risk)
 # --------------------------------------------------------------------------
 
-def dash_risk_kpis(npl: DataFrame, ecl: DataFrame) -> DataFrame:
+def dash_risk_kpis(page: DataFrame) -> DataFrame:
     """Portfolio NPL rate vs the 15 % threshold, NPL loans, total provision, ECL rate."""
-    # Two one-row aggregates side by side: union them and take each column from its row.
-    a = npl.agg(F.sum("loan_count").alias("total_loans"), F.sum("npl_count").alias("npl_loans"))
-    b = ecl.agg(F.sum("total_ecl").alias("total_ecl_provision"), F.sum("total_ead").alias("total_ead"))
-    u = a.unionByName(b, allowMissingColumns=True)
-    j = u.agg(*[F.max(c).alias(c) for c in ("total_loans", "npl_loans", "total_ecl_provision", "total_ead")])
+    # the two 'total' rows side by side: each column is taken from its mart's row
+    of = lambda mart, c, name: F.max(F.when(F.col("mart") == mart, F.col(c))).alias(name)
+    j = _level(page, "total").agg(of("npl", "loan_count", "total_loans"), of("npl", "npl_count", "npl_loans"),
+                                  of("ecl", "total_ecl", "total_ecl_provision"), of("ecl", "total_ead", "total_ead"))
     npl_rate = F.when(F.col("total_loans") > 0,
                       R.round_half_even(F.col("npl_loans") / F.col("total_loans") * 100.0, 2)).otherwise(F.lit(0.0))
     return j.select(
@@ -90,37 +134,29 @@ def dash_risk_kpis(npl: DataFrame, ecl: DataFrame) -> DataFrame:
     )
 
 
-def dash_npl_by_dpd(npl: DataFrame) -> DataFrame:
-    g = npl.groupBy("dpd_bucket").agg(F.sum("loan_count").alias("loan_count"),
-                                      F.sum("npl_count").alias("npl_count"))
+def dash_npl_by_dpd(page: DataFrame) -> DataFrame:
+    g = _level(page, "dpd_bucket").select("dpd_bucket", "loan_count", "npl_count")
     return (g.withColumn("npl_rate", R.round_half_even(F.col("npl_count") / F.col("loan_count") * 100.0, 2))
             .withColumn("npl_threshold_pct", F.lit(R.NPL_BREACH_PCT))
             .withColumn("bucket_rank", R.label_rank("dpd_bucket", R.DPD_BUCKETS))
             .orderBy("bucket_rank"))
 
 
-def ecl_by_stage(ecl: DataFrame) -> DataFrame:
-    return ecl.groupBy("ifrs9_stage").agg(
-        F.sum("total_ead").alias("total_ead"),
-        F.sum("total_ecl").alias("total_ecl"),
-        F.sum("loan_count").alias("loan_count"))
-
-
-def dash_ecl_by_stage(ecl: DataFrame) -> DataFrame:
+def dash_ecl_by_stage(page: DataFrame) -> DataFrame:
     """ECL rate per stage; a zero exposure gives 0 (negative exposure is not guarded)."""
-    g = ecl_by_stage(ecl)
+    g = _level(page, "ifrs9_stage").select("ifrs9_stage", "total_ead", "total_ecl", "loan_count")
     return (g.withColumn("ecl_rate", R.round_half_even(R.nonzero_ratio_pct("total_ecl", "total_ead"), 2))
             .orderBy("ifrs9_stage"))
 
 
-def dash_coverage_by_dpd(npl: DataFrame) -> DataFrame:
+def dash_coverage_by_dpd(page: DataFrame) -> DataFrame:
     """Unweighted mean of group provision coverage per bucket (not re-weighted)."""
-    g = npl.groupBy("dpd_bucket").agg(R.exact_avg("provision_coverage_pct", 2).alias("provision_coverage_pct"))
+    g = _level(page, "dpd_bucket").select("dpd_bucket", F.col("mean_coverage_pct").alias("provision_coverage_pct"))
     return g.withColumn("bucket_rank", R.label_rank("dpd_bucket", R.DPD_BUCKETS)).orderBy("bucket_rank")
 
 
-def dash_ead_share(ecl: DataFrame) -> DataFrame:
-    g = ecl_by_stage(ecl).select("ifrs9_stage", "total_ead")
+def dash_ead_share(page: DataFrame) -> DataFrame:
+    g = _level(page, "ifrs9_stage").select("ifrs9_stage", "total_ead")
     return _with_total_share(g, "total_ead", "share_pct").orderBy("ifrs9_stage")
 
 
@@ -206,6 +242,7 @@ def dash_reg_growth_inflation(reg: DataFrame) -> DataFrame:
             .orderBy("country_code", "year"))
 
 
+# --- Fixed values: the display columns, in the reference's order.
 HISTORY_COLUMNS = ("year", "npl_ratio_pct", "bank_capital_assets_ratio_pct",
                    "credit_private_sector_gdp_pct", "gdp_growth_annual_pct",
                    "npl_status", "capital_status", "gdp_status")

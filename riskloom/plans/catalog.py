@@ -28,21 +28,21 @@ LAYER_KEYS = (
     "stg_credit_default", "stg_bank_marketing", "stg_macro",
     "int_loan_delinquency", "int_portfolio_segments", "bucket_pd", "int_ecl_inputs",
     "mart_portfolio_summary", "mart_npl_analysis", "mart_ecl_estimates",
-    "mart_vintage_curves", "mart_regulatory_ratios",
+    "mart_vintage_curves", "mart_regulatory_ratios", "page_portfolio", "page_risk",
 )
 
-# key -> (serving function, marts it reads)
+# key -> (serving function, pages or marts it reads)
 SERVING = {
-    "dash_portfolio_kpis": (serving.dash_portfolio_kpis, ("mart_portfolio_summary",)),
-    "dash_by_dpd": (serving.dash_by_dpd, ("mart_portfolio_summary",)),
-    "dash_by_education": (serving.dash_by_education, ("mart_portfolio_summary",)),
-    "dash_exposure_by_size": (serving.dash_exposure_by_size, ("mart_portfolio_summary",)),
-    "dash_by_age_band": (serving.dash_by_age_band, ("mart_portfolio_summary",)),
-    "dash_risk_kpis": (serving.dash_risk_kpis, ("mart_npl_analysis", "mart_ecl_estimates")),
-    "dash_npl_by_dpd": (serving.dash_npl_by_dpd, ("mart_npl_analysis",)),
-    "dash_ecl_by_stage": (serving.dash_ecl_by_stage, ("mart_ecl_estimates",)),
-    "dash_coverage_by_dpd": (serving.dash_coverage_by_dpd, ("mart_npl_analysis",)),
-    "dash_ead_share": (serving.dash_ead_share, ("mart_ecl_estimates",)),
+    "dash_portfolio_kpis": (serving.dash_portfolio_kpis, ("page_portfolio",)),
+    "dash_by_dpd": (serving.dash_by_dpd, ("page_portfolio",)),
+    "dash_by_education": (serving.dash_by_education, ("page_portfolio",)),
+    "dash_exposure_by_size": (serving.dash_exposure_by_size, ("page_portfolio",)),
+    "dash_by_age_band": (serving.dash_by_age_band, ("page_portfolio",)),
+    "dash_risk_kpis": (serving.dash_risk_kpis, ("page_risk",)),
+    "dash_npl_by_dpd": (serving.dash_npl_by_dpd, ("page_risk",)),
+    "dash_ecl_by_stage": (serving.dash_ecl_by_stage, ("page_risk",)),
+    "dash_coverage_by_dpd": (serving.dash_coverage_by_dpd, ("page_risk",)),
+    "dash_ead_share": (serving.dash_ead_share, ("page_risk",)),
     "dash_vintage_delinquency": (serving.dash_vintage_delinquency, ("mart_vintage_curves",)),
     "dash_vintage_default": (serving.dash_vintage_default, ("mart_vintage_curves",)),
     "dash_vintage_balance": (serving.dash_vintage_balance, ("mart_vintage_curves",)),
@@ -65,14 +65,18 @@ def models(layers: Layers) -> dict[str, DataFrame]:
 # Models whose plan reads one expensive base twice: the expected-loss inputs
 # read the segments twice (PD pass + join); the vintage mart reads the staged
 # loans twice (wide sums + exact distinct ids). That base is written once.
-ECL_CONSUMERS = {"int_ecl_inputs", "mart_npl_analysis", "mart_ecl_estimates"}
+ECL_CONSUMERS = {"mart_npl_analysis", "mart_ecl_estimates", "page_risk"}
 VINTAGE_CONSUMERS = {"mart_vintage_curves"}
 
 
 def _layers_for(spark: SparkSession, sf_dir: str, needs) -> Layers:
-    needs = set(needs)
-    cut = (Layers.FOR_ECL if ECL_CONSUMERS & needs else ()) + \
-          (Layers.FOR_VINTAGE if VINTAGE_CONSUMERS & needs else ())
+    needs, cut = set(needs), {}
+    if "int_ecl_inputs" in needs:
+        cut.update(dict.fromkeys(Layers.FOR_ECL))
+    elif ECL_CONSUMERS & needs:
+        cut.update(Layers.FOR_ECL_MARTS)
+    if VINTAGE_CONSUMERS & needs:
+        cut.update(Layers.FOR_VINTAGE)
     return Layers(spark, sf_dir, cut=cut)
 
 
@@ -137,10 +141,30 @@ def macro_full_outer(spark, sf_dir):
 
 def raw_indicator_unpivot(spark, sf_dir):
     """Series held one column per year, transposed back to (year, value) rows (NULL cells kept)."""
-    wide = tt.macro_wide_by_year(Layers(spark, sf_dir).macro_long)
+    # the pivot looks for its years first: both passes read one written panel
+    wide = tt.macro_wide_by_year(Layers(spark, sf_dir, cut=("macro_panel",)).macro_long)
     return reshape.unpivot_years(wide, ["country_code", "indicator"])
 
 
+def raw_indicator_recent5(spark, sf_dir):
+    """The most recent 5 years of each series, empty years counted: the cut of the load rule where it bites."""
+    return reshape.recent_values(Layers(spark, sf_dir).macro_series, 5).filter(F.col("value").isNotNull())
+
+
+def cohort_distinct_loans(spark, sf_dir):
+    """Distinct loans per credit-size cohort, counted by bitmaps of the ids."""
+    stg = Layers(spark, sf_dir).stg_credit_default
+    return marts.distinct_by_bitmap(stg.select(R.size_bucket("credit_limit").alias("cohort"), "id"), ["cohort"], "id", "loan_count")
+
+
+def raw_marketing_quarantine(spark, sf_dir):
+    """Cells of landed contacts that do not fit their type, with the row's position in the landed files."""
+    folder = os.path.join(checkpoint_dir(spark), "riskloom-tables", f"landed-{uuid.uuid4().hex}")
+    path = tt.land_contacts(Layers(spark, sf_dir).table("customer"), f"{folder}/contacts", spark.sparkContext.defaultParallelism)
+    _, rejected = landed.read_marketing_quarantined(spark, path, f"{folder}/split", fmt="csv")
+    return rejected.select("position", "column_name", "raw_value", "reason")
+
+
 # --------------------------------------------------------------------------
 # Scalar-function keys: each applies one rule to a whole test table
 # --------------------------------------------------------------------------
@@ -272,7 +296,8 @@ def queries() -> dict[str, Query]:
     for name, (fn, inputs) in SERVING.items():
         q[name] = _serving(fn, inputs)
     for fn in (raw_credit_rename, raw_credit_concat, raw_credit_glued, raw_marketing_rename, surrogate_id,
-               macro_full_outer, raw_indicator_unpivot,
+               macro_full_outer, raw_indicator_unpivot, raw_indicator_recent5,
+               cohort_distinct_loans, raw_marketing_quarantine,
                fn_worst_delay, fn_dpd_bucket, fn_risk_grade, fn_ifrs9_stage, fn_age_band, fn_size_bucket,
                fn_status_flags, fn_decode, fn_yes_no, fn_round, fn_safe_ratio,
                dq_row_counts, dq_countries, dq_not_all_null, dq_schema):

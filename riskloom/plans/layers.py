@@ -8,12 +8,14 @@ down to the parquet scans.
 
 from __future__ import annotations
 
+from collections.abc import Mapping, Sequence
 from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
 
-from riskloom.operators import intermediate, marts, reshape, staging
+from riskloom.operators import intermediate, marts, reshape, serving, staging
 from riskloom.sources import testtables as tt
+from riskloom.sources.schemas import BILL_AMT_COLS, PAY_STATUS_COLS
 
 
 class Layers:
@@ -26,23 +28,31 @@ class Layers:
     (PD pass + join; cut the segments), the vintage mart reads the staged
     loans twice (wide sums + distinct ids; cut staging). Each cut model is then computed once
     and scanned from the written table instead of re-aggregating line items.
+    As a mapping, ``cut`` also names the columns to write (None: all). Written
+    tables belong to the ``session.scratch`` block around the query, if there is one.
     """
 
     FOR_CHECKS = ("raw_credit", "macro_panel")
     FOR_ECL = ("int_portfolio_segments",)
-    FOR_VINTAGE = ("stg_credit_default",)
-
-    def __init__(self, spark: SparkSession, sf_dir: str, cut: tuple[str, ...] = ()):
+    #: the marts behind the expected-loss inputs read these columns of the segments only
+    FOR_ECL_MARTS = {"int_portfolio_segments": (
+        "dpd_bucket", "is_default", "outstanding_balance", "credit_size_bucket", "education_level",
+        "utilisation_rate_pct", "is_npl")}
+    FOR_VINTAGE = {"stg_credit_default": (
+        "id", "credit_limit", "is_default", *PAY_STATUS_COLS, *BILL_AMT_COLS)}
+
+    def __init__(self, spark: SparkSession, sf_dir: str,
+                 cut: Sequence[str] | Mapping[str, Sequence[str] | None] = ()):
         self.spark = spark
         self.sf_dir = sf_dir
-        self.cut = frozenset(cut)
+        self.cut = cut if isinstance(cut, Mapping) else dict.fromkeys(cut)
 
     def _cut(self, name: str, df: DataFrame) -> DataFrame:
         from riskloom.session import has_checkpoint_dir, materialize
         # Without a shared checkpoint folder the plan stays lazy (same result, more work).
         if name not in self.cut or not has_checkpoint_dir(self.spark):
             return df
-        return materialize(df, name)
+        return materialize(df.select(*self.cut[name]) if self.cut[name] else df, name)
 
     def table(self, name: str) -> DataFrame:
         return tt.read_table(self.spark, self.sf_dir, name)
@@ -61,9 +71,14 @@ class Layers:
     def macro_long(self) -> DataFrame:
         return tt.macro_long(self.macro_panel)
 
+    @cached_property
+    def macro_series(self) -> DataFrame:
+        """The series as their source has them: every year of the panel, empty values included."""
+        return tt.macro_long(self.macro_panel, keep_empty=True)
+
     @cached_property
     def raw_indicator_recent(self) -> DataFrame:
-        return reshape.recent_values(self.macro_long)
+        return reshape.recent_values(self.macro_series).filter("value IS NOT NULL")
 
     @cached_property
     def raw_macro(self) -> DataFrame:
@@ -125,3 +140,12 @@ class Layers:
     @cached_property
     def mart_regulatory_ratios(self) -> DataFrame:
         return marts.mart_regulatory_ratios(self.stg_macro)
+
+    # --- pages: all roll-ups of a report page -----------------------------------
+    @cached_property
+    def page_portfolio(self) -> DataFrame:
+        return serving.page_portfolio(self.mart_portfolio_summary)
+
+    @cached_property
+    def page_risk(self) -> DataFrame:
+        return serving.page_risk(self.mart_npl_analysis, self.mart_ecl_estimates)

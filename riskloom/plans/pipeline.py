@@ -18,15 +18,18 @@ exit code 1.
 
 from __future__ import annotations
 
+import os
+import uuid
 from collections.abc import Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
 
-from riskloom.operators import intermediate, marts, quality, staging
+from riskloom.operators import intermediate, marts, quality, serving, staging
 from riskloom.plans.layers import Layers
 from riskloom.plans.store import Store, Version
+from riskloom.session import scratch
 from riskloom.sources import footers
 from riskloom.sources.schemas import CREDIT_POSITIONAL_NAMES, RAW_CREDIT_COLUMNS
 from riskloom.sources.testtables import SOURCE_COLUMNS
@@ -39,6 +42,8 @@ class RawInputs:
     macro: DataFrame
     #: Parquet inputs whose footers the job checks: name -> (frame, columns that every file must have)
     files: Mapping[str, tuple[DataFrame, Sequence[str]]] = field(default_factory=dict)
+    #: cells of landed files that did not fit their type; their rows are not in the raw tables
+    rejected: Mapping[str, DataFrame] = field(default_factory=dict)
 
 
 def raw_from_tables(spark: SparkSession, sf_dir: str) -> RawInputs:
@@ -94,6 +99,9 @@ def run_pipeline(spark: SparkSession, raw: RawInputs, out_dir: str, with_serving
 
     build("raw", {"raw_credit": raw.credit, "raw_marketing": raw.marketing, "raw_macro": raw.macro})
 
+    if raw.rejected:
+        build("quarantine", {f"quarantine_{n}": df for n, df in raw.rejected.items()}, checked=False)
+
     # staging: lazy views over the raw tables
     t["stg_credit_default"] = staging.stg_credit_default(t["raw_credit"])
     t["stg_bank_marketing"] = staging.stg_bank_marketing(t["raw_marketing"])
@@ -109,7 +117,8 @@ def run_pipeline(spark: SparkSession, raw: RawInputs, out_dir: str, with_serving
         "mart_portfolio_summary": marts.mart_portfolio_summary(t["int_portfolio_segments"]),
         "mart_npl_analysis": marts.mart_npl_analysis(t["int_ecl_inputs"]),
         "mart_ecl_estimates": marts.mart_ecl_estimates(t["int_ecl_inputs"]),
-        "mart_vintage_curves": marts.mart_vintage_curves(t["stg_credit_default"]),
+        "mart_vintage_curves": marts.mart_vintage_curves(t["stg_credit_default"],
+                                                         dense_ids=not buckets and watch.dense_ids("raw_credit")),
         "mart_regulatory_ratios": marts.mart_regulatory_ratios(t["stg_macro"]),
     })
 
@@ -124,6 +133,10 @@ def run_pipeline(spark: SparkSession, raw: RawInputs, out_dir: str, with_serving
     }, checked=False)
 
     if with_serving:
+        build("pages", {
+            "page_portfolio": serving.page_portfolio(t["mart_portfolio_summary"]),
+            "page_risk": serving.page_risk(t["mart_npl_analysis"], t["mart_ecl_estimates"]),
+        }, checked=False)
         build("serving", {key: fn(*[t[i] for i in inputs]) for key, (fn, inputs) in serving_plan().items()}, checked=False)
     return t
 
@@ -153,17 +166,28 @@ def missing_required_columns(tables: Mapping[str, DataFrame]) -> dict[str, list[
 def raw_from_landed(spark: SparkSession, credit: str, marketing: str, macro: Mapping[str, str],
                     credit_format: str = "parquet", positional: bool = False,
                     marketing_format: str = "csv", marketing_sep: str = ",",
-                    credit_order_by=None, marketing_order_by=None) -> RawInputs:
-    """Raw inputs from landed files (see ``riskloom.sources.landed``)."""
+                    credit_order_by=None, marketing_order_by=None, quarantine: str | None = None) -> RawInputs:
+    """Raw inputs from landed files (see ``riskloom.sources.landed``).
+
+    With a ``quarantine`` folder, marketing rows with cells that do not fit
+    their type are kept out of the raw table and listed cell by cell; without
+    it such cells become NULL.
+    """
     from riskloom.sources import landed
     files = {}
     if credit_format == "parquet":
         names = list(CREDIT_POSITIONAL_NAMES) if positional else [c for c in RAW_CREDIT_COLUMNS if c != "id"]
         files["landed_credit"] = (landed.file_columns(spark, credit, "parquet", names), names)
+    rejected = {}
+    if quarantine:
+        contacts, rejected["raw_marketing"] = landed.read_marketing_quarantined(
+            spark, marketing, os.path.join(quarantine, f"split-{uuid.uuid4().hex}"), marketing_format, marketing_sep)
+    else:
+        contacts = landed.read_raw_marketing(spark, marketing, marketing_format, marketing_order_by, marketing_sep)
     return RawInputs(
-        files=files,
+        files=files, rejected=rejected,
         credit=landed.read_raw_credit(spark, credit, credit_format, positional, credit_order_by),
-        marketing=landed.read_raw_marketing(spark, marketing, marketing_format, marketing_order_by, marketing_sep),
+        marketing=contacts,
         macro=landed.read_raw_macro(spark, macro))
 
 
@@ -184,6 +208,7 @@ def main(argv=None) -> int:
     ap.add_argument("--credit-order-by", nargs="*", help="columns ordering credit rows (file has no id)")
     ap.add_argument("--marketing-order-by", nargs="*", help="columns ordering marketing rows (file has no id)")
     ap.add_argument("--no-serving", action="store_true")
+    ap.add_argument("--quarantine", action="store_true", help="keep marketing rows with bad cells out and list the cells")
     ap.add_argument("--bucketed", action="store_true", help="bucket the tables with ids by id")
     ap.add_argument("--check-row-counts", action="store_true", help="fail on the row-count rules of the raw tables, too")
     a = ap.parse_args(argv)
@@ -198,14 +223,18 @@ def main(argv=None) -> int:
             ap.error("give --tables, or --credit, --marketing and --macro")
         raw = raw_from_landed(spark, a.credit, a.marketing, dict(kv.split("=", 1) for kv in a.macro),
                               a.credit_format, a.positional, a.marketing_format, a.marketing_sep,
-                              a.credit_order_by, a.marketing_order_by)
+                              a.credit_order_by, a.marketing_order_by,
+                              os.path.join(a.out, "quarantine") if a.quarantine else None)
         from riskloom.session import size_shuffle_partitions
         size_shuffle_partitions(spark, [raw.credit, raw.marketing])
-    t = run_pipeline(spark, raw, a.out, with_serving=not a.no_serving,
-                     buckets=int(spark.conf.get("spark.sql.shuffle.partitions")) if a.bucketed else 0)
-    failed = failures(t, a.check_row_counts)
+    with scratch(spark):
+        t = run_pipeline(spark, raw, a.out, with_serving=not a.no_serving,
+                         buckets=int(spark.conf.get("spark.sql.shuffle.partitions")) if a.bucketed else 0)
+        failed = failures(t, a.check_row_counts)
     for line in failed:
         print(line)
+    for n in raw.rejected:
+        print(f"{n}: {t[f'quarantine_{n}'].select('position').distinct().count()} rows in quarantine")
     print(f"wrote {len(t)} tables under {a.out}; {len(failed)} checks failing")
     return 1 if failed else 0
 

@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import os
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -71,10 +73,36 @@ def materialize(df: DataFrame, label: str = "cut") -> DataFrame:
     spark = df.sparkSession
     base = checkpoint_dir(spark)
     path = os.path.join(base, "riskloom-tables", f"{label}-{uuid.uuid4().hex}")
+    for owner in _owners:
+        owner.append(path)
     df.write.mode("overwrite").parquet(path)
     return spark.read.parquet(path)
 
 
+_owners: list[list[str]] = []
+
+
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[list[str]]:
+    """Owner of scratch tables: deletes, at the end or on error, all that ``materialize`` wrote inside.
+
+    Use it around a query whose result is consumed inside::
+
+        with scratch(spark):
+            queries()["dq_all"](spark, folder).write.parquet(out)
+    """
+    mine: list[str] = []
+    _owners.append(mine)
+    try:
+        yield mine
+    finally:
+        _owners.remove(mine)
+        sc = spark.sparkContext
+        for path in mine:
+            at = sc._jvm.org.apache.hadoop.fs.Path(path)
+            at.getFileSystem(sc._jsc.hadoopConfiguration()).delete(at, True)
+
+
 def has_checkpoint_dir(spark: SparkSession) -> bool:
     return bool(spark.conf.get("spark.checkpoint.dir", None)
                 or spark.sparkContext.getConf().get("spark.checkpoint.dir")

@@ -142,6 +142,59 @@ def read_raw_credit_glued(spark: SparkSession, features_path: str, target_path:
         .select(*RAW_CREDIT_COLUMNS)
 
 
+MALFORMED = "_malformed"
+
+
+def split_rejected(df: DataFrame, columns: Sequence[tuple[str, Column, Column]], fmt: str, folder: str) -> tuple[DataFrame, DataFrame]:
+    """(good, rejected): typed rows without a bad cell, and one row per bad cell of the others.
+
+    Both come from one pass over the files, written under ``folder`` in two
+    parts. A cell is bad if it holds a value that does not fit the declared
+    type; a CSV line with too few or too many fields is bad as a whole (no
+    column, the line as its raw value). ``good`` has the columns and
+    ``position``; ``rejected`` has file, position, column_name, raw_value, reason.
+    """
+    spark = df.sparkSession
+    kinds = {name: cast for name, _, cast in columns}
+    bad = [F.when(raw.isNotNull() & (raw.cast("string") != "") & cast.isNull(),
+                  F.struct(F.lit(name).alias("column_name"), raw.cast("string").alias("raw_value"),
+                           F.lit(f"does not fit {kind}").alias("reason")))
+           for (name, raw, cast), kind in zip(columns, [f.dataType.simpleString() for f in df.select(*kinds.values()).schema])]
+    if MALFORMED in df.columns:
+        bad.append(F.when(F.col(MALFORMED).isNotNull(), F.struct(
+            F.lit(None).cast("string").alias("column_name"), F.col(MALFORMED).alias("raw_value"), F.lit("malformed line").alias("reason"))))
+    placed = positions.positions(df, fmt, "_position", "_file")[0].select("_file", F.col("_position").alias("position"), *kinds.values(),
+                                         F.filter(F.array(*bad), lambda x: x.isNotNull()).alias("_bad"))
+    placed = placed.withColumn("_rejected", (F.size("_bad") > 0).cast("int"))
+    placed.write.partitionBy("_rejected").parquet(folder)
+    rows = spark.read.schema(placed.schema).parquet(folder)
+    good = rows.filter("_rejected = 0").select("position", *kinds)
+    cells = rows.filter("_rejected = 1").select(F.col("_file").alias("file"), "position", F.explode("_bad").alias("b"))
+    return good, cells.select("file", "position", "b.column_name", "b.raw_value", "b.reason")
+
+
+def read_marketing_quarantined(spark: SparkSession, path: str, folder: str, fmt: str = "csv",
+                               sep: str = ",") -> tuple[DataFrame, DataFrame]:
+    """Marketing records without bad cells, and the rejected cells (see ``split_rejected``).
+
+    A file without ids gives every row its position + 1 as id, rejected rows
+    counted, so a row keeps its id when its cells are mended.
+    """
+    df = file_columns(spark, path, fmt, [*RAW_MARKETING_COLUMNS, *MARKETING_RENAMES], sep)
+    if fmt == "csv":
+        schema = StructType([StructField(c, StringType()) for c in df.columns] + [StructField(MALFORMED, StringType())])
+        df = (spark.read.schema(schema).option("header", "true").option("sep", sep).option("enforceSchema", "false")
+              .option("columnNameOfCorruptRecord", MALFORMED).csv(path))
+    df = reshape.rename_marketing(df)
+    has_id = "id" in df.columns
+    schema = StructType([f for f in RAW_MARKETING_SCHEMA.fields if has_id or f.name != "id"])
+    columns = _select(df, path, schema, {f.name: f.name for f in schema.fields})
+    good, rejected = split_rejected(df, columns, fmt, folder)
+    if not has_id:
+        good = good.withColumn("id", F.col("position") + 1)
+    return good.select(*RAW_MARKETING_COLUMNS), rejected
+
+
 def repeated_id(df: DataFrame) -> int | None:
     """One id that occurs twice or more, or None; the count collapses map-side."""
     dup = df.filter(F.col("id").isNotNull()).groupBy("id").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").take(1)

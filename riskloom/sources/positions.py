@@ -45,17 +45,17 @@ def _offsets(df: DataFrame, stats, names: list[str]) -> tuple[DataFrame, int]:
     return (F.broadcast(side) if len(rows) <= MAX_BROADCAST_FILES else side), total
 
 
-def parquet_positions(df: DataFrame, name: str = "position") -> tuple[DataFrame, int]:
-    """(``df`` with a column of positions 0..n-1, n) for a frame read from Parquet files."""
+def parquet_positions(df: DataFrame, name: str = "position", *extra: str) -> tuple[DataFrame, int]:
+    """(``df`` with a column of positions 0..n-1, n) for a frame read from Parquet files; ``extra`` may be "_file"."""
     file, row = F.col("_metadata.file_path"), F.col("_metadata.row_index")
     stats = df.groupBy(file.alias("_file")).agg(F.count(F.lit(1)).alias("_rows")).select(
         "_file", F.lit(0).alias("_split"), F.lit(0).alias("_base"), "_rows").collect()
     side, total = _offsets(df, stats, ["_file"])
     out = df.select("*", file.alias("_file"), row.alias("_row")).join(side, "_file")
-    return out.select(*df.columns, (F.col("_offset") + F.col("_row")).alias(name)), total
+    return out.select(*df.columns, *extra, (F.col("_offset") + F.col("_row")).alias(name)), total
 
 
-def stamped_positions(df: DataFrame, name: str = "position") -> tuple[DataFrame, int]:
+def stamped_positions(df: DataFrame, name: str = "position", *extra: str) -> tuple[DataFrame, int]:
     """The same for a frame read from text files: rows are stamped and written once."""
     from riskloom.session import materialize
     stamp = df.select("*", F.col("_metadata.file_path").alias("_file"), F.col("_metadata.file_block_start").alias("_split"),
@@ -64,11 +64,11 @@ def stamped_positions(df: DataFrame, name: str = "position") -> tuple[DataFrame,
     stats = part.groupBy("_file", "_split").agg(F.min("_at").alias("_base"), F.count(F.lit(1)).alias("_rows")).collect()
     side, total = _offsets(df, stats, ["_file", "_split", "_base"])
     out = part.join(side, ["_file", "_split"])
-    return out.select(*df.columns, (F.col("_offset") + F.col("_at") - F.col("_base")).alias(name)), total
+    return out.select(*df.columns, *extra, (F.col("_offset") + F.col("_at") - F.col("_base")).alias(name)), total
 
 
-def positions(df: DataFrame, fmt: str, name: str = "position") -> tuple[DataFrame, int]:
-    return parquet_positions(df, name) if fmt == "parquet" else stamped_positions(df, name)
+def positions(df: DataFrame, fmt: str, name: str = "position", *extra: str) -> tuple[DataFrame, int]:
+    return (parquet_positions if fmt == "parquet" else stamped_positions)(df, name, *extra)
 
 
 def glue(left: DataFrame, right: DataFrame, left_fmt: str = "parquet", right_fmt: str = "parquet",

@@ -160,10 +160,10 @@ def macro_panel_from_tables(orders: DataFrame, customer: DataFrame, nation: Data
     return panel.repartition("country_code")
 
 
-def macro_long(panel: DataFrame) -> DataFrame:
-    """Long form (country_code, year, indicator, value); NULL values left out."""
-    return (panel.unpivot(["country_code", "year"], list(INDICATOR_COLUMNS), "indicator", "value")
-            .filter(F.col("value").isNotNull()))
+def macro_long(panel: DataFrame, keep_empty: bool = False) -> DataFrame:
+    """Long form (country_code, year, indicator, value); NULL values left out unless ``keep_empty``."""
+    long = panel.unpivot(["country_code", "year"], list(INDICATOR_COLUMNS), "indicator", "value")
+    return long if keep_empty else long.filter(F.col("value").isNotNull())
 
 
 def macro_wide_by_year(long: DataFrame, years: list[int] | None = None) -> DataFrame:
@@ -232,3 +232,13 @@ def marketing_source_named(marketing: DataFrame) -> DataFrame:
     """Marketing frame under source-style names (id dropped, as fetched)."""
     return marketing.select(*[F.col(c).alias(n) for c, n in MARKETING_SOURCE_NAMES.items()],
                             F.col("id").alias("row_key"))
+
+
+def land_contacts(customer: DataFrame, path: str, files: int) -> str:
+    """Contacts landed as CSV in id order; balances that the source does not know read 'n/a' and some ages carry a unit."""
+    src = marketing_source_named(marketing_from_tables(customer))
+    text = src.withColumn("Balance", F.when(F.col("row_key") % 11 == 0, F.lit("n/a")).otherwise(F.col("Balance").cast("string")))
+    text = text.withColumn("Age", F.when(F.col("row_key") % 17 == 0, F.concat("Age", F.lit(" years"))).otherwise(F.col("Age").cast("string")))
+    (text.repartitionByRange(files, "row_key").sortWithinPartitions("row_key").drop("row_key")
+     .write.option("header", "true").csv(path))
+    return path

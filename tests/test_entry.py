@@ -21,4 +21,4 @@ def test_entry_loads_by_path_from_another_folder(tmp_path):
     out = subprocess.run([sys.executable, "-c", code], cwd=tmp_path, env=env,
                          capture_output=True, text=True, timeout=300)
     assert out.returncode == 0, out.stderr[-2000:]
-    assert out.stdout.strip().splitlines()[-1] == "63"
+    assert out.stdout.strip().splitlines()[-1] == "68"

@@ -49,19 +49,19 @@ def test_recent_values_wide_equals_long_pivot(spark):
     lay = Layers(spark, SF_MID)
     assert same(reshape.pivot_indicators(lay.raw_indicator_recent), lay.raw_macro)
     for n in (1, 3):
-        long_form = reshape.pivot_indicators(reshape.recent_values(lay.macro_long, n))
+        long_form = reshape.pivot_indicators(reshape.recent_values(lay.macro_series, n).filter("value IS NOT NULL"))
         assert same(long_form, reshape.recent_values_wide(lay.macro_panel, n))
 
 
 def test_rollups_match_mart_totals(spark):
     lay = Layers(spark, SF_MID)
-    s = lay.mart_portfolio_summary
-    total = s.agg(F.sum("loan_count")).first()[0]
-    for df in (serving.dash_by_dpd(s), serving.dash_by_education(s), serving.dash_by_age_band(s)):
+    page = lay.page_portfolio
+    total = lay.mart_portfolio_summary.agg(F.sum("loan_count")).first()[0]
+    for df in (serving.dash_by_dpd(page), serving.dash_by_education(page), serving.dash_by_age_band(page)):
         assert df.agg(F.sum("loan_count")).first()[0] == total
-    kpi = serving.dash_portfolio_kpis(s).first()
+    kpi = serving.dash_portfolio_kpis(page).first()
     assert kpi.total_loans == total
-    shares = serving.dash_by_education(s).agg(F.sum("share_pct")).first()[0]
+    shares = serving.dash_by_education(page).agg(F.sum("share_pct")).first()[0]
     assert abs(shares - 100.0) < 0.05
 
 

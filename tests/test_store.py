@@ -153,3 +153,45 @@ def test_the_job_passes_clean_files_and_names_a_file_without_a_column(spark, scr
     spark.read.parquet(folder).limit(3).withColumn("id", F.col("id") + 10**9).drop("X23").coalesce(1).write.mode("append").parquet(folder)
     assert P.main(args) == 1
     assert "column missing: landed_credit.X23 in part-" in capsys.readouterr().out
+
+
+def test_the_job_lists_rejected_cells(spark, scratch, capsys):
+    folder = fresh(scratch, "dirty")
+    args = landed(spark, folder, lambda df: df)
+    customer = spark.read.parquet(f"{SF_SMALL}/customer.parquet")
+    args[args.index("--marketing") + 1] = tt.land_contacts(customer, f"{folder}/contacts", 2)
+    assert P.main([*args, "--quarantine"]) == 0
+    store = Store(spark, f"{folder}/out")
+    rejected = store.read("quarantine", "quarantine_raw_marketing").select("position").distinct().count()
+    assert rejected > 0 and store.read("raw", "raw_marketing").count() + rejected == customer.count()
+    assert f"raw_marketing: {rejected} rows in quarantine" in capsys.readouterr().out
+
+
+def tables_in(spark):
+    from riskloom.session import checkpoint_dir
+    base = checkpoint_dir(spark).removeprefix("file:")
+    folder = os.path.join(base, "riskloom-tables")
+    return set(os.listdir(folder)) if os.path.isdir(folder) else set()
+
+
+def test_scratch_tables_belong_to_their_block(spark):
+    import __spark_entry__ as E
+    from riskloom.session import scratch as owned
+    before = tables_in(spark)
+    with owned(spark) as written:
+        for key in ("dq_all", "mart_ecl_estimates", "mart_vintage_curves", "surrogate_id", "page_risk"):
+            E.queries()[key](spark, SF_SMALL).collect()
+        assert len(written) >= 6 and len(tables_in(spark)) >= len(before) + 6
+    assert tables_in(spark) == before
+    with pytest.raises(ZeroDivisionError), owned(spark):
+        E.queries()["mart_ecl_estimates"](spark, SF_SMALL).collect()
+        1 / 0
+    assert tables_in(spark) == before
+
+
+def test_scratch_holds_only_the_columns_that_are_read(spark):
+    lay = Layers(spark, SF_SMALL, cut=Layers.FOR_ECL_MARTS)
+    assert len(lay.int_portfolio_segments.columns) == 7
+    whole = Layers(spark, SF_SMALL)
+    assert canon(lay.mart_npl_analysis.toPandas()) == canon(whole.mart_npl_analysis.toPandas())
+    assert canon(lay.mart_ecl_estimates.toPandas()) == canon(whole.mart_ecl_estimates.toPandas())
