@@ -14,6 +14,7 @@ from functools import cached_property
 from pyspark.sql import DataFrame, SparkSession
 
 from riskloom.operators import intermediate, marts, reshape, serving, staging
+from riskloom.session import size_shuffle_partitions
 from riskloom.sources import testtables as tt
 from riskloom.sources.schemas import BILL_AMT_COLS, PAY_STATUS_COLS
 
@@ -46,6 +47,7 @@ class Layers:
         self.spark = spark
         self.sf_dir = sf_dir
         self.cut = cut if isinstance(cut, Mapping) else dict.fromkeys(cut)
+        size_shuffle_partitions(spark, [self.table(t) for t in ("lineitem", "orders", "customer")])
 
     def _cut(self, name: str, df: DataFrame) -> DataFrame:
         from riskloom.session import has_checkpoint_dir, materialize

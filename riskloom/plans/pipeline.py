@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame, SparkSession
 from riskloom.operators import intermediate, marts, quality, serving, staging
 from riskloom.plans.layers import Layers
 from riskloom.plans.store import Store, Version
-from riskloom.session import scratch
+from riskloom.session import scratch, size_shuffle_partitions
 from riskloom.sources import footers
 from riskloom.sources.schemas import CREDIT_POSITIONAL_NAMES, RAW_CREDIT_COLUMNS
 from riskloom.sources.testtables import SOURCE_COLUMNS
@@ -91,6 +91,7 @@ def run_pipeline(spark: SparkSession, raw: RawInputs, out_dir: str, with_serving
     by up to ``workers`` concurrent jobs. ``buckets`` > 0 buckets the tables
     with ids by id.
     """
+    size_shuffle_partitions(spark, [raw.credit, raw.marketing])
     store, watch = Store(spark, out_dir), quality.WriteChecks()
     t: dict[str, DataFrame] = {}
 
@@ -214,9 +215,6 @@ def main(argv=None) -> int:
     a = ap.parse_args(argv)
     spark = build_session()
     if a.tables:
-        from riskloom.session import size_shuffle_partitions
-        from riskloom.sources.testtables import read_table
-        size_shuffle_partitions(spark, [read_table(spark, a.tables, t) for t in ("lineitem", "orders", "customer")])
         raw = raw_from_tables(spark, a.tables)
     else:
         if not (a.credit and a.marketing and a.macro):
@@ -225,8 +223,6 @@ def main(argv=None) -> int:
                               a.credit_format, a.positional, a.marketing_format, a.marketing_sep,
                               a.credit_order_by, a.marketing_order_by,
                               os.path.join(a.out, "quarantine") if a.quarantine else None)
-        from riskloom.session import size_shuffle_partitions
-        size_shuffle_partitions(spark, [raw.credit, raw.marketing])
     with scratch(spark):
         t = run_pipeline(spark, raw, a.out, with_serving=not a.no_serving,
                          buckets=int(spark.conf.get("spark.sql.shuffle.partitions")) if a.bucketed else 0)

@@ -138,18 +138,26 @@ def size_shuffle_partitions(spark: SparkSession, inputs, target_bytes: int = 256
     AQE coalesces partitions that turn out small but does not split large
     ones (apart from skewed joins), so the initial count must cover the
     largest shuffle: about total input bytes / target, never below the
-    cluster's parallelism. Applied only when the user has not set it.
+    cluster's parallelism. Applied only while the setting is Spark's default
+    or was made here before; it then only grows.
     """
     import math
 
+    now = spark.conf.get("spark.sql.shuffle.partitions")
+    own = _sized.get(spark.sparkContext.applicationId)
+    if "spark.sql.shuffle.partitions" in dict(spark.sparkContext.getConf().getAll()) or now not in ("200", own):
+        return int(now)
     total = sum(estimated_bytes(df) or 0 for df in inputs)
-    n = max(spark.sparkContext.defaultParallelism, math.ceil(total / target_bytes))
-    n = min(n, max_partitions)
-    if "spark.sql.shuffle.partitions" not in dict(spark.sparkContext.getConf().getAll()) \
-            and spark.conf.get("spark.sql.shuffle.partitions") == "200":
+    n = min(max(spark.sparkContext.defaultParallelism, math.ceil(total / target_bytes)), max_partitions)
+    if own is None or n > int(own):
         spark.conf.set("spark.sql.shuffle.partitions", str(n))
+        _sized[spark.sparkContext.applicationId] = str(n)
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
+#: shuffle partitions set by ``size_shuffle_partitions``, by application
+_sized: dict[str, str] = {}
+
+
 def table_path(sf_dir: str, name: str) -> str:
     return os.path.join(sf_dir, f"{name}.parquet")

@@ -117,6 +117,28 @@ def test_shuffle_partitions_sized_from_input(spark):
     assert size_shuffle_partitions(spark, [li], target_bytes=1024) == int(before)
 
 
+def test_shuffle_partitions_grow_with_the_tables(spark, monkeypatch):
+    """Left to the library, the count follows the input, grows only, and yields to a user's own value."""
+    from riskloom import session
+
+    class Context:
+        applicationId, defaultParallelism = "app-x", 4
+        getConf = lambda self: type("C", (), {"getAll": lambda c: []})()
+
+    class Session:
+        sparkContext = Context()
+
+        def __init__(self):
+            values = {"spark.sql.shuffle.partitions": "200"}
+            self.conf = type("C", (), {"get": lambda c, k: values[k], "set": lambda c, k, v: values.update({k: v})})()
+    s = Session()
+    monkeypatch.setattr(session, "estimated_bytes", lambda df: df)
+    size = lambda n: session.size_shuffle_partitions(s, [n])
+    assert size(10) == 4 and size(100 << 30) == 400 and size(10) == 400 and size(1 << 60) == 200_000
+    s.conf.set("spark.sql.shuffle.partitions", "77")
+    assert size(100 << 30) == 77
+
+
 def test_no_key_caps_samples_or_crosses_rows(spark):
     """Every registered query runs over whole tables: no limits, samples or keyless joins."""
     from conftest import SF_SMALL
