@@ -5,9 +5,7 @@ its failing rows; ``not_null`` counts NULL rows, ``unique`` counts key
 values that occur more than once, ``accepted_values`` counts distinct
 values outside the list; NULL is ignored by ``unique`` and
 ``accepted_values``. All not-null and accepted-values checks of a table are
-answered by one scan: a row yields one small record per check it fails
-(nothing, as a rule), and the records of all tables are added up by check and
-value. Unique checks are a partial-aggregated group-by on the key, one scan
+answered by one aggregate over one scan. Unique checks are a partial-aggregated group-by on the key, one scan
 each (a hot key collapses map-side before the shuffle).
 
 ``WriteChecks`` answers the same questions without any scan: it observes the
@@ -104,44 +102,38 @@ def fails(check: Check) -> Column:
     return c.isNull() if check.kind == "not_null" else c.isNotNull() & ~c.isin(*check.values)
 
 
-def _cell_records(df: DataFrame, checks: Sequence[tuple[int, Check]]) -> DataFrame:
-    """(check, value, n): a record per row and failed cell check, from one scan of the table."""
-    each = [F.struct(F.lit(i).alias("check"),
-                     (F.lit(None).cast("string") if c.kind == "not_null" else F.col(c.column).cast("string")).alias("value"),
-                     fails(c).alias("failed")) for i, c in checks]
-    records = df.select(F.explode(F.filter(F.array(*each), lambda x: x["failed"])).alias("r"))
-    return records.select("r.check", "r.value", F.lit(1).cast("long").alias("n"))
+def _cell_results(df: DataFrame, model: str, checks: Sequence[Check]) -> DataFrame:
+    """All not_null and accepted_values checks of a table in one aggregate, unpivoted to rows.
+
+    Bad values are counted as a distinct aggregate: all values inside the
+    list are one NULL group, which collapses in every task.
+    """
+    found = [F.count(F.when(fails(c), F.lit(1))) if c.kind == "not_null" else F.count_distinct(F.when(fails(c), F.col(c.column)))
+             for c in checks]
+    counts = df.agg(*[x.alias(f"_n{i}") for i, x in enumerate(found)])
+    rows = ", ".join(f"'{c.column}', '{c.kind}', `_n{i}`" for i, c in enumerate(checks))
+    return counts.selectExpr(f"'{model}' AS model", f"stack({len(checks)}, {rows}) AS (column_name, check_name, failing_rows)")
 
 
-def _unique_records(df: DataFrame, i: int, check: Check) -> DataFrame:
-    """(check, value, n): a record per key that occurs more than once."""
+def _unique_result(df: DataFrame, check: Check) -> DataFrame:
     present = reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in check.columns])
     dup = df.filter(present).groupBy(*check.columns).agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") > 1)
-    return dup.select(F.lit(i).alias("check"), F.lit(None).cast("string").alias("value"), F.lit(1).cast("long").alias("n"))
+    return dup.agg(F.lit(check.model).alias("model"), F.lit(check.column_name).alias("column_name"),
+                   F.lit(check.kind).alias("check_name"), F.count(F.lit(1)).alias("failing_rows"))
 
 
 def run_checks(models: Mapping[str, DataFrame], checks: Sequence[Check] = CHECKS,
                kinds: Sequence[str] = ("not_null", "unique", "accepted_values")) -> DataFrame:
     """All requested checks as one frame (model, column_name, check_name, failing_rows)."""
-    wanted = [c for c in checks if c.kind in kinds]
-    spark = next(iter(models.values())).sparkSession
     parts: list[DataFrame] = []
-    by_model: dict[str, list[tuple[int, Check]]] = {}
-    for i, c in enumerate(wanted):
-        if c.kind == "unique":
-            parts.append(_unique_records(models[c.model], i, c))
-        else:
-            by_model.setdefault(c.model, []).append((i, c))
-    parts += [_cell_records(models[m], cs) for m, cs in by_model.items()]
-    # a record of no rows for every check, so that clean ones are reported, too
-    parts.append(spark.range(len(wanted)).select(F.col("id").cast("int").alias("check"), F.lit(None).cast("string").alias("value"),
-                                                 F.lit(0).cast("long").alias("n")))
-    by_value = reduce(DataFrame.unionAll, parts).groupBy("check", "value").agg(F.sum("n").alias("n"))
-    sums = by_value.groupBy("check").agg(F.sum("n").alias("n"), F.count("value").alias("values"))
-    name = lambda f: F.element_at(F.array(*[F.lit(f(c)) for c in wanted]), F.col("check") + 1)
-    return sums.select(name(lambda c: c.model).alias("model"), name(lambda c: c.column_name).alias("column_name"),
-                       name(lambda c: c.kind).alias("check_name"),
-                       F.when(name(lambda c: c.kind) == "accepted_values", F.col("values")).otherwise(F.col("n")).alias("failing_rows"))
+    by_model: dict[str, list[Check]] = {}
+    for c in checks:
+        if c.kind == "unique" and c.kind in kinds:
+            parts.append(_unique_result(models[c.model], c))
+        elif c.kind in kinds:
+            by_model.setdefault(c.model, []).append(c)
+    parts += [_cell_results(models[m], m, cs) for m, cs in by_model.items()]
+    return reduce(DataFrame.unionByName, parts)
 
 
 class WriteChecks:
