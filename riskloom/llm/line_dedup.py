@@ -156,8 +156,8 @@ class CuckooFilter:
     def delete(self, k1: np.ndarray, k2: np.ndarray) -> CuckooFilter:
         """Take one fingerprint a key out. Only keys that were inserted may be deleted."""
         b, fp = self.places(k1, k2)
-        for i, f in zip(b.tolist(), fp.tolist()):
-            for j in (i, int(self.partner(np.uint64(i), np.uint16(f)))):
+        for i, other, f in zip(b.tolist(), self.partner(b, fp).tolist(), fp.tolist()):
+            for j in (i, other):
                 at = np.flatnonzero(self.table[j] == f)
                 if len(at):
                     self.table[j, at[0]] = 0
