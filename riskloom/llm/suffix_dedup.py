@@ -5,25 +5,28 @@ else is removed. Sorting the suffixes of all byte positions would move many
 times the input, so ranks are kept for content-defined positions only, and
 every step drops what is unique:
 
-1. Anchors are the window minima of a hash of ``GRAM`` bytes (rightmost on a
-   tie), so equal strings have equal anchors inside. The bytes from one
-   anchor to the end of the next one are a phrase; text ends are anchors too.
-   Phrases get names (64-bit hashes); unique ones are dropped.
-2. Doubling: position i takes the pair of names (i, i + 2^t) of the round
-   before as its new name, at offsets 1, 2, 4 ... phrases; unique pairs are
-   dropped; a position stops when its string is past the length looked for.
+1. Equal texts are one text with a number of copies. Anchors are the window
+   minima of a hash of ``GRAM`` bytes (rightmost on a tie), so equal strings
+   have equal anchors inside. The bytes from one anchor to the end of the next
+   one are a phrase; text ends are anchors too. Phrases have 128-bit names.
+2. Names, then pairs of ranks (i, i + 2^t) at offsets 1, 2, 4 ... phrases, are
+   counted; the repeated ones are sorted and numbered, and the number is the
+   rank of the next round. Unique pairs are dropped; a position stops when its
+   string is past the length looked for. Rounds work on ranks alone, never on
+   text, and a rank stands for one pair only: hashes enter in round 0 alone.
 3. All start bytes p with the same phrases around [p, p + length) form a
-   class. The pair of overlapping names that spans these phrases is its
-   name; where that occurs again, all starts of the class are repeated.
+   class. The two overlapping ranks that span these phrases and their number
+   name it; where that occurs again, all starts of the class are repeated.
 4. The starts left open lie at the ends of a repeat: those whose inner
-   phrases are repeated, by the same names, though the outer ones are not.
-   They are named by their own ``length`` bytes, and so is one example of
-   every repeated class that has the same inner phrases as an open start.
+   phrases are repeated, by the same bytes, though the outer ones are not.
+   They are named by their own ``length`` bytes (128 bits), and so is one
+   example of every repeated class with the same inner bytes as an open start.
 
 Names are counted by partial aggregation and joined back, so a passage with a
-third of all rows is neither one task nor a list of pairs. Names are two
-polynomial hashes mixed to 64 bits; a wrong removal takes a collision, of
-which n named strings have n^2 / 2^65 in expectation.
+third of all rows is neither one task nor a list of pairs; only distinct
+repeated pairs are sorted. Names are two polynomial hashes of 64 bits each; a
+wrong removal takes a collision in both, of which n named strings have
+n^2 / 2^129 in expectation.
 
 Defined cases: a null text is empty; texts shorter than ``length`` lose
 nothing; repeated rows are copies of each other; overlapping occurrences in
@@ -32,12 +35,11 @@ one text count; an empty table gives an empty result.
 
 from __future__ import annotations
 
-import hashlib
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from riskloom.llm.common import cut, discard, read_table
@@ -45,8 +47,6 @@ from riskloom.llm.common import cut, discard, read_table
 LENGTH = 400
 GRAM = 32
 WINDOW = 96
-#: candidate rows up to this number are looked up by broadcast before texts are shuffled
-BROADCAST_IDS = 2_000_000
 _B1, _B2 = 0x9E3779B97F4A7C15, 0xD1342543DE82EF95
 _INV1, _INV2 = pow(_B1, -1, 1 << 64), pow(_B2, -1, 1 << 64)
 _BYTE = np.random.default_rng(20240229).integers(1, 1 << 63, 256, dtype=np.uint64)
@@ -93,6 +93,13 @@ class Text:
         b = (self.h2[end] - self.h2[start]) * self.i2[start]
         return _mix(a + _mix(b + (end - start).astype(np.uint64)))
 
+    def names(self, start: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Two independent hashes of the strings [start, end), as signed longs."""
+        n = (end - start).astype(np.uint64)
+        a = (self.h1[end] - self.h1[start]) * self.i1[start]
+        b = (self.h2[end] - self.h2[start]) * self.i2[start]
+        return _mix(a + n).view(np.int64), _mix(b + _mix(n)).view(np.int64)
+
     def minima(self, gram: int = GRAM, window: int = WINDOW) -> np.ndarray:
         """For every window of ``window`` grams the position of its smallest gram hash, rightmost on a tie."""
         m = self.n - gram + 1
@@ -116,128 +123,161 @@ class Text:
         return b, np.minimum(np.concatenate([b[1:] + gram, [self.n]]), self.n)
 
 
-def _flat(docs: DataFrame) -> DataFrame:
-    """(rid, t): texts long enough to hold the string, and a 64-bit id of the row's id and text."""
-    t = F.col("text").cast("string").cast("binary")
-    return docs.select(F.xxhash64("doc_id", "text").alias("rid"), t.alias("t"))
+def _key():
+    """SHA-256 of the text: equal texts are one."""
+    return F.sha2(_bytes(), 256)
+
+
+def _bytes():
+    return F.col("text").cast("string").cast("binary")
+
+
+def _long_texts(docs: DataFrame, length: int) -> DataFrame:
+    """(k, t) of the rows whose text can hold the string."""
+    return docs.select(_bytes().alias("t"), _key().alias("k")).filter(F.octet_length("t") >= length)
 
 
 def _chunks(rows: list[tuple], names: list[str]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(np.concatenate(c)) for c in zip(*rows)], names)
 
 
-def phrase_rows(docs: DataFrame, length: int) -> DataFrame:
-    """(name, rid, i, pos, p2, q, end) of every phrase: p2 the start of its second part (the next phrase), q of its last."""
+def _per_doc(col: pa.Array) -> tuple[np.ndarray, list[np.ndarray]]:
+    """Offsets and the flattened numpy fields of a list<struct> column."""
+    off = col.offsets.to_numpy()
+    values = col.values
+    return off, [values.field(k).to_numpy(zero_copy_only=False) for k in range(values.type.num_fields)]
+
+
+def signatures(docs: DataFrame, length: int) -> DataFrame:
+    """(sid, k, w, n, steps, xy) of every different text: w its copies (1, or 2 for more), n its bytes.
+
+    ``steps`` holds the distances between phrase starts (int32), ``xy`` the
+    names of the phrases (two int64 each). ``sid`` is given once, on writing.
+    """
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        names = ["name", "rid", "i", "pos", "p2", "q", "end"]
         for b in batches:
-            out, held = [], 0
-            for rid, raw in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
+            n, steps, xy = [], [], []
+            for raw in b.column(0).to_pylist():
                 t = Text(raw)
                 s, e = t.phrases(t.minima())
+                n.append(t.n)
+                steps.append(np.diff(s, prepend=0).astype(np.int32).tobytes())
+                xy.append(np.stack(t.names(s, e), 1).tobytes())
+            yield pa.RecordBatch.from_arrays([b.column(1), pa.array(n, pa.int32()), pa.array(steps, pa.binary()),
+                                              pa.array(xy, pa.binary())], ["k", "n", "steps", "xy"])
+    rows = _long_texts(docs, length).mapInArrow(run, "k string, n int, steps binary, xy binary")
+    one = rows.groupBy("k").agg(F.count(F.lit(1)).alias("c"), F.first("n").alias("n"), F.first("steps").alias("steps"),
+                                F.first("xy").alias("xy"))
+    return cut(one.select(F.monotonically_increasing_id().alias("sid"), "k", F.least("c", F.lit(2)).cast("byte").alias("w"),
+                          "n", "steps", "xy"), "suffix-texts")
+
+
+def _starts(steps: bytes) -> np.ndarray:
+    return np.cumsum(np.frombuffer(steps, np.int32), dtype=np.int64)
+
+
+def phrase_rows(sigs: DataFrame, length: int) -> DataFrame:
+    """(x, y, sid, i, reach, w) of every phrase.
+
+    ``reach`` is the greatest number of phrases from i on that one string of
+    ``length`` can touch: the last of them starts less than ``length`` behind the second.
+    """
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        names = ["x", "y", "sid", "i", "reach", "w"]
+        for b in batches:
+            out, held = [], 0
+            for sid, w, steps, xy in zip(*(b.column(c).to_pylist() for c in range(4))):
+                s = _starts(steps)
                 n = len(s)
-                nxt = np.concatenate([s[1:], [t.n]]).astype(np.int32)
-                out.append((t.name(s, e).view(np.int64), np.full(n, rid, np.int64), np.arange(n, dtype=np.int32),
-                            s.astype(np.int32), nxt, s.astype(np.int32), e.astype(np.int32)))
+                reach = np.ones(n, np.int64)
+                reach[:-1] = np.searchsorted(s, s[1:] + length) - np.arange(n - 1)
+                name = np.frombuffer(xy, np.int64).reshape(n, 2)
+                out.append((name[:, 0], name[:, 1], np.full(n, sid, np.int64), np.arange(n, dtype=np.int32),
+                            reach.astype(np.int32), np.full(n, w, np.int8)))
                 held += n
                 if held > 1 << 17:
                     yield _chunks(out, names)
                     out, held = [], 0
             if out:
                 yield _chunks(out, names)
-    flat = _flat(docs)
-    return flat.filter(F.octet_length("t") >= length).mapInArrow(
-        run, "name bigint, rid bigint, i int, pos int, p2 int, q int, end int")
+    return sigs.select("sid", "w", "steps", "xy").mapInArrow(run, "x bigint, y bigint, sid bigint, i int, reach int, w byte")
 
 
-def repeated(rows: DataFrame, *, named: DataFrame | None = None) -> DataFrame:
-    """The rows whose ``name`` occurs twice or more, a row with ``copies`` counted as often.
+def twice(rows: DataFrame, *name: str) -> DataFrame:
+    """The names that occur twice or more, copies counted; collapsed map-side. Columns are the names with an ``r`` before."""
+    return (rows.groupBy(*name).agg(F.sum("w").alias("c")).filter("c > 1")
+            .select(*[F.col(c).alias(f"r{c}") for c in name]))
 
-    Counting collapses map-side; rows are joined, not grouped.
-    """
-    counted = rows if named is None else named
-    times = F.sum("copies") if "copies" in counted.columns else F.count(F.lit(1))
-    twice = (counted.groupBy("name").agg(times.alias("c")).filter("c > 1")
-             .select(F.col("name").alias("again")))
-    return rows.join(twice, F.col("name") == F.col("again")).drop("again")
 
+def repeated(rows: DataFrame, names: DataFrame, *name: str) -> DataFrame:
+    """The rows whose name is in ``names`` (see ``twice``): joined, not grouped."""
+    on = [F.col(c) == F.col(f"r{c}") for c in name]
+    return rows.join(names, on).drop(*[f"r{c}" for c in name])
 
-def _per_doc(col: pa.Array) -> tuple[np.ndarray, list[np.ndarray]]:
-    """Offsets and the flattened numpy fields of a list<struct> column."""
-    off = col.offsets.to_numpy()
-    values = col.values
-    return off, [values.field(k).to_numpy(zero_copy_only=False) for k in range(values.type.num_fields)]
 
+def rerank(rows: DataFrame) -> DataFrame:
+    """(sid, i, reach, w, rank) of the rows whose pair (x, y) is repeated; the rank is its number in sorted order."""
+    ranks = cut(twice(rows, "x", "y").sort("rx", "ry").withColumn("rank", F.monotonically_increasing_id()), "suffix-ranks")
+    out = cut(repeated(rows, ranks, "x", "y").select("sid", "i", "reach", "w", "rank"), "suffix-level")
+    discard(ranks)
+    return out
 
-def double(level: DataFrame, step: int, length: int) -> DataFrame:
-    """Rank pairs at offset ``step`` phrases: rows of i and i + step, as long as no string of ``length`` is past them.
 
-    Identical rows share a rid and every phrase of one is a phrase of all: a
-    set holds each once, collapsed map-side, and ``copies`` is their number.
-    """
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        names = ["name", "rid", "i", "pos", "p2", "q", "end", "copies"]
-        for b in batches:
-            off, (i, pos, p2, q, end, name) = _per_doc(b.column(1))
-            rid = np.repeat(b.column(0).to_numpy(zero_copy_only=False), np.diff(off))
-            doc = np.repeat(np.arange(b.num_rows), np.diff(off))
-            copies = b.column(2).to_numpy(zero_copy_only=False)
-            key = doc.astype(np.int64) << 32 | i
-            order = np.argsort(key, kind="stable")
-            key, i, pos, p2, q, end, name, rid, doc = (x[order] for x in (key, i, pos, p2, q, end, name, rid, doc))
-            keep = np.concatenate([[True], key[1:] != key[:-1]]) if len(key) else np.zeros(0, bool)
-            key, i, pos, p2, q, end, name, rid, doc = (x[keep] for x in (key, i, pos, p2, q, end, name, rid, doc))
-            at = np.searchsorted(key, key + step)
-            ok = at < len(key)
-            ok[ok] = key[at[ok]] == key[ok] + step
-            a = np.flatnonzero(ok)
-            z = at[a]
-            near = q[z].astype(np.int64) - p2[a] < length
-            a, z = a[near], z[near]
-            pair = _mix(_mix(name[a].view(np.uint64)) + name[z].view(np.uint64)).view(np.int64)
-            cols = (pair, rid[a], i[a], pos[a], p2[a], q[z], end[z], copies[doc[a]])
-            yield pa.RecordBatch.from_arrays([pa.array(x) for x in cols], names)
-    times = F.sum("copies") if "copies" in level.columns else F.count(F.lit(1))
-    docs = (level.groupBy("rid").agg(F.collect_set(F.struct("i", "pos", "p2", "q", "end", "name")).alias("m"), times.alias("n"))
-            .select("rid", "m", F.expr("n div size(m)").alias("copies")))
-    return docs.mapInArrow(run, "name bigint, rid bigint, i int, pos int, p2 int, q int, end int, copies bigint")
-
-
-def packed(t, i):
-    """Level and phrase number in one long: what is kept of a rank pair, as its name follows from the text."""
-    return F.shiftleft(F.lit(t).cast("long"), 32).bitwiseOR(F.col(i).cast("long"))
+def double(level: DataFrame, step: int) -> DataFrame:
+    """Rank pairs (x, y) of i and i + step, where one string can touch all 2 * step phrases."""
+    ahead = Window.partitionBy("sid").orderBy("i").rangeBetween(step, step)
+    return (level.withColumn("y", F.max("rank").over(ahead)).filter((F.col("reach") >= 2 * step) & F.col("y").isNotNull())
+            .select(F.col("rank").alias("x"), "y", "sid", "i", "reach", "w"))
+
+
+def levels(sigs: DataFrame, length: int) -> DataFrame:
+    """(sid, k, w, n, steps, m): m the (level and phrase number, rank) of every repeated rank pair of a text."""
+    level, step = rerank(phrase_rows(sigs, length)), 1
+    found = [level]
+    while True:
+        pairs = cut(double(level, step), "suffix-pairs")
+        level = rerank(pairs)
+        discard(pairs)
+        if not level.take(1):
+            discard(level)
+            break
+        found.append(level)
+        step *= 2
+    rows = None
+    for t, x in enumerate(found):
+        at = F.lit(t << 32).cast("long").bitwiseOR(F.col("i").cast("long"))
+        x = x.select(F.col("sid").alias("msid"), F.struct(at.alias("at"), "rank").alias("e"))
+        rows = x if rows is None else rows.unionByName(x)
+    marks = rows.groupBy("msid").agg(F.collect_list("e").alias("m"))
+    out = cut(sigs.join(marks, F.col("sid") == F.col("msid")).select("sid", "k", "w", "n", "steps", "m"), "suffix-marks")
+    discard(*found)
+    return out
 
 
 def _unpacked(m: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return (m >> 32).astype(np.int64), (m & 0xFFFFFFFF).astype(np.int64)
 
 
-def class_rows(texts: DataFrame, length: int) -> DataFrame:
-    """(name, rid, lo, hi): the classes of starts whose phrases around are all repeated, named by a rank pair.
-
-    ``texts`` is (rid, t, m); m holds the level and phrase number of every repeated rank pair (see ``packed``).
-    """
+def class_rows(marks: DataFrame, length: int) -> DataFrame:
+    """(x, y, z, sid, lo, hi, w): the classes of starts whose phrases around are all repeated, named by two ranks and a number."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            off, marks = b.column(2).offsets.to_numpy(), b.column(2).values.to_numpy(zero_copy_only=False)
+            off, (at, rank) = _per_doc(b.column(4))
             out = []
-            for d, (rid, raw) in enumerate(zip(b.column(0).to_pylist(), b.column(1).to_pylist())):
-                t, i = _unpacked(np.unique(marks[off[d]:off[d + 1]]))
-                text = Text(raw)
-                s, e = text.phrases(text.minima())
-                names, name = [text.name(s, e)], np.zeros(len(t), np.uint64)
-                for level in range(int(t[-1]) + 1):
-                    if level:
-                        step = 1 << (level - 1)
-                        names.append(_mix(_mix(names[-1][:-step]) + names[-1][step:]))
-                    name[t == level] = names[level][i[t == level]]
+            for d, (sid, w, n, steps) in enumerate(zip(*(b.column(c).to_pylist() for c in range(4)))):
+                key, name = at[off[d]:off[d + 1]], rank[off[d]:off[d + 1]]
+                order = np.argsort(key)
+                key, name = key[order], name[order]
+                t, i = _unpacked(key)
+                s = _starts(steps)
+                e = np.minimum(np.concatenate([s[1:] + GRAM, [n]]), n)
                 got = _classes(t, i, s[i], e[i], name, length)
                 if got is not None:
-                    nm, lo, hi = got
-                    out.append((nm.view(np.int64), np.full(len(nm), rid, np.int64), lo, hi))
+                    out.append((*got[:3], np.full(len(got[0]), sid, np.int64), *got[3:], np.full(len(got[0]), w, np.int8)))
             if out:
-                yield _chunks(out, ["name", "rid", "lo", "hi"])
-    return texts.select("rid", "t", "m").mapInArrow(run, "name bigint, rid bigint, lo int, hi int")
+                yield _chunks(out, ["x", "y", "z", "sid", "lo", "hi", "w"])
+    return marks.select("sid", "w", "n", "steps", "m").mapInArrow(
+        run, "x bigint, y bigint, z int, sid bigint, lo int, hi int, w byte")
 
 
 def _classes(t, i, pos, end, name, length):
@@ -262,9 +302,8 @@ def _classes(t, i, pos, end, name, length):
         a2 = np.minimum(np.searchsorted(key, k2), len(key) - 1)
         ok = (key[a1] == k1) & (key[a2] == k2)
         last = np.concatenate([cuts[1:] - 1, [hi]])
-        # the pair fixes the bytes; the start within them does not matter for a whole class
-        nm = _mix(_mix(name[a1] + _mix(name[a2])) + m.astype(np.uint64))
-        out.append((nm[ok], cuts[ok].astype(np.int32), last[ok].astype(np.int32)))
+        # the two ranks fix the bytes; the start within them does not matter for a whole class
+        out.append((name[a1][ok], name[a2][ok], m[ok].astype(np.int32), cuts[ok].astype(np.int32), last[ok].astype(np.int32)))
     if not out:
         return None
     return tuple(np.concatenate(c) for c in zip(*out))
@@ -273,11 +312,12 @@ def _classes(t, i, pos, end, name, length):
 class Starts:
     """All starts of one text whose inner phrases are repeated, and which of them a repeated class holds."""
 
-    def __init__(self, raw: bytes, t: np.ndarray, i: np.ndarray, lo, hi, length: int) -> None:
+    def __init__(self, raw: bytes, at: np.ndarray, lo, hi, length: int) -> None:
         self.text = text = Text(raw)
         minima = text.minima()
         self.starts, self.ends = text.phrases(minima)
         level = np.full(len(self.starts) + 1, -1, np.int64)
+        t, i = _unpacked(at)
         np.maximum.at(level, i, t)
         n = text.n - length + 1
         # phrase boundaries that every occurrence of the string shares: from its first window's minimum to its last one's
@@ -294,7 +334,7 @@ class Starts:
         self.sure = np.cumsum(done)[:n] > 0
 
     def classes(self, length: int):
-        """(key, outer, open, lo, hi): ranges of starts with the same phrases inside (key) and around (outer)."""
+        """(key, inner, outer, open, lo, hi): ranges of starts with the same phrases inside (key, from ``inner`` on) and around."""
         p = np.arange(len(self.ok))
         left = np.searchsorted(self.starts, p, "right") - 1
         right = np.searchsorted(self.ends, p + length, "left")
@@ -307,60 +347,70 @@ class Starts:
         hi = np.concatenate([lo[1:] - 1, [len(p) - 1]])
         keep = self.ok[lo]
         lo, hi = lo[keep], hi[keep]
-        key = self.text.name(self.starts[self.r0[lo]], self.starts[self.r1[lo]] + GRAM)
+        inner = self.starts[self.r0[lo]]
+        key = self.text.name(inner, self.starts[self.r1[lo]] + GRAM)
         a = self.starts[left[lo]]
         outer = _mix(self.text.name(a, self.ends[right[lo]]) + _mix(((lo - a) << 32 | (hi - lo)).astype(np.uint64)))
-        return key, outer, ~self.sure[lo], lo, hi
-
-
-def _each(b: pa.RecordBatch, length: int):
-    moff = b.column(2).offsets.to_numpy()
-    t, i = _unpacked(b.column(2).values.to_numpy(zero_copy_only=False))
-    soff, (lo, hi) = _per_doc(b.column(3))
-    for d, (rid, raw) in enumerate(zip(b.column(0).to_pylist(), b.column(1).to_pylist())):
-        mp, sp = slice(moff[d], moff[d + 1]), slice(soff[d], soff[d + 1])
-        yield d, rid, Starts(raw, t[mp], i[mp], lo[sp], hi[sp], length)
+        return key, inner, outer, ~self.sure[lo], lo, hi
 
 
 def open_classes(cands: DataFrame, length: int) -> DataFrame:
-    """(key, outer, open, rid, lo, hi): the classes of all candidate texts, one example of each."""
+    """(key, inner, outer, open, sid, lo, hi, w): the classes of all candidate texts."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             out = []
-            for _, rid, st in _each(b, length):
-                key, outer, is_open, lo, hi = st.classes(length)
-                out.append((key.view(np.int64), outer.view(np.int64), is_open, np.full(len(key), rid, np.int64),
-                            lo.astype(np.int32), hi.astype(np.int32)))
+            moff, at = b.column(3).offsets.to_numpy(), b.column(3).values.to_numpy(zero_copy_only=False)
+            soff, (slo, shi) = _per_doc(b.column(4))
+            for d, (sid, w, raw) in enumerate(zip(*(b.column(c).to_pylist() for c in range(3)))):
+                sure = slice(soff[d], soff[d + 1])
+                key, inner, outer, is_open, lo, hi = Starts(raw, at[moff[d]:moff[d + 1]], slo[sure], shi[sure], length).classes(length)
+                out.append((key.view(np.int64), inner.astype(np.int32), outer.view(np.int64), is_open,
+                            np.full(len(key), sid, np.int64), lo.astype(np.int32), hi.astype(np.int32),
+                            np.full(len(key), w, np.int8)))
             if out:
-                yield _chunks(out, ["key", "outer", "open", "rid", "lo", "hi"])
-    rows = cands.select("rid", "t", "m", "s").mapInArrow(
-        run, "key bigint, outer bigint, open boolean, rid bigint, lo int, hi int")
-    return rows.groupBy("key", "outer", "open").agg(F.min(F.struct("rid", "lo", "hi")).alias("x")).select(
-        "key", "outer", "open", "x.*")
+                yield _chunks(out, ["key", "inner", "outer", "open", "sid", "lo", "hi", "w"])
+    return cands.select("sid", "w", "t", "m", "s").mapInArrow(
+        run, "key bigint, inner int, outer bigint, open boolean, sid bigint, lo int, hi int, w byte")
 
 
-def start_rows(cands: DataFrame, length: int) -> DataFrame:
-    """(name, rid, p, open) of the open starts of every candidate text, and of the starts in its ranges ``w``."""
+def to_name(classes: DataFrame) -> DataFrame:
+    """(nsid, r): the ranges (lo, hi, open) of starts to be named.
+
+    Open ones whose inner bytes occur at a second place, and one example of
+    every repeated class with these inner bytes, as an open start may equal a start held there.
+    """
+    place = F.struct("sid", "inner")
+    keys = (classes.groupBy("key").agg(F.max("open").alias("o"), F.min(place).alias("a"), F.max(place).alias("z"),
+                                       F.max("w").alias("c"))
+            .filter("o and (a != z or c > 1)").select(F.col("key").alias("okey")))
+    told = classes.join(keys, F.col("key") == F.col("okey"))
+    some = told.filter("open").select("sid", F.struct("lo", "hi", "open").alias("r"))
+    held = (told.filter(~F.col("open")).groupBy("key", "outer").agg(F.min(F.struct("sid", "lo", "hi", "open")).alias("x"))
+            .select("x.sid", F.struct("x.lo", "x.hi", "x.open").alias("r")))
+    return some.unionByName(held).groupBy(F.col("sid").alias("nsid")).agg(F.collect_list("r").alias("r"))
+
+
+def start_rows(texts: DataFrame, length: int) -> DataFrame:
+    """(x, y, sid, p, open, w): the names of the starts in the ranges ``r`` of (sid, w, t, r)."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        names = ["name", "rid", "p", "open"]
+        names = ["x", "y", "sid", "p", "open", "w"]
         for b in batches:
             out, held = [], 0
-            woff, (wlo, whi) = _per_doc(b.column(4))
-            for d, rid, st in _each(b, length):
-                p = np.flatnonzero(st.ok & ~st.sure)
-                also = [np.arange(x, y + 1) for x, y in zip(wlo[woff[d]:woff[d + 1]], whi[woff[d]:woff[d + 1]])]
-                also = np.unique(np.concatenate(also)) if also else p[:0]
-                every = np.concatenate([p, also])
-                if len(every):
-                    out.append((st.text.name(every, every + length).view(np.int64), np.full(len(every), rid, np.int64),
-                                every.astype(np.int32), np.arange(len(every)) < len(p)))
-                    held += len(every)
+            off, (lo, hi, is_open) = _per_doc(b.column(3))
+            for d, (sid, w, raw) in enumerate(zip(*(b.column(c).to_pylist() for c in range(3)))):
+                r = slice(off[d], off[d + 1])
+                size = hi[r].astype(np.int64) - lo[r] + 1
+                p = np.arange(size.sum()) + np.repeat(lo[r] - np.cumsum(size) + size, size)
+                x, y = Text(raw).names(p, p + length)
+                out.append((x, y, np.full(len(p), sid, np.int64), p.astype(np.int32), np.repeat(is_open[r], size),
+                            np.full(len(p), w, np.int8)))
+                held += len(p)
                 if held > 1 << 17:
                     yield _chunks(out, names)
                     out, held = [], 0
             if out:
                 yield _chunks(out, names)
-    return cands.select("rid", "t", "m", "s", "w").mapInArrow(run, "name bigint, rid bigint, p int, open boolean")
+    return texts.mapInArrow(run, "x bigint, y bigint, sid bigint, p int, open boolean, w byte")
 
 
 def spans_of(lo, hi, p, length: int) -> list[tuple[int, int]]:
@@ -377,61 +427,40 @@ def spans_of(lo, hi, p, length: int) -> list[tuple[int, int]]:
 
 
 def repeated_spans(docs: DataFrame, length: int = LENGTH) -> DataFrame:
-    """(rid, t, spans) for every text with a repeated string; spans are [start, end) byte runs."""
+    """(k, t, s, p) of every different text with repeated phrases: its repeated starts, as ranges and single ones."""
     if length < 2 * WINDOW + GRAM:
         raise ValueError(f"length must be at least {2 * WINDOW + GRAM}")
-    level = cut(repeated(phrase_rows(docs, length)), "suffix-level")
-    written, marks, step = [level], [level.select("rid", packed(0, "i").alias("x"))], 1
-    while True:
-        level = cut(repeated(double(level, step, length)), "suffix-level")
-        written.append(level)
-        if not level.take(1):
-            break
-        marks.append(level.select("rid", packed(len(marks), "i").alias("x")))
-        step *= 2
-    rows = marks[0]
-    for x in marks[1:]:
-        rows = rows.unionByName(x)
-    # identical rows share a rid, and their marks are those of all of them
-    marks = cut(rows.groupBy("rid").agg(F.collect_set("x").alias("m")).withColumnRenamed("rid", "mrid"), "suffix-marks")
-    discard(*written)
-    flat = _flat(docs).filter(F.octet_length("t") >= length)
-    few = marks.count() <= BROADCAST_IDS
-
-    def with_texts(table: DataFrame) -> DataFrame:
-        some = flat.join(F.broadcast(table.select("mrid")), F.col("rid") == F.col("mrid"), "left_semi") if few else flat
-        return some.join(table, F.col("rid") == F.col("mrid"))
-
-    texts = with_texts(marks).select("rid", "t", "m")
-    sure = repeated(cut(class_rows(texts, length), "suffix-classes")).groupBy("rid").agg(
-        F.collect_set(F.struct("lo", "hi")).alias("s")).withColumnRenamed("rid", "srid")
+    sigs = signatures(docs, length)
+    marks = levels(sigs, length)
+    discard(sigs)
+    classes = cut(class_rows(marks, length), "suffix-classes")
+    # copies of one text go as a whole; their classes count, but need no answer
+    sure = repeated(classes, twice(classes, "x", "y", "z"), "x", "y", "z").groupBy(F.col("sid").alias("ssid")).agg(
+        F.collect_list(F.struct("lo", "hi")).alias("s"))
     none = F.array().cast("array<struct<lo:int,hi:int>>")
-    found = cut(marks.join(sure, F.col("mrid") == F.col("srid"), "left")
-                .select("mrid", "m", F.coalesce("s", none).alias("s")), "suffix-found")
-    discard(marks)
-    cands = cut(with_texts(found).select("rid", "t", "m", "s"), "suffix-texts")
-    discard(found)
-    # an open start may equal a start that a repeated class holds elsewhere: one example of each such class testifies
-    classes = cut(open_classes(cands, length), "suffix-open")
-    keys = classes.filter("open").select(F.col("key").alias("okey")).distinct()
-    witness = (classes.filter(~F.col("open")).join(keys, F.col("key") == F.col("okey")).groupBy("rid")
-               .agg(F.collect_set(F.struct("lo", "hi")).alias("w")).withColumnRenamed("rid", "wrid"))
-    told = cands.join(witness, F.col("rid") == F.col("wrid"), "left").select(
-        "rid", "t", "m", "s", F.coalesce("w", none).alias("w"))
-    more = repeated(start_rows(told, length)).filter("open").groupBy("rid").agg(F.collect_set("p").alias("p"))
-    more = more.select(F.col("rid").alias("prid"), "p")
-    out = cands.select("rid", "t", "s").join(more, F.col("rid") == F.col("prid"), "left")
-    return out.select("rid", "t", "s", F.coalesce("p", F.array().cast("array<int>")).alias("p"))
+    found = marks.join(sure, F.col("sid") == F.col("ssid"), "left").select(
+        "sid", F.col("k").alias("fk"), "w", F.col("m.at").alias("m"), F.coalesce("s", none).alias("s"))
+    texts = _long_texts(docs, length).groupBy("k").agg(F.first("t").alias("t"))
+    cands = cut(texts.join(found, F.col("k") == F.col("fk")).select("sid", "k", "w", "t", "m", "s"), "suffix-cands")
+    discard(marks, classes)
+    opened = cut(open_classes(cands, length), "suffix-open")
+    told = cands.select("sid", "w", "t").join(to_name(opened), F.col("sid") == F.col("nsid")).select("sid", "w", "t", "r")
+    rows = cut(start_rows(told, length), "suffix-starts")
+    discard(opened)
+    more = repeated(rows.filter("open").select("x", "y", "sid", "p"), twice(rows, "x", "y"), "x", "y")
+    more = more.groupBy(F.col("sid").alias("psid")).agg(F.collect_list("p").alias("p"))
+    out = cands.select("sid", "k", "t", "s").join(more, F.col("sid") == F.col("psid"), "left")
+    return out.select("k", "t", "s", F.coalesce("p", F.array().cast("array<int>")).alias("p"))
 
 
 def apply_spans(spans: DataFrame, length: int) -> DataFrame:
-    """(rid, n_removed, n_spans, kept) of the texts that lose bytes; one row per distinct row id."""
+    """(k, n_removed, n_spans, kept) of the texts that lose bytes."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             soff, (lo, hi) = _per_doc(b.column(2))
             poff, p = b.column(3).offsets.to_numpy(), b.column(3).values.to_numpy(zero_copy_only=False)
             out = []
-            for d, (rid, raw) in enumerate(zip(b.column(0).to_pylist(), b.column(1).to_pylist())):
+            for d, (k, raw) in enumerate(zip(b.column(0).to_pylist(), b.column(1).to_pylist())):
                 got = spans_of(lo[soff[d]:soff[d + 1]].tolist(), hi[soff[d]:soff[d + 1]].tolist(),
                                p[poff[d]:poff[d + 1]].tolist(), length)
                 if got:
@@ -440,30 +469,27 @@ def apply_spans(spans: DataFrame, length: int) -> DataFrame:
                         kept.append(raw[at:a])
                         at = z
                     kept.append(raw[at:])
-                    out.append((rid, sum(z - a for a, z in got), len(got), b"".join(kept)))
+                    out.append((k, sum(z - a for a, z in got), len(got), b"".join(kept)))
             yield pa.RecordBatch.from_arrays(
                 [pa.array(c, t) for c, t in zip(list(zip(*out)) or [[], [], [], []],
-                                                (pa.int64(), pa.int64(), pa.int64(), pa.binary()))],
-                ["rid", "n_removed", "n_spans", "kept"])
-    return spans.mapInArrow(run, "rid bigint, n_removed bigint, n_spans bigint, kept binary")
+                                                (pa.string(), pa.int64(), pa.int64(), pa.binary()))],
+                ["k", "n_removed", "n_spans", "kept"])
+    return spans.mapInArrow(run, "k string, n_removed bigint, n_spans bigint, kept binary")
 
 
 def dedup(docs: DataFrame, length: int = LENGTH) -> DataFrame:
-    """(rid, doc_id, n_bytes, n_removed, n_spans, kept_sha256) per row of ``docs`` (doc_id, text)."""
-    t = F.coalesce(F.col("text").cast("string"), F.lit("")).cast("binary")
-    every = docs.select(F.xxhash64("doc_id", "text").alias("rid"), "doc_id",
-                        F.octet_length(t).cast("long").alias("n_bytes"), F.sha2(t, 256).alias("whole"))
+    """(doc_id, n_bytes, n_removed, n_spans, kept_sha256) per row of ``docs`` (doc_id, text)."""
+    t = F.coalesce(_bytes(), F.lit("").cast("binary"))
+    every = docs.select("doc_id", F.octet_length(t).cast("long").alias("n_bytes"), F.sha2(t, 256).alias("whole"))
     lost = apply_spans(repeated_spans(docs, length), length).select(
-        F.col("rid").alias("lrid"), "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
-    lost = cut(lost, "suffix-lost").dropDuplicates(["lrid"])
-    out = every.join(lost, F.col("rid") == F.col("lrid"), "left")
+        "k", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+    out = every.join(cut(lost, "suffix-lost"), F.col("whole") == F.col("k"), "left")
     zero = F.lit(0).cast("long")
-    return out.select("rid", "doc_id", "n_bytes", F.coalesce("n_removed", zero).alias("n_removed"),
+    return out.select("doc_id", "n_bytes", F.coalesce("n_removed", zero).alias("n_removed"),
                       F.coalesce("n_spans", zero).alias("n_spans"),
                       F.coalesce("kept_sha256", "whole").alias("kept_sha256"))
 
 
 def op5_suffix_dedup(spark, sf_dir):
     """Repeated 400-byte strings removed from all documents."""
-    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
-    return dedup(docs).drop("rid")
+    return dedup(read_table(spark, sf_dir, "documents").select("doc_id", "text"))

@@ -63,10 +63,14 @@ def test_equal_rows_are_doubled_once(spark, make_docs):
     rnd = random.Random(8)
     long, other = ("".join(rnd.choice("abcdefghij") for _ in range(2000)) for _ in range(2))
     rows = [(1, long)] * 30 + [(None, other)] * 20 + [(2, other[300:1500]), (3, "".join(rnd.choice("klmn") for _ in range(900)))]
-    level = S.repeated(S.phrase_rows(make_docs(rows), 400)).cache()
-    got = S.repeated(S.double(level, 1, 400)).collect()
-    assert len({(r["rid"], r["i"]) for r in got}) == len(got) > 0
-    assert {r["copies"] for r in got} == {30, 20, 1}
+    sigs = S.signatures(make_docs(rows), 400)
+    assert sorted(r["w"] for r in sigs.collect()) == [1, 1, 2, 2]
+    level = S.rerank(S.phrase_rows(sigs, 400))
+    got = S.rerank(S.double(level, 1)).collect()
+    assert len({(r["sid"], r["i"]) for r in got}) == len(got) > 0
+    # one rank a repeated pair, the same wherever it stands
+    flat = {r["sid"]: r["w"] for r in got}
+    assert sorted(flat.values()) == [1, 2, 2]
     assert digest(S.dedup(make_docs(rows))) == brute(rows, 400)
 
 
