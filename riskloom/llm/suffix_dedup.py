@@ -19,8 +19,9 @@ every step drops what is unique:
    name it; where that occurs again, all starts of the class are repeated.
 4. The starts left open lie at the ends of a repeat: those whose inner
    phrases are repeated, by the same bytes, though the outer ones are not.
-   They are named by their own ``length`` bytes (128 bits), and so is one
-   example of every repeated class with the same inner bytes as an open start.
+   Blocks of them are named by the bytes that their strings share, then the
+   starts of repeated blocks by their own ``length`` bytes (128 bits); so is
+   one example of every repeated class with the same inner bytes as an open start.
 
 Names are counted by partial aggregation and joined back, so a passage with a
 third of all rows is neither one task nor a list of pairs; only distinct
@@ -46,7 +47,9 @@ from riskloom.llm.common import cut, discard, read_table
 
 LENGTH = 400
 GRAM = 32
-WINDOW = 96
+WINDOW = 112
+#: starts of an open range are looked up by blocks of so many before they are named one by one
+BLOCK = 16
 _B1, _B2 = 0x9E3779B97F4A7C15, 0xD1342543DE82EF95
 _INV1, _INV2 = pow(_B1, -1, 1 << 64), pow(_B2, -1, 1 << 64)
 _BYTE = np.random.default_rng(20240229).integers(1, 1 << 63, 256, dtype=np.uint64)
@@ -373,21 +376,72 @@ def open_classes(cands: DataFrame, length: int) -> DataFrame:
         run, "key bigint, inner int, outer bigint, open boolean, sid bigint, lo int, hi int, w byte")
 
 
+def _places(rows: DataFrame, *place: str) -> DataFrame:
+    return rows.withColumn("place", F.xxhash64(*place))
+
+
+def _shared(rows: DataFrame, *name: str) -> DataFrame:
+    """Names (with an ``r`` before) that an open row has and that occur at two places or in copies; one place may have many rows."""
+    return (rows.groupBy(*name).agg(F.max("open").alias("o"), F.min("place").alias("a"), F.max("place").alias("z"),
+                                    F.max("w").alias("c"))
+            .filter("o and (a != z or c > 1)").select(*[F.col(c).alias(f"r{c}") for c in name]))
+
+
+def _by_text(ranges: DataFrame) -> DataFrame:
+    """(nsid, r): the ranges of every text."""
+    return ranges.groupBy(F.col("sid").alias("nsid")).agg(F.collect_list(F.struct("lo", "hi", "inner", "open")).alias("r"))
+
+
 def to_name(classes: DataFrame) -> DataFrame:
-    """(nsid, r): the ranges (lo, hi, open) of starts to be named.
+    """(nsid, r): the ranges (lo, hi, inner, open) of starts to be looked up.
 
     Open ones whose inner bytes occur at a second place, and one example of
     every repeated class with these inner bytes, as an open start may equal a start held there.
     """
-    place = F.struct("sid", "inner")
-    keys = (classes.groupBy("key").agg(F.max("open").alias("o"), F.min(place).alias("a"), F.max(place).alias("z"),
-                                       F.max("w").alias("c"))
-            .filter("o and (a != z or c > 1)").select(F.col("key").alias("okey")))
-    told = classes.join(keys, F.col("key") == F.col("okey"))
-    some = told.filter("open").select("sid", F.struct("lo", "hi", "open").alias("r"))
-    held = (told.filter(~F.col("open")).groupBy("key", "outer").agg(F.min(F.struct("sid", "lo", "hi", "open")).alias("x"))
-            .select("x.sid", F.struct("x.lo", "x.hi", "x.open").alias("r")))
-    return some.unionByName(held).groupBy(F.col("sid").alias("nsid")).agg(F.collect_list("r").alias("r"))
+    told = repeated(classes, _shared(_places(classes, "sid", "inner"), "key"), "key")
+    some = told.filter("open").select("sid", "lo", "hi", "inner", "open")
+    # grouped by other columns than the join's, so that a hot key of the join can be split
+    held = (told.filter(~F.col("open")).withColumn("both", F.col("key").bitwiseXOR(F.col("outer"))).groupBy("both", "outer")
+            .agg(F.min(F.struct("sid", "lo", "hi", "inner", "open")).alias("x")).select("x.*"))
+    return _by_text(some.unionByName(held))
+
+
+def _ranges(b: pa.RecordBatch):
+    off, (lo, hi, inner, is_open) = _per_doc(b.column(3))
+    for d, (sid, w, raw) in enumerate(zip(*(b.column(c).to_pylist() for c in range(3)))):
+        r = slice(off[d], off[d + 1])
+        yield sid, w, Text(raw), lo[r].astype(np.int64), hi[r].astype(np.int64), inner[r].astype(np.int64), is_open[r]
+
+
+def _each(first: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """first, first + 1 ... of every run, ``size`` numbers each."""
+    return np.arange(size.sum()) + np.repeat(first - np.cumsum(size) + size, size)
+
+
+def block_rows(texts: DataFrame, length: int) -> DataFrame:
+    """(x, y, sid, at, lo, hi, inner, open, w): the ranges ``r`` of (sid, w, t, r) cut into blocks.
+
+    Blocks lie at multiples of ``BLOCK`` before the range's inner phrases. A
+    block is named by the bytes, from ``at`` on, that all strings of a whole block share.
+    """
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        names = ["x", "y", "sid", "at", "lo", "hi", "inner", "open", "w"]
+        for b in batches:
+            out = []
+            for sid, w, text, lo, hi, inner, is_open in _ranges(b):
+                first = (inner - hi) // BLOCK
+                size = (inner - lo) // BLOCK - first + 1
+                lo, hi, inner, is_open = (np.repeat(c, size) for c in (lo, hi, inner, is_open))
+                at = inner - BLOCK * _each(first, size)
+                x, y = text.names(at, at + (length - BLOCK + 1))
+                n = len(at)
+                out.append((x, y, np.full(n, sid, np.int64), at.astype(np.int32),
+                            np.maximum(lo, at - BLOCK + 1).astype(np.int32), np.minimum(hi, at).astype(np.int32),
+                            inner.astype(np.int32), is_open, np.full(n, w, np.int8)))
+            if out:
+                yield _chunks(out, names)
+    return texts.mapInArrow(
+        run, "x bigint, y bigint, sid bigint, at int, lo int, hi int, inner int, open boolean, w byte")
 
 
 def start_rows(texts: DataFrame, length: int) -> DataFrame:
@@ -396,13 +450,11 @@ def start_rows(texts: DataFrame, length: int) -> DataFrame:
         names = ["x", "y", "sid", "p", "open", "w"]
         for b in batches:
             out, held = [], 0
-            off, (lo, hi, is_open) = _per_doc(b.column(3))
-            for d, (sid, w, raw) in enumerate(zip(*(b.column(c).to_pylist() for c in range(3)))):
-                r = slice(off[d], off[d + 1])
-                size = hi[r].astype(np.int64) - lo[r] + 1
-                p = np.arange(size.sum()) + np.repeat(lo[r] - np.cumsum(size) + size, size)
-                x, y = Text(raw).names(p, p + length)
-                out.append((x, y, np.full(len(p), sid, np.int64), p.astype(np.int32), np.repeat(is_open[r], size),
+            for sid, w, text, lo, hi, _, is_open in _ranges(b):
+                size = hi - lo + 1
+                p = _each(lo, size)
+                x, y = text.names(p, p + length)
+                out.append((x, y, np.full(len(p), sid, np.int64), p.astype(np.int32), np.repeat(is_open, size),
                             np.full(len(p), w, np.int8)))
                 held += len(p)
                 if held > 1 << 17:
@@ -443,10 +495,16 @@ def repeated_spans(docs: DataFrame, length: int = LENGTH) -> DataFrame:
     texts = _long_texts(docs, length).groupBy("k").agg(F.first("t").alias("t"))
     cands = cut(texts.join(found, F.col("k") == F.col("fk")).select("sid", "k", "w", "t", "m", "s"), "suffix-cands")
     discard(marks, classes)
+
+    def with_ranges(ranges: DataFrame) -> DataFrame:
+        return cands.select("sid", "w", "t").join(ranges, F.col("sid") == F.col("nsid")).select("sid", "w", "t", "r")
+
     opened = cut(open_classes(cands, length), "suffix-open")
-    told = cands.select("sid", "w", "t").join(to_name(opened), F.col("sid") == F.col("nsid")).select("sid", "w", "t", "r")
-    rows = cut(start_rows(told, length), "suffix-starts")
+    blocks = cut(block_rows(with_ranges(to_name(opened)), length), "suffix-blocks")
     discard(opened)
+    kept = repeated(blocks, _shared(_places(blocks, "sid", "at"), "x", "y"), "x", "y")
+    rows = cut(start_rows(with_ranges(_by_text(kept)), length), "suffix-starts")
+    discard(blocks)
     more = repeated(rows.filter("open").select("x", "y", "sid", "p"), twice(rows, "x", "y"), "x", "y")
     more = more.groupBy(F.col("sid").alias("psid")).agg(F.collect_list("p").alias("p"))
     out = cands.select("sid", "k", "t", "s").join(more, F.col("sid") == F.col("psid"), "left")
