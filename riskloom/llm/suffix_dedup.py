@@ -19,8 +19,9 @@ every step drops what is unique:
    name it; where that occurs again, all starts of the class are repeated.
 4. The starts left open lie at the ends of a repeat: those whose inner
    phrases are repeated, by the same bytes, though the outer ones are not.
-   Blocks of them are named by the bytes that their strings share, then the
-   starts of repeated blocks by their own ``length`` bytes (128 bits); so is
+   Blocks of them are named by the bytes that their strings share and by those
+   they cover; where the latter repeat, the whole block does. Starts of blocks
+   that only share repeated bytes are named by their own ``length`` bytes (128 bits); so is
    one example of every repeated class with the same inner bytes as an open start.
 
 Names are counted by partial aggregation and joined back, so a passage with a
@@ -419,13 +420,14 @@ def _each(first: np.ndarray, size: np.ndarray) -> np.ndarray:
 
 
 def block_rows(texts: DataFrame, length: int) -> DataFrame:
-    """(x, y, sid, at, lo, hi, inner, open, w): the ranges ``r`` of (sid, w, t, r) cut into blocks.
+    """(x, y, u, v, whole, sid, at, lo, hi, inner, open, w): the ranges ``r`` of (sid, w, t, r) cut into blocks.
 
     Blocks lie at multiples of ``BLOCK`` before the range's inner phrases. A
-    block is named by the bytes, from ``at`` on, that all strings of a whole block share.
+    block is named by the bytes, from ``at`` on, that all strings of a whole block share (x, y),
+    and, where the range holds it wholly, by the bytes that they cover (u, v).
     """
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        names = ["x", "y", "sid", "at", "lo", "hi", "inner", "open", "w"]
+        names = ["x", "y", "u", "v", "whole", "sid", "at", "lo", "hi", "inner", "open", "w"]
         for b in batches:
             out = []
             for sid, w, text, lo, hi, inner, is_open in _ranges(b):
@@ -435,13 +437,39 @@ def block_rows(texts: DataFrame, length: int) -> DataFrame:
                 at = inner - BLOCK * _each(first, size)
                 x, y = text.names(at, at + (length - BLOCK + 1))
                 n = len(at)
-                out.append((x, y, np.full(n, sid, np.int64), at.astype(np.int32),
+                whole = (lo <= at - BLOCK + 1) & (hi >= at)
+                u, v = text.names(np.where(whole, at - BLOCK + 1, at), np.where(whole, at + length, at))
+                out.append((x, y, u, v, whole, np.full(n, sid, np.int64), at.astype(np.int32),
                             np.maximum(lo, at - BLOCK + 1).astype(np.int32), np.minimum(hi, at).astype(np.int32),
                             inner.astype(np.int32), is_open, np.full(n, w, np.int8)))
             if out:
                 yield _chunks(out, names)
     return texts.mapInArrow(
-        run, "x bigint, y bigint, sid bigint, at int, lo int, hi int, inner int, open boolean, w byte")
+        run, "x bigint, y bigint, u bigint, v bigint, whole boolean, sid bigint, at int, lo int, hi int, inner int, "
+             "open boolean, w byte")
+
+
+def settled(blocks: DataFrame) -> DataFrame:
+    """The blocks whose shared bytes an open block has twice, with ``done``: all its strings are repeated."""
+    placed = _places(blocks, "sid", "at")
+    kept = repeated(placed, _shared(placed, "x", "y"), "x", "y")
+    whole = (placed.filter("whole").groupBy("u", "v").agg(F.min("place").alias("a"), F.max("place").alias("z"), F.max("w").alias("c"))
+             .filter("a != z or c > 1").select(F.col("u").alias("ru"), F.col("v").alias("rv")))
+    on = F.col("whole") & (F.col("u") == F.col("ru")) & (F.col("v") == F.col("rv"))
+    return cut(kept.join(whole, on, "left").withColumn("done", F.col("ru").isNotNull()).drop("ru", "rv", "place"), "suffix-settled")
+
+
+def single(marked: DataFrame) -> DataFrame:
+    """(nsid, r): the ranges to be named start by start.
+
+    Blocks not done whose shared bytes an open one of them has, and one example of every done block with these bytes.
+    """
+    keys = marked.filter("open and not done").select(F.col("x").alias("rx"), F.col("y").alias("ry")).distinct()
+    live = repeated(marked, keys, "x", "y")
+    some = live.filter("not done").select("sid", "lo", "hi", "inner", "open")
+    held = (live.filter("done").groupBy("u", "v").agg(F.min(F.struct("sid", "lo", "hi", "inner")).alias("x"))
+            .select("x.*", F.lit(False).alias("open")))
+    return _by_text(some.unionByName(held))
 
 
 def start_rows(texts: DataFrame, length: int) -> DataFrame:
@@ -502,13 +530,16 @@ def repeated_spans(docs: DataFrame, length: int = LENGTH) -> DataFrame:
     opened = cut(open_classes(cands, length), "suffix-open")
     blocks = cut(block_rows(with_ranges(to_name(opened)), length), "suffix-blocks")
     discard(opened)
-    kept = repeated(blocks, _shared(_places(blocks, "sid", "at"), "x", "y"), "x", "y")
-    rows = cut(start_rows(with_ranges(_by_text(kept)), length), "suffix-starts")
+    marked = settled(blocks)
     discard(blocks)
+    rows = cut(start_rows(with_ranges(single(marked)), length), "suffix-starts")
+    done = marked.filter("open and done").groupBy(F.col("sid").alias("dsid")).agg(
+        F.collect_list(F.struct("lo", "hi")).alias("d"))
     more = repeated(rows.filter("open").select("x", "y", "sid", "p"), twice(rows, "x", "y"), "x", "y")
     more = more.groupBy(F.col("sid").alias("psid")).agg(F.collect_list("p").alias("p"))
-    out = cands.select("sid", "k", "t", "s").join(more, F.col("sid") == F.col("psid"), "left")
-    return out.select("k", "t", "s", F.coalesce("p", F.array().cast("array<int>")).alias("p"))
+    out = (cands.select("sid", "k", "t", "s").join(more, F.col("sid") == F.col("psid"), "left")
+           .join(done, F.col("sid") == F.col("dsid"), "left"))
+    return out.select("k", "t", F.concat("s", F.coalesce("d", none)).alias("s"), F.coalesce("p", F.array().cast("array<int>")).alias("p"))
 
 
 def apply_spans(spans: DataFrame, length: int) -> DataFrame:
