@@ -338,11 +338,14 @@ class Starts:
         self.sure = np.cumsum(done)[:n] > 0
 
     def classes(self, length: int):
-        """(key, inner, outer, open, lo, hi): ranges of starts with the same phrases inside (key, from ``inner`` on) and around."""
+        """(key, inner, outer, open, lo, hi): ranges of starts with the same phrases inside (key, from ``inner`` on).
+
+        Those in a repeated class have the same phrases around too (outer); open ones are one range whatever lies around.
+        """
         p = np.arange(len(self.ok))
         left = np.searchsorted(self.starts, p, "right") - 1
         right = np.searchsorted(self.ends, p + length, "left")
-        kinds = (self.ok, self.sure, self.r0, self.r1, left, right)
+        kinds = (self.ok, self.sure, self.r0, self.r1, np.where(self.sure, left, 0), np.where(self.sure, right, 0))
         edge = np.zeros(len(p), bool)
         edge[:1] = True
         for k in kinds:
@@ -399,12 +402,12 @@ def to_name(classes: DataFrame) -> DataFrame:
     Open ones whose inner bytes occur at a second place, and one example of
     every repeated class with these inner bytes, as an open start may equal a start held there.
     """
-    told = repeated(classes, _shared(_places(classes, "sid", "inner"), "key"), "key")
-    some = told.filter("open").select("sid", "lo", "hi", "inner", "open")
-    # grouped by other columns than the join's, so that a hot key of the join can be split
-    held = (told.filter(~F.col("open")).withColumn("both", F.col("key").bitwiseXOR(F.col("outer"))).groupBy("both", "outer")
-            .agg(F.min(F.struct("sid", "lo", "hi", "inner", "open")).alias("x")).select("x.*"))
-    return _by_text(some.unionByName(held))
+    # a repeated class is at a second place, whatever its example; copies of it collapse before the shuffle
+    held = classes.filter(~F.col("open")).dropDuplicates(["key", "outer"]).withColumn("w", F.lit(2).cast("byte"))
+    some = cut(classes.filter("open").unionByName(held), "suffix-examples")
+    # written, so that the join is one of two plain shuffles, whose hot keys are split
+    keys = cut(_shared(_places(some, "sid", "inner"), "key"), "suffix-keys")
+    return _by_text(repeated(some, keys, "key").select("sid", "lo", "hi", "inner", "open"))
 
 
 def _ranges(b: pa.RecordBatch):
@@ -424,7 +427,7 @@ def block_rows(texts: DataFrame, length: int) -> DataFrame:
 
     Blocks lie at multiples of ``BLOCK`` before the range's inner phrases. A
     block is named by the bytes, from ``at`` on, that all strings of a whole block share (x, y),
-    and, where the range holds it wholly, by the bytes that they cover (u, v).
+    and, where the text holds it wholly, by the bytes that they cover (u, v).
     """
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         names = ["x", "y", "u", "v", "whole", "sid", "at", "lo", "hi", "inner", "open", "w"]
@@ -437,7 +440,7 @@ def block_rows(texts: DataFrame, length: int) -> DataFrame:
                 at = inner - BLOCK * _each(first, size)
                 x, y = text.names(at, at + (length - BLOCK + 1))
                 n = len(at)
-                whole = (lo <= at - BLOCK + 1) & (hi >= at)
+                whole = (at >= BLOCK - 1) & (at + length <= text.n)
                 u, v = text.names(np.where(whole, at - BLOCK + 1, at), np.where(whole, at + length, at))
                 out.append((x, y, u, v, whole, np.full(n, sid, np.int64), at.astype(np.int32),
                             np.maximum(lo, at - BLOCK + 1).astype(np.int32), np.minimum(hi, at).astype(np.int32),
@@ -463,12 +466,13 @@ def single(marked: DataFrame) -> DataFrame:
     """(nsid, r): the ranges to be named start by start.
 
     Blocks not done whose shared bytes an open one of them has, and one example of every done block with these bytes.
+    The example is a whole block, whatever its range; it may reach into other ranges, where its starts are repeated as well.
     """
     keys = marked.filter("open and not done").select(F.col("x").alias("rx"), F.col("y").alias("ry")).distinct()
     live = repeated(marked, keys, "x", "y")
     some = live.filter("not done").select("sid", "lo", "hi", "inner", "open")
-    held = (live.filter("done").groupBy("u", "v").agg(F.min(F.struct("sid", "lo", "hi", "inner")).alias("x"))
-            .select("x.*", F.lit(False).alias("open")))
+    held = live.filter("done").dropDuplicates(["u", "v"]).select(
+        "sid", (F.col("at") - (BLOCK - 1)).alias("lo"), F.col("at").alias("hi"), "inner", F.lit(False).alias("open"))
     return _by_text(some.unionByName(held))
 
 
