@@ -6,9 +6,13 @@ plus a 64-bit rolling hash, broadcast to the tasks; every document is one
 pass: words to numbers, runs of benchmark words, hash look-up, then an exact
 comparison of the numbers. A word inside any occurrence of a window is hit.
 
-The broadcast is bounded: the benchmark is cut into slices of at most
-``slice_bytes`` of text, by a hash of the item, and each slice is one more
+The broadcast is bounded: distinct items are cut into slices of at most
+``slice_bytes`` (measured), by a hash of the item, and each slice is one more
 pass that adds its hits to those of the passes before. No row is shuffled.
+A benchmark that takes more than ``MAX_SLICES`` of them, or has a slice that
+is too large, is joined: a bit set of fixed size over the window hashes is
+broadcast, the document windows that it lets through are shuffled once a
+different text and joined with the benchmark's windows by their words.
 
 Defined cases: a null text (document or item) has no words; a text without
 words hits nothing; repeated items count once per distinct ``item_id``;
@@ -21,16 +25,25 @@ from __future__ import annotations
 import hashlib
 import math
 import re
+import zlib
+from collections.abc import Iterator
 from itertools import repeat
 
 import numpy as np
-from pyspark.sql import DataFrame
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from riskloom.llm.common import ALNUM_TABLE, map_text
+from riskloom.llm.common import ALNUM_TABLE, cut, map_text
 
 WINDOW = 10
-SLICE_BYTES = 16 << 20
+SLICE_BYTES = 8 << 20
+#: a plan has one Arrow map a slice, so their number is bounded too
+MAX_SLICES = 4
+#: bits of the window filter of larger benchmarks (16 MB); a full filter lets more rows through, results are the same
+FILTER_BITS = 1 << 27
+#: bits of one ``bitmap_construct_agg``
+_BUCKET = 1 << 15
 _WORD = re.compile(rb"[0-9a-zA-Z\x80-\xff]+")
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 
@@ -97,23 +110,37 @@ class WindowIndex:
         return flags, items
 
 
-def _slices(benchmark: DataFrame, slice_bytes: int) -> int:
-    total = benchmark.agg(F.sum(F.octet_length(F.col("text")))).first()[0] or 0
+def _slices(items: DataFrame, at: Column, slice_bytes: int) -> int:
+    """The number of slices; 0 where the bound can't be kept. ``at`` is the hash that deals the items."""
+    size = F.sum(sum(F.coalesce(F.octet_length(c), F.lit(0)) for c in ("text", "item_id")))
+    total = items.agg(size).first()[0] or 0
+    if total <= slice_bytes:
+        return 1
     # hashed slices are uneven: aim at half the bound
-    return 1 if total <= slice_bytes else math.ceil(2 * total / slice_bytes)
+    slices = math.ceil(2 * total / slice_bytes)
+    if slices > MAX_SLICES:
+        return 0
+    largest = items.groupBy(F.pmod(at, F.lit(slices)).alias("s")).agg(size.alias("n")).agg(F.max("n")).first()[0]
+    return slices if largest <= slice_bytes else 0
 
 
 def scan(docs: DataFrame, benchmark: DataFrame, keep: list[str], n: int = WINDOW,
          slice_bytes: int = SLICE_BYTES, text: str = "text") -> DataFrame:
     """``keep`` columns plus ``n_words``, ``hit_words`` (sorted word positions), ``items`` (sorted ids as text)."""
-    sc = docs.sparkSession.sparkContext
     items = benchmark.select(F.col("item_id").cast("string").alias("item_id"),
-                             F.col("text").cast("string").alias("text"))
-    slices = _slices(items, slice_bytes)
-    at = F.pmod(F.xxhash64("item_id", "text"), F.lit(slices))
+                             F.col("text").cast("string").alias("text")).distinct()
+    at = F.xxhash64("item_id", "text")
+    slices = _slices(items, at, slice_bytes)
+    if not slices:
+        return scan_by_join(docs, items, keep, n, text)
+    return scan_by_slices(docs, items, keep, n, [items.filter(F.pmod(at, F.lit(slices)) == s) for s in range(slices)], text)
+
+
+def scan_by_slices(docs: DataFrame, items: DataFrame, keep: list[str], n: int, parts: list[DataFrame], text: str) -> DataFrame:
+    """``scan`` with the windows of each part of the items broadcast."""
+    sc = docs.sparkSession.sparkContext
     out, names = None, list(keep)
-    for s in range(slices):
-        part = items if slices == 1 else items.filter(at == s)
+    for s, part in enumerate(parts if len(parts) > 1 else [items]):
         rows = [(r[0], None if r[1] is None else r[1].encode()) for r in part.collect()]
         index = sc.broadcast(WindowIndex(rows, n))
 
@@ -137,15 +164,104 @@ def scan(docs: DataFrame, benchmark: DataFrame, keep: list[str], n: int = WINDOW
         fields = "n_words bigint, hit_words array<int>, items array<string>"
         if out is None:
             # the text stays on board only while another slice has to read it
-            held = names if slices == 1 else [*names, text] if text not in names else names
+            held = names if len(parts) == 1 else [*names, text] if text not in names else names
             out = map_text(docs, held, make, fields, text=text)
         else:
-            last = s == slices - 1
+            last = s == len(parts) - 1
             held = names if last or text in names else [*names, text]
             out = map_text(out, held, make, fields, text=text, extra=["hit_words", "items"])
     return out
 
 
+def _codes(words: list[bytes]) -> np.ndarray:
+    return np.fromiter(map(zlib.crc32, words), np.uint64, len(words))
+
+
+def _bits(codes: np.ndarray, size: int, filter_bits: int) -> np.ndarray:
+    """The bit of every window of ``size`` words; ``filter_bits`` is a power of two."""
+    h = _hashes(codes + np.uint64(1), size)
+    h = (h ^ (h >> np.uint64(32))) * _BASE
+    return (h >> np.uint64(65 - filter_bits.bit_length())).astype(np.int64)
+
+
+def _windows(items: DataFrame, n: int, filter_bits: int) -> DataFrame:
+    """(item_id, size, bit, win) of the windows of all items; ``win`` is the words with a space between."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            for item, t in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
+                words = words_of(t)
+                size = min(n, len(words))
+                if size:
+                    wins = [b" ".join(words[i:i + size]) for i in range(len(words) - size + 1)]
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array([item] * len(wins), pa.string()), pa.array([size] * len(wins), pa.int32()),
+                         pa.array(_bits(_codes(words), size, filter_bits)), pa.array(wins, pa.binary())],
+                        ["item_id", "size", "bit", "win"])
+    return items.select("item_id", F.col("text").cast("binary")).mapInArrow(
+        run, "item_id string, size int, bit bigint, win binary")
+
+
+def _proposed(docs: DataFrame, sizes: list[int], bitmap: bytes, filter_bits: int, text: str) -> DataFrame:
+    """(text_key, pos, size, win) of the document windows that the filter lets through, once a different text."""
+    sent = docs.sparkSession.sparkContext.broadcast(bitmap)
+    names = ["text_key", "pos", "size", "win"]
+    types = (pa.string(), pa.int32(), pa.int32(), pa.binary())
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        bits, out = np.frombuffer(sent.value, np.uint8), []
+
+        def batch():
+            return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out), types)], names)
+
+        for b in batches:
+            for t in b.column(0).to_pylist():
+                words = words_of(t)
+                codes, key = _codes(words), hashlib.sha256(t).hexdigest()
+                for size in (k for k in sizes if k <= len(words)):
+                    bit = _bits(codes, size, filter_bits)
+                    for i in np.flatnonzero(bits[bit >> 3] >> (bit & 7).astype(np.uint8) & 1).tolist():
+                        out.append((key, i, size, b" ".join(words[i:i + size])))
+                        if len(out) >= 1 << 16:
+                            yield batch()
+                            out.clear()
+        if out:
+            yield batch()
+    texts = docs.select(F.col(f"`{text}`").cast("string").cast("binary").alias("t")).filter("t is not null")
+    return texts.mapInArrow(run, "text_key string, pos int, size int, win binary").distinct()
+
+
+def scan_by_join(docs: DataFrame, items: DataFrame, keep: list[str], n: int = WINDOW, text: str = "text",
+                 filter_bits: int = FILTER_BITS) -> DataFrame:
+    """``scan`` without a table of the benchmark in any task: windows that pass a bit set are joined by their words."""
+    # one row a different window; copies of an item's window collapse before the shuffle
+    wins = _windows(items, n, filter_bits)
+    table = cut(wins.groupBy("win", "size", "bit").agg(F.collect_set("item_id").alias("ids")), "benchmark-windows")
+    sizes = sorted(r[0] for r in table.select("size").distinct().collect())
+    # at most filter_bits / 2^15 rows of 4 KB
+    bitmap = bytearray(max(filter_bits, _BUCKET) // 8)
+    for r in (table.groupBy(F.expr(f"bit div {_BUCKET}").alias("b"))
+              .agg(F.bitmap_construct_agg(F.col("bit") % _BUCKET).alias("m")).toLocalIterator()):
+        at = r["b"] * _BUCKET // 8
+        bitmap[at:at + len(r["m"])] = r["m"]
+    found = cut(_proposed(docs, sizes, bytes(bitmap), filter_bits, text), "proposed-windows")
+    hits = found.join(table.select(F.col("win").alias("bwin"), "ids"), F.col("win") == F.col("bwin"))
+    # one list a different text, as long as the text's own hits
+    hits = cut(hits.groupBy(F.col("text_key").alias("hkey")).agg(
+        F.sort_array(F.array_distinct(F.flatten(F.collect_list(F.expr("sequence(pos, pos + size - 1)"))))).alias("hit_words"),
+        F.sort_array(F.array_distinct(F.flatten(F.collect_set("ids")))).alias("items")), "benchmark-hits")
+
+    def make():
+        return lambda texts: ([len(words_of(t)) for t in texts],
+                              [None if t is None else hashlib.sha256(t).hexdigest() for t in texts])
+
+    cols = [f"k{i}" for i in range(len(keep))]
+    out = map_text(docs, keep, make, "n_words bigint, text_key string", text=text).toDF(*cols, "n_words", "text_key")
+    out = out.join(hits, F.col("text_key") == F.col("hkey"), "left")
+    return out.select(*cols, "n_words", F.coalesce("hit_words", F.array().cast("array<int>")).alias("hit_words"),
+                      F.coalesce("items", F.array().cast("array<string>")).alias("items")).toDF(
+                          *keep, "n_words", "hit_words", "items")
+
+
 def digest(scanned: DataFrame) -> DataFrame:
     """The count and digest columns of a scan."""
     ids = F.array_join("items", ",")

@@ -52,8 +52,36 @@ def test_brute_force_one_slice_and_many(spark, make_docs):
     docs, items = cases()
     bench = spark.createDataFrame(items, "item_id bigint, text string")
     want = brute(docs, items)
-    for slice_bytes in (1 << 20, 120):
-        assert got(D.digest(D.scan(make_docs(docs), bench, ["doc_id"], slice_bytes=slice_bytes))) == want
+    total = sum(len(f"{i or ''}{t or ''}".encode()) for i, t in items)
+    for slice_bytes, maps in ((1 << 20, 1), (total * 2 // 3, 4), (120, 1)):
+        out = D.scan(make_docs(docs), bench, ["doc_id"], slice_bytes=slice_bytes)
+        assert got(D.digest(out)) == want
+        assert arrow_maps(out) == maps
+
+
+def arrow_maps(df):
+    return df._jdf.queryExecution().optimizedPlan().toString().count("MapInArrow")
+
+
+def test_benchmark_beyond_the_broadcast(spark, make_docs):
+    """A third of the items equal, another third one text under many ids: joined, in one Arrow map, whatever the filter's size."""
+    docs, items = cases()
+    docs += [(200 + i, docs[0][1]) for i in range(40)]
+    items += [(items[0][0], items[0][1])] * 60 + [(1000 + i, items[1][1]) for i in range(60)]
+    bench = spark.createDataFrame(items, "item_id bigint, text string").repartition(5)
+    want = brute(docs, sorted(set(items), key=str))
+    df = make_docs(docs)
+    out = D.scan(df, bench, ["doc_id"], slice_bytes=200)
+    assert arrow_maps(out) == 1
+    assert got(D.digest(out)) == want
+    few = bench.select(bench.item_id.cast("string").alias("item_id"), "text").distinct()
+    for bits in (1 << 3, 1 << 15, 1 << 20):
+        assert got(D.digest(D.scan_by_join(df, few, ["doc_id"], filter_bits=bits))) == want
+    clean = {k for k, v in want.items() if not v[4]}
+    assert {r["doc_id"] for r in D.decontaminate(df, bench, slice_bytes=200).collect()} == clean
+    none = D.scan_by_join(df, few.limit(0), ["doc_id"])
+    assert all(not r["hit_words"] and not r["items"] for r in none.collect())
+    assert D.scan_by_join(df.limit(0), few, ["doc_id"]).count() == 0
 
 
 def test_query_and_empty_tables(spark, make_docs, sf):
