@@ -6,8 +6,8 @@ the same set are one class. Two classes link when 100 * intersection >=
 
 Candidates. All shingles have one order: rare ones first, each kind by
 hash. A shingle is of the frequent kind when its bit is set in a bitmap of
-fixed size, filled with the shingles that recur in an eighth of the texts.
-That is a label only: any labelling gives the same links. Frequent
+fixed size, filled with the shingles that ``FREQUENT`` or more of all texts
+have. That is a label only: any labelling gives the same links. Frequent
 shingles are dealt into C small classes by hash. The prefix of a set is
 extended until (rare shingles) + sum over classes of (shingles - 1) exceeds
 the number of shingles a partner may lack. Then two linked sets share one
@@ -53,10 +53,11 @@ from riskloom.llm.components import components
 
 WORDS = 5
 PERCENT = 80
-#: a shingle in this many of the texts looked at (one in LABEL_SHARE) is of the frequent kind
-FREQUENT = 2
-LABEL_SHARE = 8
+#: a shingle in this many texts is of the frequent kind
+FREQUENT = 16
 LABEL_BITS = 1 << 26
+#: shingles that a task adds up before they leave it
+COMPACT_ROWS = 1 << 20
 #: most sets and most shingles of a block of a cluster, on average; a group holds two blocks
 BLOCK_SETS = 512
 BLOCK_SHINGLES = 1 << 21
@@ -237,37 +238,65 @@ def base_table(docs: DataFrame, words: int = WORDS) -> DataFrame:
                "jaccard-base")
 
 
-def frequent_bitmap(docs: DataFrame, words: int, percent: int) -> np.ndarray:
-    """Bits of the shingles that several of the texts looked at have; LABEL_BITS bits whatever the input."""
+def _class_sets(texts: Iterable[bytes | None], seen: set[int], words: int) -> Iterator[tuple[int, np.ndarray]]:
+    """(short class key, set) of the texts with words whose class is not in ``seen``, which is kept bounded."""
+    for s in shingle_sets(texts, words):
+        if not len(s):
+            continue
+        k = short_key(class_key(s))
+        if k in seen:
+            continue
+        if len(seen) >= 1 << 20:
+            seen.clear()
+        seen.add(k)
+        yield k, s
+
+
+def shingle_counts(docs: DataFrame, words: int) -> DataFrame:
+    """(sig, c): shingles of all texts and how many of a task's classes have them, added up in parts of a task."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen, held, size = set(), [], 0
+
+        def out() -> Iterator[pa.RecordBatch]:
+            sig, c = np.unique(np.concatenate(held), return_counts=True)
+            for i in range(0, len(sig), 1 << 17):
+                yield pa.RecordBatch.from_arrays([pa.array(sig[i:i + (1 << 17)].view(np.int64)), pa.array(c[i:i + (1 << 17)])],
+                                                 ["sig", "c"])
+        for b in batches:
+            for _, s in _class_sets(b.column(0).to_pylist(), seen, words):
+                held.append(s)
+                size += len(s)
+                if size >= COMPACT_ROWS:
+                    yield from out()
+                    held, size = [], 0
+        if held:
+            yield from out()
+    return _text_map(docs, [], run, "sig bigint, c bigint")
+
+
+def frequent_bitmap(docs: DataFrame, words: int) -> np.ndarray:
+    """Bits of the shingles that ``FREQUENT`` texts or more have; LABEL_BITS bits whatever the input."""
     none = np.zeros(LABEL_BITS // 64, np.uint64)
-    some = docs.filter(F.pmod(F.xxhash64("text"), F.lit(LABEL_SHARE)) == 0)
-    rows = index_rows(some, None, words, percent)
-    often = rows.groupBy("sig").agg(F.count(F.lit(1)).alias("c")).filter(F.col("c") >= FREQUENT)
+    often = shingle_counts(docs, words).groupBy("sig").agg(F.sum("c").alias("c")).filter(F.col("c") >= FREQUENT)
     at = often.select(F.col("sig").bitwiseAND(F.lit(LABEL_BITS - 1)).alias("at"))
-    got = at.groupBy(F.shiftright("at", 6).alias("w")).agg(
-        F.bit_or(F.expr("shiftleft(1L, cast(at & 63 as int))")).alias("m")).toArrow()
+    found = cut(at.groupBy(F.shiftright("at", 6).alias("w")).agg(
+        F.bit_or(F.expr("shiftleft(1L, cast(at & 63 as int))")).alias("m")), "jaccard-labels")
+    got = found.toArrow()
     none[got.column(0).to_numpy()] = got.column(1).to_numpy().view(np.uint64)
+    discard(found)
     return none
 
 
-def index_rows(docs: DataFrame, bitmap: np.ndarray | None, words: int, percent: int) -> DataFrame:
-    """(sig, k): index keys of every class, once per task; k is the short class key. No bitmap: all shingles."""
+def index_rows(docs: DataFrame, bitmap: np.ndarray, words: int, percent: int) -> DataFrame:
+    """(sig, k): index keys of every class, once per task; k is the short class key."""
     sent = docs.sparkSession.sparkContext.broadcast(bitmap)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bits, seen = sent.value, set()
         for b in batches:
             sigs, keys, held = [], [], 0
-            for s in shingle_sets(b.column(0).to_pylist(), words):
-                if not len(s):
-                    continue
-                k = short_key(class_key(s))
-                if k in seen:
-                    continue
-                if len(seen) >= 1 << 20:
-                    seen.clear()
-                seen.add(k)
-                g = s if bits is None else signatures(s, marked(s, bits), percent)
+            for k, s in _class_sets(b.column(0).to_pylist(), seen, words):
+                g = signatures(s, marked(s, bits), percent)
                 sigs.append(g)
                 keys.append(np.full(len(g), k, np.int64))
                 held += len(g)
@@ -474,7 +503,7 @@ def class_links(docs: DataFrame, words: int = WORDS, percent: int = PERCENT) ->
     The links behind the roots connect exactly what all links connect.
     """
     base = base_table(docs, words)
-    rows = cut(index_rows(docs, frequent_bitmap(docs, words, percent), words, percent), "jaccard-rows")
+    rows = cut(index_rows(docs, frequent_bitmap(docs, words), words, percent), "jaccard-rows")
     heads = (rows.groupBy("sig").agg(F.min("k").alias("lead"), F.max("k").alias("last"))
              .filter("lead != last").select(F.col("sig").alias("of"), "lead"))
     # keys with one class end here

@@ -77,6 +77,18 @@ def test_brute_force(spark, make_docs, sf, monkeypatch, frequent):
     assert {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in out.collect()} == brute(rows)
 
 
+def test_labels_come_from_all_texts(spark, make_docs):
+    """A passage in FREQUENT texts is labelled, one in a text less is not, wherever these texts lie."""
+    own = iter(range(10 ** 9))
+    text = lambda passage: " ".join([*(f"o{next(own)}" for _ in range(5)), *passage])
+    passages = {(i, n): [f"p{i}_{n}_{j}" for j in range(5)] for i in range(10) for n in (J.FREQUENT, J.FREQUENT - 1)}
+    rows = [text(p) for (i, n), p in passages.items() for _ in range(n)]
+    bitmap = J.frequent_bitmap(make_docs(list(enumerate(rows)), 5), J.WORDS)
+    for (i, n), p in passages.items():
+        assert J.marked(J.shingles(" ".join(p).encode()), bitmap).tolist() == [n == J.FREQUENT]
+    assert int(np.bitwise_count(bitmap).sum()) == 10
+
+
 def test_signatures_lose_no_link():
     """Any two linked sets share an index key, whatever is labelled frequent."""
     rng = np.random.default_rng(1)
