@@ -63,3 +63,30 @@ def test_run(spark):
     import __spark_entry__ as E
     out = E.queries()["pipeline"](spark, SF_SMALL)
     assert out.count() > 0 and "ids" in out.columns
+
+
+def test_stages_bound_their_batches(spark, make_docs):
+    """No Arrow batch of a stage holds much more than BATCH_BYTES of text, though its plan runs later."""
+    import corpus_pipeline as P
+    import pyarrow as pa
+    from riskloom.llm.common import BATCH_BYTES
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    before = spark.conf.get(key)
+    docs = make_docs([(i, "word " * 20_000) for i in range(200)], 1)
+
+    def sizes(batches):
+        for b in batches:
+            yield pa.RecordBatch.from_arrays([pa.array([b.nbytes])], ["n"])
+    try:
+        for name, stage in P.STAGES:
+            spark.conf.unset(key)
+            if name != "near_duplicates":
+                stage(spark, docs, SF_SMALL)
+            else:
+                stage(spark, docs.limit(3), SF_SMALL)
+            assert max(r["n"] for r in docs.select("text").mapInArrow(sizes, "n bigint").collect()) < 1.5 * BATCH_BYTES, name
+            spark.conf.set(key, "1m")
+            P.packed(spark, docs, SF_SMALL)
+            assert spark.conf.get(key) == "1m"  # a smaller bound stays
+    finally:
+        spark.conf.set(key, before)
