@@ -52,7 +52,8 @@ COVERED_PERCENT = 80
 BLOCK = 1 << 19
 MIN_BUCKETS, MAX_BUCKETS = 1 << 16, 1 << 24
 SEGMENT = 1 << 16
-COMPACT_ROWS = 1 << 19
+#: rows after which a task adds up equal fingerprints, and most rows of what it adds up before that leaves it
+COMPACT_ROWS, TABLE_ROWS = 1 << 18, 1 << 20
 #: text of one task: what a task adds up leaves it as one row a phrase, so small input splits are read together
 TASK_BYTES = 128 << 20
 BATCH_BYTES = 8 << 20
@@ -293,13 +294,34 @@ def can_be_frequent(rows: DataFrame, buckets: int, min_count: int, bits: int) ->
 
 
 def _compact(rows: list[list[np.ndarray]]) -> list[np.ndarray]:
-    """Columns h, low, high, n, t, at with equal fingerprints added up."""
-    h, low, high, n, t, at = (np.concatenate(c) for c in zip(*rows))
+    """Columns h, low, high, n, t, at with equal fingerprints added up; ``rows`` are emptied column by column."""
+    def taken(i: int) -> np.ndarray:
+        out = np.concatenate([r[i] for r in rows])
+        for r in rows:
+            r[i] = None
+        return out
+    h = taken(0)
     order = np.argsort(h, kind="stable")
     h = h[order]
     first = np.flatnonzero(np.r_[True, h[1:] != h[:-1]])
-    return [h[first], np.minimum.reduceat(low[order], first), np.maximum.reduceat(high[order], first),
-            np.add.reduceat(n[order], first), t[order][first], at[order][first]]
+    out, one = [h[first]], order[first]
+    del h
+    out += [f.reduceat(taken(i)[order], first) for i, f in ((1, np.minimum), (2, np.maximum), (3, np.add))]
+    return out + [taken(i)[one] for i in (4, 5)]
+
+
+def _tables(rows: Iterator[list[np.ndarray]]) -> Iterator[list[np.ndarray]]:
+    """Columns as in ``_compact``: equal fingerprints are one row until ``TABLE_ROWS`` different ones are held."""
+    held, size = [], 0
+    for r in rows:
+        held.append(r)
+        size += len(r[0])
+        if size > COMPACT_ROWS:
+            held, size = [_compact(held)], 0
+            if len(held[0][0]) >= TABLE_ROWS:
+                yield held.pop()
+    if held:
+        yield _compact(held)
 
 
 def counted(rows: DataFrame, maps, buckets: int, min_count: int, bits: int) -> DataFrame:
@@ -309,30 +331,24 @@ def counted(rows: DataFrame, maps, buckets: int, min_count: int, bits: int) -> D
     def count(batches):
         hashes = Hashes(bits)
         seen = {n: np.frombuffer(m, np.uint8) for n, m in maps.value.items()}
-        held, size = [], 0
 
-        def out(columns):
+        def per_length():
+            for block, b in _per_block(batches):
+                t = b.column("t").to_numpy(zero_copy_only=False)
+                one, two = block.grams(hashes, 0), block.grams(hashes, 1)
+                may = None
+                for n, h in enumerate(one, 1):
+                    at = _bucket(h, buckets)
+                    own = ((seen[n][at >> 3] >> (at & 7).astype(np.uint8)) & 1).astype(bool)
+                    may = own if may is None else own & may[:len(own)] & may[1:]
+                    at = np.flatnonzero(may & block.valid(n))
+                    if len(at):
+                        c = two[n - 1][at].view(np.int64)
+                        yield _compact([[h[at].view(np.int64), c, c, np.ones(len(at), np.int64),
+                                         t[block.text[at]], block.offset[at] * 8 + n]])
+        for columns in _tables(per_length()):
             for i in range(0, len(columns[0]), 100_000):
                 yield pa.RecordBatch.from_arrays([pa.array(c[i:i + 100_000]) for c in columns], names)
-        for block, b in _per_block(batches):
-            t = b.column("t").to_numpy(zero_copy_only=False)
-            one, two = block.grams(hashes, 0), block.grams(hashes, 1)
-            may = None
-            for n, h in enumerate(one, 1):
-                at = _bucket(h, buckets)
-                own = ((seen[n][at >> 3] >> (at & 7).astype(np.uint8)) & 1).astype(bool)
-                may = own if may is None else own & may[:len(own)] & may[1:]
-                at = np.flatnonzero(may & block.valid(n))
-                if len(at):
-                    c = two[n - 1][at].view(np.int64)
-                    held.append(_compact([[h[at].view(np.int64), c, c, np.ones(len(at), np.int64),
-                                           t[block.text[at]], block.offset[at] * 8 + n]]))
-                    size += len(held[-1][0])
-            if size > COMPACT_ROWS:
-                yield from out(_compact(held))
-                held, size = [], 0
-        if held:
-            yield from out(_compact(held))
     got = rows.mapInArrow(count, ", ".join(f"{c} bigint" for c in names))
     sums = got.groupBy("h").agg(F.min("low").alias("low"), F.max("high").alias("high"), F.sum("n").alias("f"),
                                 F.first("t").alias("t"), F.first("at").alias("at"))

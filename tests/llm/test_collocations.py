@@ -120,3 +120,27 @@ def test_fingerprints_differ_by_language_and_length():
 def test_sql(spark):
     ok, msg = compare(C.op13_collocations(spark, SF_SMALL), duck(SF_SMALL), oracle()["op13_collocations"])
     assert ok, msg
+
+
+@pytest.mark.parametrize("most", [100, 1 << 20])
+def test_a_fingerprint_leaves_a_task_once(monkeypatch, most):
+    """Many blocks with the same fingerprints: one row each, whatever is compacted between, unless the table is full."""
+    monkeypatch.setattr(C, "COMPACT_ROWS", 500)
+    monkeypatch.setattr(C, "TABLE_ROWS", most)
+    rng, want, blocks = np.random.default_rng(7), defaultdict(lambda: [1 << 62, -1, 0, set()]), []
+    for _ in range(60):
+        h = np.unique(rng.integers(-400, 400, 200))
+        low, n, t = rng.integers(0, 9, len(h)), rng.integers(1, 5, len(h)), rng.integers(0, 1 << 40, len(h))
+        blocks.append([h, low, low + 1, n, t, t + 1])
+        for x, lo, c, p in zip(*(v.tolist() for v in (h, low, n, t))):
+            w = want[x]
+            want[x] = [min(w[0], lo), max(w[1], lo + 1), w[2] + c, w[3] | {p}]
+    tables = list(C._tables(iter([list(b) for b in blocks])))
+    assert all((np.diff(x[0]) > 0).all() for x in tables) and (len(tables) == 1) == (most > 800)
+    got = {}
+    for x in tables:
+        for h, lo, hi, n, t, at in zip(*(c.tolist() for c in x)):
+            w = got.get(h, [1 << 62, -1, 0])
+            got[h] = [min(w[0], lo), max(w[1], hi), w[2] + n]
+            assert t in want[h][3] and at == t + 1
+    assert got == {h: w[:3] for h, w in want.items()}
