@@ -6,6 +6,7 @@ from collections import Counter
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from llm_fixtures import make_docs, sf  # noqa: F401
 from riskloom.llm import suffix_dedup as S
@@ -96,3 +97,55 @@ def test_names_and_anchors():
     assert len(np.unique(n)) == len({raw[p:p + 400] for p in range(2500)})
     m = t.minima()
     assert (m >= np.arange(len(m))).all() and (m < np.arange(len(m)) + S.WINDOW).all()
+
+
+def test_texts_together_equal_each_alone():
+    """Phrases of texts that are hashed in one go are those of every text by itself; windows never cross a text's end."""
+    rnd = random.Random(5)
+    raws = [bytes(rnd.choice(b"abcdefgh ") for _ in range(rnd.randint(256, 2000))) for _ in range(20)] + [b"x" * 700, b"ab" * 300]
+    off = np.concatenate([[0], np.cumsum([len(r) for r in raws])])
+    s, e, lead = S.Text(b"".join(raws)).phrases(off)
+    for d, raw in enumerate(raws):
+        least = S.Text(raw).minima()
+        b = np.unique(np.append(least, 0))
+        of = (s >= off[d]) & (s < off[d + 1])
+        assert (s[of] - off[d] == b).all()
+        assert (e[of] - off[d] == np.minimum(np.append(b[1:] + S.GRAM, len(raw)), len(raw))).all()
+        seen = (s - lead)[of & (lead != S.NO_ANCHOR)] - off[d]
+        assert (seen == np.flatnonzero(np.diff(least, prepend=-1))).all()
+
+
+def test_one_example_of_a_repeated_class(spark, make_docs):
+    """A passage in many texts is one row per text and level in the rounds, and has its starts looked up at one place only."""
+    rnd = random.Random(9)
+    char = lambda k: "".join(rnd.choice("abcdefghij") for _ in range(k))
+    passage = char(3000)
+    rows = [(i, char(300) + passage + char(300)) for i in range(40)]
+    sigs = S.signatures(make_docs(rows), 400)
+    marks = S.levels(sigs, 400)
+    assert S.by_text(S.rerank(S.phrase_rows(sigs, 400))).count() == 40
+    classes = S.class_rows(marks, 400)
+    sure = S.sure_classes(classes).collect()
+    examples = [x for r in sure for x in r["s"] if x["example"]]
+    assert len(sure) == 40 and len(examples) == classes.select("x", "y", "z").distinct().count()
+    found = marks.join(S.sure_classes(classes), marks.sid == F.col("ssid"))
+    opened = S.open_classes(found, 400).collect()
+    held = [r for r in opened if not r["open"]]
+    # the phrases at its ends go on into the texts, so a few starts have several classes
+    assert 0 < sum(r["hi"] - r["lo"] + 1 for r in held) < 2 * len(passage)
+    assert digest(S.dedup(make_docs(rows))) == brute(rows, 400)
+
+
+def test_texts_longer_than_a_batch_and_a_group(spark, make_docs):
+    """Texts that pass an Arrow batch of rows and the bytes worked on together, next to many short ones."""
+    rnd = random.Random(11)
+    char = lambda k: "".join(rnd.choice("abcdefghij") for _ in range(k))
+    long = char(S.BYTES + 5000)
+    rows = [(0, long), (1, char(50) + long[1000:-1000] + char(700)), (2, "ab" * 9000 + long[:500]), (3, "ab" * 9000 + "c")]
+    rows += [(i, char(350) + long[i * 50:i * 50 + rnd.choice([399, 400, 450])] + char(40)) for i in range(4, 60)]
+    before = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "100")
+    try:
+        assert digest(S.dedup(make_docs(rows))) == brute(rows, 400)
+    finally:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", before)
