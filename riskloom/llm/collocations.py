@@ -6,15 +6,17 @@ those into words. Numpy prefix sums of ``value[byte] * base^position`` modulo
 word hashes the fingerprint of every 1- to 4-gram; the language is mixed in.
 Two independent polynomials give fingerprint and check value.
 
-1. *Sketch.* Every task counts fingerprints in one saturating byte table a
-   length; Spark adds the tables segment by segment and returns one bit a
-   bucket: can its phrases reach ``min_count``? The tables have a bounded
-   size (``MAX_BUCKETS``); a fuller table lets more phrases through and never
+1. *Sketch.* Every task adds up keys, the first bits of the fingerprints, and
+   sends them sorted, as distances and counts of about two bytes a key. A key
+   has as many bits as the text's size asks for, so it is of few phrases on
+   any input; one task counts a range of keys and returns one bit a bucket of
+   keys: has one of them ``min_count`` occurrences? The bit map has a bounded
+   size (``MAX_BUCKETS``); a fuller one lets more phrases through and never
    loses one.
 2. *Counts.* An n-gram is sent on only if its bucket and those of all its
-   parts can be frequent. Tasks add up equal fingerprints, the shuffle adds
-   them exactly and carries the range of the check values and one occurrence
-   pointer (text and byte offset).
+   parts can be frequent. Tasks add up equal fingerprints, the shuffle carries
+   them by ranges as packed columns; one task adds up a range exactly, with the
+   range of the check values and one occurrence pointer (text and byte offset).
 3. *Verification.* Fingerprints with different check values, and those whose
    phrase read at the pointer does not hash to them, are collisions: their
    occurrences are counted again by their text. Phrases are read from the
@@ -42,7 +44,7 @@ import zstandard
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from riskloom.llm.common import LOWER_TABLE, cut, discard, read_table
+from riskloom.llm.common import LOWER_TABLE, cleaned, cut, discard, read_table
 from riskloom.session import broadcast_if_small
 
 LENGTHS = 4
@@ -50,12 +52,16 @@ MIN_COUNT = 30
 TOP = 2000
 COVERED_PERCENT = 80
 BLOCK = 1 << 19
-MIN_BUCKETS, MAX_BUCKETS = 1 << 16, 1 << 24
-SEGMENT = 1 << 16
+MIN_BUCKETS, MAX_BUCKETS = 1 << 16, 1 << 28
+#: a key and its count are one number; counts stop at ``MOST``
+COUNT_BITS = 24
+MOST = (1 << COUNT_BITS) - 1
+#: keys a task holds before it adds up equal ones; text of a range of keys; rows of a range of fingerprints
+KEYS, RANGE_BYTES, RANGE_ROWS = 1 << 21, 8 << 20, 1 << 20
 #: rows after which a task adds up equal fingerprints, and most rows of what it adds up before that leaves it
 COMPACT_ROWS, TABLE_ROWS = 1 << 18, 1 << 20
 #: text of one task: what a task adds up leaves it as one row a phrase, so small input splits are read together
-TASK_BYTES = 128 << 20
+TASK_BYTES = 64 << 20
 BATCH_BYTES = 8 << 20
 WORD_BYTES = re.compile(rb"[^\x20\x09.,;:!?\x0A-\x0D]+")
 _BREAK = re.compile(rb"[\x20\x09.,;:!?\x0A-\x0D]")
@@ -212,8 +218,8 @@ def blocks(texts: list[bytes | None], seeds: list[int], size: int | None = None)
 
 
 def _texts(docs: DataFrame, id_col: str, text: str, lang: str) -> DataFrame:
-    """(t, lang, text): t names a row by id and text, for the pointers."""
-    return docs.select(F.xxhash64(F.col(f"`{id_col}`"), F.col(f"`{text}`")).alias("t"),
+    """(t, lang, text): t names a row by id and text in 32 bits, for the pointers; a phrase is looked for in all rows of a name."""
+    return docs.select(F.shiftrightunsigned(F.xxhash64(F.col(f"`{id_col}`"), F.col(f"`{text}`")), 32).alias("t"),
                        F.coalesce(F.col(f"`{lang}`").cast("string"), F.lit("und")).alias("lang"),
                        F.col(f"`{text}`").cast("string").cast("binary").alias("text"))
 
@@ -242,59 +248,169 @@ def _bucket(h: np.ndarray, buckets: int) -> np.ndarray:
     return (h >> U(65 - buckets.bit_length())).astype(np.int64)
 
 
-def can_be_frequent(rows: DataFrame, buckets: int, min_count: int, bits: int) -> tuple[dict[int, bytes], DataFrame]:
-    """({length: bit map of the buckets that reach ``min_count``}, (lang, n) of all word occurrences)."""
-    segment = min(SEGMENT, buckets)
+def _power(x: float, least: int = 1) -> int:
+    """The power of two that is ``x`` or the next above it, ``least`` at least."""
+    return max(least, 1 << max(0, math.ceil(math.log2(max(1, x)))))
+
+
+def _pack(columns: list[np.ndarray]) -> bytes:
+    """Columns of numbers (uint64) of one length, byte plane by byte plane; a column of zeros takes one byte.
+
+    Planes below the two highest hold the low ends of hashes and are kept as they are.
+    """
+    pack = zstandard.ZstdCompressor(level=1, write_content_size=True).compress
+    out = [len(columns[0]).to_bytes(4, "little")]
+    for x in columns:
+        planes = np.ascontiguousarray(x, "<u8").view(np.uint8).reshape(-1, 8)
+        width = (int(x.max()).bit_length() + 7) // 8
+        out.append(bytes([width]))
+        for i in range(width):
+            plane = planes[:, i].tobytes()
+            if i >= width - 2:
+                plane = pack(plane)
+                out.append(len(plane).to_bytes(4, "little"))
+            out.append(plane)
+    return b"".join(out)
+
+
+def _unpack(data: bytes) -> list[np.ndarray]:
+    unpack = zstandard.ZstdDecompressor().decompress
+    n, at, out = int.from_bytes(data[:4], "little"), 4, []
+    while at < len(data):
+        width, at = data[at], at + 1
+        planes = np.zeros((n, 8), np.uint8)
+        for i in range(width):
+            size = n
+            if i >= width - 2:
+                size, at = int.from_bytes(data[at:at + 4], "little"), at + 4
+            plane, at = data[at:at + size], at + size
+            planes[:, i] = np.frombuffer(unpack(plane) if i >= width - 2 else plane, np.uint8)
+        out.append(planes.view("<u8")[:, 0])
+    return out
+
+
+def _steps(values: np.ndarray, base: int) -> np.ndarray:
+    """Ascending numbers as their distances, the first from ``base``."""
+    out = values.copy()
+    out[1:] -= values[:-1]
+    out[0] -= U(base)
+    return out
+
+
+def _added(packed: list[np.ndarray]) -> np.ndarray:
+    """Numbers ``key << COUNT_BITS | count`` in ascending order, counts of equal keys added up to ``MOST`` at most."""
+    x = np.concatenate(packed) if packed else np.zeros(0, np.uint64)
+    packed.clear()
+    x.sort()
+    key = x >> U(COUNT_BITS)
+    first = np.flatnonzero(np.r_[True, key[1:] != key[:-1]]) if len(x) else np.zeros(0, np.int64)
+    x &= U(MOST)
+    return key[first] << U(COUNT_BITS) | np.minimum(np.add.reduceat(x, first), U(MOST)) if len(x) else x
+
+
+def _by_range(rows: Iterator[tuple[int, bytes]], names: tuple[str, str], size: int = 4 << 20) -> Iterator[pa.RecordBatch]:
+    """Batches of about ``size`` bytes of (range, data)."""
+    held, n = [], 0
+    for row in rows:
+        held.append(row)
+        n += len(row[1])
+        if n >= size:
+            yield _ranges_batch(held, names)
+            held, n = [], 0
+    if held:
+        yield _ranges_batch(held, names)
+
+
+def _ranges_batch(held: list[tuple[int, bytes]], names: tuple[str, str]) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array([r for r, _ in held], pa.int32()), pa.array([d for _, d in held], pa.binary())], list(names))
+
+
+def can_be_frequent(rows: DataFrame, size: int, buckets: int, min_count: int, bits: int) -> tuple[bytes, DataFrame, int]:
+    """(bit map of the buckets that reach ``min_count``, (lang, n) of all word occurrences, most rows a task table has of them).
+
+    Counted are keys, the first bits of the fingerprints, one key or more for
+    every byte of text: so few phrases share one, however large the table is.
+    """
+    ranges = _power(size / RANGE_BYTES)
+    key_bits = min(64 - COUNT_BITS, max(buckets.bit_length() - 1, _power(size).bit_length() - 1))
+    wide = key_bits - (ranges.bit_length() - 1)         # bits of a key within its range
 
     def sketch(batches):
-        hashes = Hashes(bits)
-        tables = np.zeros((LENGTHS, buckets), np.uint8)
-        totals: Counter = Counter()
-        for block, b in _per_block(batches):
-            for text, n in zip(*np.unique(block.text[~block.context], return_counts=True)):
-                totals[b.column("lang")[int(text)].as_py()] += int(n)
-            for table, h, n in zip(tables, block.grams(hashes, 0), range(1, LENGTHS + 1)):
-                at, c = np.unique(_bucket(h[block.valid(n)], buckets), return_counts=True)
-                table[at] = np.minimum(table[at].astype(np.int64) + c, 255)
-        pack = zstandard.ZstdCompressor(level=1).compress
-        full = [(k, j) for k in range(LENGTHS) for j in range(buckets // segment) if totals]
-        for i in range(0, len(full), 64):
-            own = full[i:i + 64]
-            yield pa.RecordBatch.from_pydict({
-                "length": pa.array([k + 1 for k, _ in own], pa.int32()), "segment": pa.array([j for _, j in own], pa.int32()),
-                "data": pa.array([pack(tables[k, j * segment:(j + 1) * segment].tobytes()) for k, j in own], pa.binary()),
-                "lang": pa.nulls(len(own), pa.string()), "words": pa.nulls(len(own), pa.int64())})
+        hashes, totals, held, n = Hashes(bits), Counter(), [], 0
+
+        def sent(table):
+            at = np.searchsorted(table >> U(COUNT_BITS + wide), np.arange(ranges + 1, dtype=np.uint64))
+            for r in np.flatnonzero(np.diff(at)).tolist():
+                own = table[at[r]:at[r + 1]]
+                yield r, _pack([_steps(own >> U(COUNT_BITS), r << wide), own & U(MOST)])
+
+        def tables():
+            nonlocal held, n
+            for block, b in _per_block(batches):
+                for text, c in zip(*np.unique(block.text[~block.context], return_counts=True)):
+                    totals[b.column("lang")[int(text)].as_py()] += int(c)
+                for k, h in enumerate(block.grams(hashes, 0), 1):
+                    h = h[block.valid(k)]
+                    held.append(h >> U(64 - key_bits) << U(COUNT_BITS) | U(1))
+                    n += len(h)
+                if n >= KEYS:
+                    table = _added(held)
+                    held, n = [table], len(table)
+                    if n >= KEYS // 2:
+                        held, n = [], 0
+                        yield from sent(table)
+                    del table
+            if n:
+                yield from sent(_added(held))
+        for batch in _by_range(tables(), ("range", "data")):
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.nulls(batch.num_rows, pa.string()), pa.nulls(batch.num_rows, pa.int64())],
+                                             ["range", "data", "lang", "words"])
         if totals:
-            none = pa.nulls(len(totals), pa.int32())
-            yield pa.RecordBatch.from_pydict({"length": none, "segment": none, "data": pa.nulls(len(totals), pa.binary()),
+            none = pa.nulls(len(totals), pa.binary())
+            yield pa.RecordBatch.from_pydict({"range": pa.array([0] * len(totals), pa.int32()), "data": none,
                                               "lang": pa.array(list(totals)), "words": pa.array(list(totals.values()), pa.int64())})
 
     def add(batches):
-        sums: dict[tuple[int, int], np.ndarray] = {}
-        unpack = zstandard.ZstdDecompressor().decompress
+        held, n, own, sent, totals = [], 0, None, 0, Counter()
         for b in batches:
-            for k, j, data in zip(*(b.column(c).to_pylist() for c in ("length", "segment", "data"))):
-                got = np.frombuffer(unpack(data), np.uint8)
-                sums[k, j] = np.minimum(sums.get((k, j), 0) + got.astype(np.int32), 1 << 20)
-        if sums:
+            for r, data, lang, words in zip(*(b.column(c).to_pylist() for c in ("range", "data", "lang", "words"))):
+                if data is None:
+                    totals[lang] += words
+                    continue
+                key, count = _unpack(data)
+                key[0] += U(r << wide)
+                held.append(np.cumsum(key) << U(COUNT_BITS) | count)
+                own, sent, n = r, sent + 1, n + len(key)
+                if n >= 4 * KEYS:
+                    held = [_added(held)]
+                    n = len(held[0])
+        if own is not None:
+            table = _added(held)
+            table = table[(table & U(MOST)) >= min(min_count, MOST)]
+            bit = np.zeros(buckets // ranges, bool)
+            bit[((table >> U(COUNT_BITS + key_bits - buckets.bit_length() + 1)) & U(len(bit) - 1)).astype(np.int64)] = True
             yield pa.RecordBatch.from_pydict({
-                "length": pa.array([k for k, _ in sums], pa.int32()), "segment": pa.array([j for _, j in sums], pa.int32()),
-                "bits": pa.array([np.packbits(s >= min(min_count, 255), bitorder="little").tobytes() for s in sums.values()], pa.binary())})
-    part = cut(rows.mapInArrow(sketch, "length int, segment int, data binary, lang string, words bigint"), "sketch")
-    # every segment in one task, added up as its tables stream by: a table of one segment is all that is held
-    tables = part.filter("length IS NOT NULL").select("length", "segment", "data").repartition("length", "segment")
-    maps = {n: np.zeros(buckets // 8, np.uint8) for n in range(1, LENGTHS + 1)}
-    # one bit a bucket: LENGTHS * MAX_BUCKETS / 8 bytes at most, 8 MB
-    for r in tables.mapInArrow(add, "length int, segment int, bits binary").collect():
-        at = r["segment"] * segment // 8
-        maps[r["length"]][at:at + segment // 8] = np.frombuffer(r["bits"], np.uint8)
+                "range": pa.array([own], pa.int32()), "bits": pa.array([np.packbits(bit, bitorder="little").tobytes()], pa.binary()),
+                "rows": pa.array([int(np.minimum(table & U(MOST), U(sent)).sum())], pa.int64()),
+                "lang": pa.nulls(1, pa.string()), "words": pa.nulls(1, pa.int64())})
+        if totals:
+            n = len(totals)
+            yield pa.RecordBatch.from_pydict({"range": pa.nulls(n, pa.int32()), "bits": pa.nulls(n, pa.binary()), "rows": pa.nulls(n, pa.int64()),
+                                              "lang": pa.array(list(totals)), "words": pa.array(list(totals.values()), pa.int64())})
+    tables = rows.mapInArrow(sketch, "range int, data binary, lang string, words bigint").repartitionById(ranges, "range")
+    part = cut(tables.mapInArrow(add, "range int, bits binary, rows bigint, lang string, words bigint"), "sketch")
+    # one bit a bucket: MAX_BUCKETS / 8 bytes at most, 32 MB
+    bitmap, most, each = np.zeros(buckets // 8, np.uint8), 0, buckets // ranges // 8
+    for r in part.filter("range IS NOT NULL").select("range", "bits", "rows").collect():
+        bitmap[r["range"] * each:(r["range"] + 1) * each] = np.frombuffer(r["bits"], np.uint8)
+        most += r["rows"]
     totals = cut(part.filter("lang IS NOT NULL").groupBy("lang").agg(F.sum("words").alias("n")), "words")
     discard(part)
-    return {n: m.tobytes() for n, m in maps.items()}, totals
+    return bitmap.tobytes(), totals, most
 
 
 def _compact(rows: list[list[np.ndarray]]) -> list[np.ndarray]:
-    """Columns h, low, high, n, t, at with equal fingerprints added up; ``rows`` are emptied column by column."""
+    """Columns h, low, high, n, t, at with equal fingerprints added up, at the least t; ``rows`` are emptied column by column."""
     def taken(i: int) -> np.ndarray:
         out = np.concatenate([r[i] for r in rows])
         for r in rows:
@@ -304,10 +420,14 @@ def _compact(rows: list[list[np.ndarray]]) -> list[np.ndarray]:
     order = np.argsort(h, kind="stable")
     h = h[order]
     first = np.flatnonzero(np.r_[True, h[1:] != h[:-1]])
-    out, one = [h[first]], order[first]
+    out, size = [h[first]], len(h)
     del h
     out += [f.reduceat(taken(i)[order], first) for i, f in ((1, np.minimum), (2, np.maximum), (3, np.add))]
-    return out + [taken(i)[one] for i in (4, 5)]
+    t = taken(4)[order]
+    least = np.minimum.reduceat(t, first)
+    one = np.flatnonzero(t == np.repeat(least, np.diff(np.r_[first, size])))
+    one = order[one[np.searchsorted(one, first)]]
+    return out + [least, taken(5)[one]]
 
 
 def _tables(rows: Iterator[list[np.ndarray]]) -> Iterator[list[np.ndarray]]:
@@ -324,13 +444,19 @@ def _tables(rows: Iterator[list[np.ndarray]]) -> Iterator[list[np.ndarray]]:
         yield _compact(held)
 
 
-def counted(rows: DataFrame, maps, buckets: int, min_count: int, bits: int) -> DataFrame:
-    """(h, low, high, f, t, at) of the fingerprints with ``min_count`` occurrences or more."""
-    names = ["h", "low", "high", "n", "t", "at"]
+def counted(rows: DataFrame, bitmap, buckets: int, most: int, min_count: int, bits: int) -> DataFrame:
+    """(h, low, high, f, t, at) of the fingerprints with ``min_count`` occurrences or more.
+
+    ``most``: about how many rows the tables of all tasks have. They are
+    shuffled as packed columns of a range of fingerprints, half the size of
+    Spark's rows: the rows of frequent phrases are most of what is on disk.
+    """
+    ranges = _power(most / RANGE_ROWS)
+    wide = 65 - ranges.bit_length()         # bits of a fingerprint within its range
 
     def count(batches):
         hashes = Hashes(bits)
-        seen = {n: np.frombuffer(m, np.uint8) for n, m in maps.value.items()}
+        seen = np.frombuffer(bitmap.value, np.uint8)
 
         def per_length():
             for block, b in _per_block(batches):
@@ -339,20 +465,40 @@ def counted(rows: DataFrame, maps, buckets: int, min_count: int, bits: int) -> D
                 may = None
                 for n, h in enumerate(one, 1):
                     at = _bucket(h, buckets)
-                    own = ((seen[n][at >> 3] >> (at & 7).astype(np.uint8)) & 1).astype(bool)
+                    own = ((seen[at >> 3] >> (at & 7).astype(np.uint8)) & 1).astype(bool)
                     may = own if may is None else own & may[:len(own)] & may[1:]
                     at = np.flatnonzero(may & block.valid(n))
                     if len(at):
                         c = two[n - 1][at].view(np.int64)
                         yield _compact([[h[at].view(np.int64), c, c, np.ones(len(at), np.int64),
                                          t[block.text[at]], block.offset[at] * 8 + n]])
-        for columns in _tables(per_length()):
-            for i in range(0, len(columns[0]), 100_000):
-                yield pa.RecordBatch.from_arrays([pa.array(c[i:i + 100_000]) for c in columns], names)
-    got = rows.mapInArrow(count, ", ".join(f"{c} bigint" for c in names))
-    sums = got.groupBy("h").agg(F.min("low").alias("low"), F.max("high").alias("high"), F.sum("n").alias("f"),
-                                F.first("t").alias("t"), F.first("at").alias("at"))
-    return sums.filter(F.col("f") >= min_count)
+
+        def sent():
+            for h, low, high, n, t, at in _tables(per_length()):
+                h, low, high, n, t, at = (c.view(np.uint64) for c in (h, low, high, n, t, at))
+                # signed order: the upper half of the ranges comes first
+                own = (h >> U(wide)).astype(np.int64) if ranges > 1 else np.zeros(len(h), np.int64)
+                edge = np.flatnonzero(np.r_[True, own[1:] != own[:-1], True])
+                for i, j in zip(edge[:-1].tolist(), edge[1:].tolist()):
+                    k = slice(i, j)
+                    yield int(own[i]), _pack([_steps(h[k], int(own[i]) << wide), low[k], high[k] - low[k], n[k], t[k], at[k]])
+                del h, low, high, n, t, at, own      # not held beside the next table
+        yield from _by_range(sent(), ("range", "data"))
+
+    def add(batches):
+        held = []
+        for b in batches:
+            for r, data in zip(b.column("range").to_pylist(), b.column("data").to_pylist()):
+                h, low, high, n, t, at = _unpack(data)
+                h[0] += U(r << wide)
+                held.append([c.view(np.int64) for c in (np.cumsum(h), low, low + high, n, t, at)])
+        if held:
+            columns = _compact(held)
+            own = np.flatnonzero(columns[3] >= min_count)
+            for i in range(0, len(own), 100_000):
+                yield pa.RecordBatch.from_arrays([pa.array(c[own[i:i + 100_000]]) for c in columns], ["h", "low", "high", "f", "t", "at"])
+    got = rows.mapInArrow(count, "range int, data binary").repartitionById(ranges, "range")
+    return got.mapInArrow(add, "h bigint, low bigint, high bigint, f bigint, t bigint, at bigint")
 
 
 def phrases_at(rows: DataFrame, frequent: DataFrame, bits: int) -> DataFrame:
@@ -366,9 +512,10 @@ def phrases_at(rows: DataFrame, frequent: DataFrame, bits: int) -> DataFrame:
         for b in batches:
             texts, langs, names = b.column("text").to_pylist(), b.column("lang").to_pylist(), b.column("t").to_pylist()
             for i in range(b.num_rows):
-                if texts[i] is None or names[i] in told:       # a repeated row: the same phrases again
+                row = names[i], langs[i], hash(texts[i])
+                if texts[i] is None or row in told:       # a repeated row: the same phrases again
                     continue
-                told.add(names[i])
+                told.add(row)
                 low_text = texts[i].translate(LOWER_TABLE)
                 h, low, at = (np.array(b.column(c)[i].as_py(), np.int64) for c in ("h", "low", "at"))
                 for j in range(0, len(h), 50_000):
@@ -434,20 +581,21 @@ def frequent_phrases(docs: DataFrame, id_col: str = "doc_id", text: str = "text"
     spark = docs.sparkSession
     rows = _texts(docs, id_col, text, lang)
     size = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    # about a bucket for every eight words
-    buckets = min(MAX_BUCKETS, max(MIN_BUCKETS, 1 << math.ceil(math.log2(max(1, size / 48)))))
+    # about a bucket for every three words
+    buckets = min(MAX_BUCKETS, _power(size / 16, MIN_BUCKETS))
     rows = rows.coalesce(max(spark.sparkContext.defaultParallelism, math.ceil(size / TASK_BYTES)))
     with batches_of(spark, BATCH_BYTES):
-        maps, totals = can_be_frequent(rows, buckets, min_count, bits)
-        maps = spark.sparkContext.broadcast(maps)
-        found = cut(counted(rows, maps, buckets, min_count, bits), "fingerprints")
+        bitmap, totals, most = can_be_frequent(rows, size, buckets, min_count, bits)
+        cleaned(spark)
+        bitmap = spark.sparkContext.broadcast(bitmap)
+        found = cut(counted(rows, bitmap, buckets, most, min_count, bits), "fingerprints")
         read = cut(phrases_at(rows, found.filter("low = high"), bits), "phrases")
         phrases = found.join(read, "h").select("lang", "n", "phrase", "f")
         doubtful = found.join(read, "h", "left_anti")
         if not doubtful.isEmpty():
             phrases = phrases.unionByName(counted_by_text(rows, doubtful, min_count, bits))
         out = cut(phrases, "frequent-phrases")
-    maps.destroy()
+    bitmap.destroy()
     discard(found, read)
     return out, totals
 

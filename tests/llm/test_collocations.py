@@ -144,3 +144,31 @@ def test_a_fingerprint_leaves_a_task_once(monkeypatch, most):
             got[h] = [min(w[0], lo), max(w[1], hi), w[2] + n]
             assert t in want[h][3] and at == t + 1
     assert got == {h: w[:3] for h, w in want.items()}
+
+
+def test_columns_are_packed_and_unpacked():
+    rng = np.random.default_rng(3)
+    for n in (1, 7, 5000):
+        columns = [np.sort(rng.integers(0, 1 << 63, n).astype(np.uint64) * np.uint64(2) + np.uint64(1)), np.zeros(n, np.uint64),
+                   rng.integers(0, 3, n).astype(np.uint64), rng.integers(0, 1 << 20, n).astype(np.uint64), np.full(n, (1 << 64) - 1, np.uint64)]
+        assert all((x == y).all() for x, y in zip(columns, C._unpack(C._pack(columns)), strict=True))
+
+
+def test_rare_phrases_stay_out_whatever_the_bit_map_holds(spark, make_docs):
+    """Many more different phrases than buckets, a few occurrences each: only the buckets of frequent ones are set."""
+    rnd = random.Random(11)
+    rows = [(i, " ".join(rnd.choice(("new york city", f"w{rnd.randrange(60_000)}")) for _ in range(600)), "en") for i in range(300)]
+    count = Counter(tuple(w[i:i + n]) for _, t, _ in rows for w in [t.split()] for n in range(1, 5) for i in range(len(w) - n + 1))
+    frequent = sum(c >= 30 for c in count.values())
+    assert len(count) > 3 * C.MIN_BUCKETS and frequent < 100
+    docs = C._texts(docs_of(make_docs, rows), "doc_id", "text", "lang")
+    bitmap, totals, most = C.can_be_frequent(docs, sum(len(t) for _, t, _ in rows), C.MIN_BUCKETS, 30, 64)
+    assert 0 < np.unpackbits(np.frombuffer(bitmap, np.uint8)).sum() <= frequent and most >= frequent
+    assert [tuple(r) for r in totals.collect()] == [("en", sum(c for k, c in count.items() if len(k) == 1))]
+
+
+def test_many_ranges_and_small_tables(spark, make_docs, monkeypatch):
+    for name, value in (("KEYS", 400), ("RANGE_BYTES", 1 << 14), ("RANGE_ROWS", 200)):
+        monkeypatch.setattr(C, name, value)
+    rows = rows_of(6, 60)
+    assert mined(docs_of(make_docs, rows), least=3) == brute(rows, least=3)
